@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from variantflow.catalog.base import SQL_FEATURES, SQL_VARIANTS, descriptions, query, table
+from variantflow.catalog.base import SQL_FEATURES, SQL_VARIANTS, descriptions, parallelism, query, table
 from variantflow.catalog.vectors import vectors
 from variantflow.functions.arrays import dequantize
 from variantflow.operators.manifest import manifest_join
@@ -97,15 +97,19 @@ def routed(spark, sf_dir):
     return back.filter(F.col("slug").isin(*SLUGS)).select("row_idx", "text", "variant", "slug")
 
 
-def images_of(spark, sf_dir, folder, width, height, channels, kind):
-    """Write every vector as a small image below ``folder``."""
-    name = F.concat(
-        F.lit(f"{folder}/{kind}/img_small_"), F.col("vec_id").cast("string"), F.lit(".png")
-    )
-    files = vectors(spark, sf_dir).select(
-        name.alias("path"),
-        png_column(dequantize(F.col("features")), width, height, channels).alias("content"),
-    )
+def images_of(spark, sf_dir, folder, **shapes):
+    """Write every vector as a small image of each shape below ``folder``."""
+    rows = vectors(spark, sf_dir).repartition(parallelism(spark))
+    levels = rows.select("vec_id", dequantize(F.col("features")).alias("levels"))
+
+    def file(kind, width, height, channels):
+        name = F.concat(
+            F.lit(f"{folder}/{kind}/img_small_"), F.col("vec_id").cast("string"), F.lit(".png")
+        )
+        content = png_column(F.col("levels"), width, height, channels)
+        return F.struct(name.alias("path"), content.alias("content"))
+
+    files = levels.select(F.inline(F.array(*[file(k, *shape) for k, shape in shapes.items()])))
     write_artifacts(files, "path", "content").write.format("noop").mode("overwrite").save()
 
 
@@ -116,7 +120,7 @@ def images_of(spark, sf_dir, folder, width, height, channels, kind):
 )
 def listed(spark, sf_dir):
     folder = new_folder(spark, "artifacts")
-    images_of(spark, sf_dir, folder, 8, 8, 1, "grey")
+    images_of(spark, sf_dir, folder, grey=(8, 8, 1))
     kinds = F.explode(F.array(F.lit("png"), F.lit("jpg"))).alias("kind")
     rows = vectors(spark, sf_dir).select("vec_id", kinds)
     path = F.concat(
@@ -143,8 +147,7 @@ def listed(spark, sf_dir):
 )
 def images(spark, sf_dir):
     folder = new_folder(spark, "images")
-    images_of(spark, sf_dir, folder, 8, 8, 1, "grey")
-    images_of(spark, sf_dir, folder, 4, 4, 4, "rgba")
+    images_of(spark, sf_dir, folder, grey=(8, 8, 1), rgba=(4, 4, 4))
     name = F.regexp_extract("path", r"/([a-z]+)/img_small_(\d+)\.png$", 1)
     number = F.regexp_extract("path", r"/([a-z]+)/img_small_(\d+)\.png$", 2)
     return image_scan(spark, folder).select(

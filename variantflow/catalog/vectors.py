@@ -30,11 +30,10 @@ from variantflow.operators.scoring import (
     head_rows,
     linear_score,
     score_long,
-    score_vector,
     scores_map,
     scores_to_wide,
 )
-from variantflow.schemas import SCORE_COLUMNS, SCORE_FIELDS
+from variantflow.schemas import SCORE_FIELDS
 
 
 def vectors(spark, sf_dir):
@@ -43,6 +42,11 @@ def vectors(spark, sf_dir):
     )
 
 
+def image_features(spark, sf_dir):
+    """The stored single precision numbers; scoring widens them in its tasks."""
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("features"))
+
+
 def halves():
     """First half of the vector as conditional, second as unconditional logits."""
     f = F.col("features")
@@ -150,14 +154,7 @@ def crossed(spark, sf_dir):
         FROM features CROSS JOIN heads""",
 )
 def linear(spark, sf_dir):
-    names = F.lit(list(SCORE_COLUMNS))
-    scores = F.arrays_zip(names.alias("head"), F.col("scores").alias("score"))
-    return (
-        vectors(spark, sf_dir)
-        .select("vec_id", score_vector(HEADS)(F.col("features")).alias("scores"))
-        .select("vec_id", F.inline(scores).alias("head", "score"))
-        .withColumn("score", F.round("score", 6))
-    )
+    return score_long(image_features(spark, sf_dir), HEADS).withColumn("score", F.round("score", 6))
 
 
 @query(
@@ -184,7 +181,7 @@ def rescaled(spark, sf_dir):
         SELECT vec_id, {sql_wide_scores('score')} FROM s GROUP BY vec_id""",
 )
 def pivoted(spark, sf_dir):
-    long = score_long(vectors(spark, sf_dir), HEADS).withColumn("score", F.round("score", 6))
+    long = score_long(image_features(spark, sf_dir), HEADS).withColumn("score", F.round("score", 6))
     return scores_to_wide(long, ["vec_id"])
 
 
@@ -197,7 +194,7 @@ def pivoted(spark, sf_dir):
 )
 def looked_up(spark, sf_dir):
     # the registry lacks the last head altogether
-    found = head_lookup_default(scores_map(vectors(spark, sf_dir), HEADS[:-1]))
+    found = head_lookup_default(scores_map(image_features(spark, sf_dir), HEADS[:-1]))
     return found.select("vec_id", *[F.round(c, 6).alias(c) for c in SCORE_FIELDS])
 
 
@@ -210,7 +207,7 @@ def looked_up(spark, sf_dir):
 )
 def soft_fail(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"))
-    known = vectors(spark, sf_dir).withColumnRenamed("vec_id", "row_idx")
+    known = image_features(spark, sf_dir).withColumnRenamed("vec_id", "row_idx")
     rows = docs.join(known, "row_idx", "left")
     return score_long(rows, HEADS_ONE_MISSING).select(
         "row_idx", "head", F.round("score", 6).alias("score")

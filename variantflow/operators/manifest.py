@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantflow.functions.text import normal_path
+from variantflow.sources.scratch import written
 
 
 def manifest_join(
@@ -18,20 +19,25 @@ def manifest_join(
     salt: Sequence[str] = ("row_idx",),
     files_path: str = "path",
     carry: Sequence[str] = (),
+    distinct: bool = True,
 ) -> DataFrame:
     """Add ``present`` (and ``carry`` columns of the manifest); every row is kept.
 
     Rows with a NULL or blank path may be very many.  They get a key that no
     file has, spread by the ``salt`` columns, instead of one common hash value.
+    A path that very many rows share is left to the adaptive skew join, which
+    needs a manifest without an aggregation of its own: a listing has distinct
+    paths already, any other one (``distinct=False``) is reduced and written.
     """
     given = F.col(path).isNotNull() & (F.col(path) != "")
     spread = F.concat(F.lit("\0"), F.xxhash64(*salt).cast("string"))
     left = rows.withColumn("_key", F.when(given, normal_path(F.col(path))).otherwise(spread))
-    facts = [F.max(c).alias(c) for c in carry]
-    files = (
-        manifest.groupBy(normal_path(F.col(files_path)).alias("_key"))
-        .agg(F.lit(True).alias("present"), *facts)
-    )
+    files = manifest.select(normal_path(F.col(files_path)).alias("_key"), *carry)
+    if not distinct:
+        facts = [F.max(c).alias(c) for c in carry]
+        reduced = files.groupBy("_key").agg(*facts) if facts else files.distinct()
+        files = written(reduced, "manifest")
+    files = files.withColumn("present", F.lit(True))
     joined = left.join(files, "_key", "left").drop("_key")
     return joined.withColumn("present", F.coalesce("present", F.lit(False)))
 

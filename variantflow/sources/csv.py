@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantflow.functions.text import null_if_na
+from variantflow.sources.scratch import written
 
+MAX_BROADCAST_FILES = 100_000
 _DIALECT = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n"}
 
 
@@ -62,15 +64,19 @@ def encoding_fallback_scan(
 
     Latin1 maps every byte to a character, so all files are parsed that way
     once; texts of valid UTF-8 files are turned back into bytes and decoded.
-    The file list never passes through the driver.
+    The names of the latin1 files are broadcast up to ``MAX_BROADCAST_FILES``
+    and joined by shuffle beyond that.
     """
     reader = spark.read.options(**_DIALECT, multiLine=True, encoding="ISO-8859-1")
     raw = reader.schema(schema).csv(path if isinstance(path, str) else list(path))
     raw = raw.withColumn("_file", F.col("_metadata.file_path"))
-    latin = file_encodings(spark, path).filter(~F.col("is_utf8")).select(
-        F.col("file").alias("_file"), F.lit(True).alias("_latin1")
+    latin = written(
+        file_encodings(spark, path).filter(~F.col("is_utf8")).select(F.col("file").alias("_file")),
+        "latin1-files",
     )
-    tagged = raw.join(latin, "_file", "left")
+    small = latin.count() <= MAX_BROADCAST_FILES
+    latin = latin.withColumn("_latin1", F.lit(True))
+    tagged = raw.join(F.broadcast(latin) if small else latin, "_file", "left")
 
     def decoded(name: str):
         c = F.col(f"`{name}`")

@@ -13,7 +13,7 @@ from variantflow.schemas import STATE_SCHEMA, VARIANTS, slug_of, variant_state_s
 
 
 def read_if_exists(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet"
+    spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet"
 ) -> DataFrame | None:
     """The table at ``path``, or None where nothing is stored."""
     try:
@@ -27,13 +27,14 @@ def read_if_exists(
 def load_or_init(
     spark: SparkSession, root: str, variants: Sequence[str] = VARIANTS
 ) -> dict[str, DataFrame]:
-    """State tables ``<root>/<slug>``; if one is missing, all start empty."""
+    """The two-column table of each variant; if one is missing, all start empty."""
+    stored = "description_original string, reply string"
     found = {
-        v: read_if_exists(spark, f"{root.rstrip('/')}/{slug_of(v)}", variant_state_schema(v))
+        v: read_if_exists(spark, f"{root.rstrip('/')}/slug={slug_of(v)}", stored)
         for v in variants
     }
     if all(t is not None for t in found.values()):
-        return found
+        return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
     return {v: spark.createDataFrame([], variant_state_schema(v)) for v in variants}
 
 
@@ -43,16 +44,14 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     return found if found is not None else spark.createDataFrame([], STATE_SCHEMA)
 
 
-def save_variant_tables(
-    state: DataFrame, root: str, variants: Sequence[str] = VARIANTS
-) -> None:
-    """Two-column table for each variant, as :func:`load_or_init` reads them."""
-    for v in variants:
-        mine = state.filter(F.col("variant") == v).select(
-            F.col("original_text").alias("description_original"),
-            F.col("reply").alias(f"description_{slug_of(v)}"),
-        )
-        mine.write.mode("overwrite").parquet(f"{root.rstrip('/')}/{slug_of(v)}")
+def save_variant_tables(state: DataFrame, root: str) -> None:
+    """Tables for :func:`load_or_init`, all from one pass over the state."""
+    rows = state.select(
+        F.col("original_text").alias("description_original"),
+        "reply",
+        F.replace("variant", F.lit(" "), F.lit("_")).alias("slug"),
+    )
+    write_routed(rows, root)
 
 
 def write_routed(
