@@ -1,0 +1,204 @@
+"""Service calls: retries, delays, pacing, both passes."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from variantflow.catalog.base import FAST, STUB_SENDS, no_sleep, stub_replies, stub_service
+from variantflow.operators.inference import Answer, RetryPolicy, ask, http_client, infer
+from variantflow.operators.variants import fan_out
+from variantflow.plans.rewrite import call_service, requests_of, rewrite
+from variantflow.schemas import VARIANTS
+
+STUB = {"policy": FAST, "sends": STUB_SENDS, "sleep": no_sleep}
+
+
+def rows(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def scripted(*answers):
+    """Client that gives these answers in turn."""
+    left = list(answers)
+
+    def client(request, attempt):
+        answer = left.pop(0)
+        if isinstance(answer, Exception):
+            raise answer
+        return answer
+
+    return client
+
+
+def test_each_failure_doubles_the_delay():
+    slept = []
+    client = scripted((500, ""), ConnectionError(), (429, ""), (200, "done"))
+    assert ask(client, {}, RetryPolicy(), slept.append) == Answer("done", 4, 14.0, "ok")
+    assert slept == [2.0, 4.0, 8.0]
+
+
+def test_giving_up_also_waits_after_the_last_try():
+    slept = []
+    client = scripted(*[(500, "")] * 5)
+    assert ask(client, {}, RetryPolicy(), slept.append) == Answer(None, 5, 62.0, "failed")
+    assert slept == [2.0, 4.0, 8.0, 16.0, 32.0]
+
+
+def test_an_empty_reply_is_final():
+    assert ask(scripted((200, "")), {}, RetryPolicy(), no_sleep).outcome == "empty"
+
+
+def test_other_errors_are_not_retried():
+    with pytest.raises(KeyError):
+        ask(scripted(KeyError("bug")), {}, RetryPolicy(), no_sleep)
+
+
+def work(spark, n=40, parts=3):
+    docs = spark.range(n).select(
+        F.col("id").alias("row_idx"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("original_text")
+    )
+    return fan_out(docs.repartition(parts))
+
+
+@pytest.mark.parametrize("parts,in_flight,rows_at_once", [(1, 1, 256), (4, 1, 3), (2, 4, 7)])
+def test_results_do_not_depend_on_tasks_or_threads(spark, parts, in_flight, rows_at_once):
+    policy = RetryPolicy(pause_s=0.0, in_flight=in_flight, rows_at_once=rows_at_once)
+    got = call_service(work(spark, parts=parts), stub_service, sends=STUB_SENDS, policy=policy, sleep=no_sleep)
+    want = stub_replies(work(spark)).select("row_idx", "variant", "original_text", "pass", "reply")
+    assert rows(got.select(*want.columns)) == rows(want)
+
+
+def test_unexpected_errors_stop_the_job(spark):
+    def factory():
+        def client(request, attempt):
+            raise ValueError("not a transport failure")
+
+        return client
+
+    with pytest.raises(Exception, match="not a transport failure"):
+        call_service(work(spark, 1), factory, **STUB).collect()
+
+
+def test_null_texts_are_not_sent(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        def client(request, attempt):
+            calls.add(1)
+            return 200, "fine"
+
+        return client
+
+    df = spark.createDataFrame([(0, None), (1, "t")], "row_idx long, original_text string")
+    got = call_service(fan_out(df), factory, **STUB)
+    outcomes = {(r["row_idx"], r["outcome"], r["attempts"]) for r in got.collect()}
+    assert outcomes == {(0, "null_input", 0), (1, "ok", 1)}
+    assert calls.value == 4
+
+
+def test_pause_once_for_each_row(spark):
+    pauses = spark.sparkContext.accumulator(0)
+
+    def factory():
+        return lambda request, attempt: (200, "fine")
+
+    def count(seconds):
+        pauses.add(1)
+
+    for pause_by, expected in (("row_idx", 6), (None, 24)):
+        before = pauses.value
+        policy = RetryPolicy(pause_s=1.0, pause_by=pause_by)
+        call_service(work(spark, 6, 2), factory, policy=policy, sends=STUB_SENDS, sleep=count).collect()
+        assert pauses.value - before == expected
+
+
+def test_speculation_is_refused(spark, monkeypatch):
+    requests = work(spark)
+    monkeypatch.setattr(type(spark.conf), "get", lambda self, key, default=None: "true")
+    with pytest.raises(ValueError, match="speculation"):
+        infer(requests, stub_service, text="original_text")
+
+
+def test_client_gets_the_payload(spark):
+    def factory():
+        import json
+
+        def client(request, attempt):
+            body = json.loads(request["payload"])
+            return 200, f"{body['seed']}|{body['model']}|{body['messages'][0]['content']}"
+
+        return client
+
+    got = call_service(work(spark, 1), factory, policy=FAST).filter("variant = 'very positive'").first()
+    assert got["reply"] == (
+        "42|mistral|Rewrite the following text to have a tone that is very positive:\n\n"
+        "text 0. Be faithful to the original text. It must have the same amount of tokens."
+    )
+
+
+def test_http_client_posts_json(monkeypatch):
+    import requests
+
+    sent = []
+
+    class Reply:
+        status_code, text = 200, "rewritten"
+
+    def post(self, url, data, timeout):
+        sent.append((url, data, self.headers["Content-Type"]))
+        return Reply()
+
+    monkeypatch.setattr(requests.Session, "post", post)
+    client = http_client("http://service/")()
+    assert client({"payload": '{"a": "ç"}'}, 1) == (200, "rewritten")
+    assert sent == [("http://service/", '{"a": "ç"}'.encode(), "application/json")]
+    assert issubclass(requests.RequestException, OSError)
+
+
+def test_every_pair_is_called_once_in_each_pass(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def factory():
+        client = stub_service()
+
+        def counted(request, attempt):
+            if attempt == 1:
+                calls.add(1)
+            return client(request, attempt)
+
+        return counted
+
+    docs = work(spark, 50).select("row_idx", "original_text").distinct()
+    result = rewrite(docs, factory, text="original_text", **STUB)
+    first = result.first.count()
+    failed = result.first.filter("outcome = 'failed'").count()
+    assert first == 50 * len(VARIANTS) and 0 < failed < first
+    # several sinks over the written results make no further call
+    counts = {r["outcome"]: r["count"] for r in result.final.groupBy("outcome").count().collect()}
+    assert sum(counts.values()) == first
+    assert result.state.count() == counts["ok"]
+    assert result.dead.count() == counts["failed"]
+    assert result.wide().count() <= 50
+    assert result.attempts.count() == first + failed
+    assert calls.value == first + failed
+    assert result.state.select("row_idx", "variant").distinct().count() == counts["ok"]
+
+
+def test_a_second_run_calls_only_what_is_missing(spark):
+    docs = work(spark, 30).select("row_idx", "original_text").distinct()
+    result = rewrite(docs, stub_service, text="original_text", **STUB)
+    more = rewrite(docs, stub_service, text="original_text", state=result.state, **STUB)
+    assert more.first.count() == 30 * 4 - result.state.count()
+    again = more.first.join(result.state, ["row_idx", "variant"], "left_semi")
+    assert again.isEmpty()
+
+
+def test_filtering_variants_first_saves_calls(spark):
+    docs = work(spark, 10).select("row_idx", "original_text").distinct()
+    result = rewrite(docs, stub_service, text="original_text", variants=["negative"], **STUB)
+    assert result.first.count() == 10
+
+
+def test_payload_is_not_built_for_clients_that_do_not_need_it(spark):
+    plan = call_service(work(spark), stub_service, **STUB)._jdf.queryExecution().optimizedPlan().toString()
+    assert "ToJson" not in plan
+    assert "ToJson" in requests_of(work(spark))._jdf.queryExecution().optimizedPlan().toString()

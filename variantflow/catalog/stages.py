@@ -164,20 +164,32 @@ def score_stage(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("row_idx"))
     rows = variant_manifest(docs, "out")
     manifest = stored_artifacts(spark, sf_dir)
-    return rounded(score(rows, features(spark, sf_dir), HEADS_ONE_MISSING, manifest=manifest))
+    return rounded(
+        score(
+            rows.select("row_idx", "variant", "generated_filename"),
+            features(spark, sf_dir),
+            HEADS_ONE_MISSING,
+            feature_key=["row_idx"],
+            manifest=manifest,
+        )
+    )
 
 
 @query(
     "scored_dataset",
     f"""WITH {SQL_BOTH_PASSES}, {SQL_HEADS}, {SQL_FEATURES},
         s AS (SELECT r.row_idx, variant, h,
+                     'User: ' || reply || chr(10) || chr(10) || 'Assistant:<begin_of_image>' AS prompt,
+                     'out/' || slug || '/img_small_' || r.row_idx || '.jpg' AS generated_filename,
                      CASE WHEN l.doc_id IS NOT NULL
                           THEN round((list_dot_product(f, w) + b) * scale, 6) END AS score
               FROM final r CROSS JOIN heads
                    LEFT JOIN labels l ON l.doc_id = r.row_idx
                    LEFT JOIN features ON vec_id = r.row_idx
               WHERE r.outcome = 'ok')
-        SELECT row_idx, variant, {sql_wide_scores('score')} FROM s GROUP BY row_idx, variant""",
+        SELECT row_idx, variant, any_value(prompt) AS prompt,
+               any_value(generated_filename) AS generated_filename, {sql_wide_scores('score')}
+        FROM s GROUP BY row_idx, variant""",
 )
 def scored_dataset(spark, sf_dir):
     """All three stages: rewrite with retry, prompts and paths, scores."""
@@ -185,4 +197,13 @@ def scored_dataset(spark, sf_dir):
     state = rewritten(spark, sf_dir).state.withColumn("slug", slug)
     rows = generation_requests(state, "out", "<begin_of_image>")
     manifest = stored_artifacts(spark, sf_dir)
-    return rounded(score(rows, features(spark, sf_dir), HEADS, manifest=manifest))
+    scored = score(
+        rows, features(spark, sf_dir), HEADS, feature_key=["row_idx"], manifest=manifest
+    )
+    return scored.select(
+        "row_idx",
+        "variant",
+        "prompt",
+        "generated_filename",
+        *[F.round(c, 6).alias(c) for c in SCORE_FIELDS],
+    )

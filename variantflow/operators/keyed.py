@@ -30,21 +30,21 @@ def row_index(
         df.select(*key)
         .repartitionByRange(n, *key)
         .sortWithinPartitions(*key)
-        .select(*key, F.monotonically_increasing_id().alias("_id"))
+        .select(*key, F.monotonically_increasing_id().alias("_ri_id"))
     )
     placed = written(tagged, "row-index").select(
         *key,
-        F.shiftright("_id", _POSITION_BITS).cast("int").alias("_part"),
-        F.col("_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_pos"),
+        F.shiftright("_ri_id", _POSITION_BITS).cast("int").alias("_ri_part"),
+        F.col("_ri_id").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)).alias("_ri_pos"),
     )
     starts, total = [], 0
     # at most n rows, one for each partition
-    for part, rows in sorted(map(tuple, placed.groupBy("_part").count().collect())):
+    for part, rows in sorted(map(tuple, placed.groupBy("_ri_part").count().collect())):
         starts.append((part, total))
         total += rows
-    offsets = spark.createDataFrame(starts, "_part int, _start long")
-    index = placed.join(F.broadcast(offsets), "_part").select(
-        *key, (F.col("_start") + F.col("_pos")).alias(name)
+    offsets = spark.createDataFrame(starts, "_ri_part int, _ri_start long")
+    index = placed.join(F.broadcast(offsets), "_ri_part").select(
+        *key, (F.col("_ri_start") + F.col("_ri_pos")).alias(name)
     )
     return df.join(index, list(key))
 

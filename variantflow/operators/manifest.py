@@ -30,9 +30,10 @@ def manifest_join(
     paths already, any other one (``distinct=False``) is reduced and written.
     """
     given = F.col(path).isNotNull() & (F.col(path) != "")
-    spread = F.concat(F.lit("\0"), F.xxhash64(*salt).cast("string"))
-    left = rows.withColumn("_key", F.when(given, normal_path(F.col(path))).otherwise(spread))
-    files = manifest.select(normal_path(F.col(files_path)).alias("_key"), *carry)
+    # the first letter keeps the two kinds of key apart
+    spread = F.concat(F.lit("n"), F.xxhash64(*salt).cast("string"))
+    left = rows.withColumn("_key", F.when(given, _path_key(path)).otherwise(spread))
+    files = manifest.select(_path_key(files_path).alias("_key"), *carry)
     if not distinct:
         facts = [F.max(c).alias(c) for c in carry]
         reduced = files.groupBy("_key").agg(*facts) if facts else files.distinct()
@@ -42,6 +43,10 @@ def manifest_join(
     return joined.withColumn("present", F.coalesce("present", F.lit(False)))
 
 
+def _path_key(path: str) -> Column:
+    return F.concat(F.lit("p"), normal_path(F.col(path)))
+
+
 def missing_artifact_null(present: Column, score: Column) -> Column:
     """The score where the artifact exists, else NULL."""
     return F.when(present, score)

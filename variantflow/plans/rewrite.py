@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from variantflow.functions.text import prompt_template, request_payload_json
 from variantflow.operators.inference import Client, RetryPolicy, infer
 from variantflow.operators.keyed import pending
-from variantflow.operators.replies import accept_reply, dead_letter
+from variantflow.operators.replies import dead_letter
 from variantflow.operators.variants import assemble_wide
 from variantflow.schemas import VARIANTS
 from variantflow.sources.scratch import written
@@ -43,8 +44,8 @@ class Rewritten:
 
     @property
     def state(self) -> DataFrame:
-        """Accepted replies."""
-        return accept_reply(self.final)
+        """Accepted replies.  The outcome tells them without reading the texts."""
+        return self.final.filter(F.col("outcome") == "ok")
 
     @property
     def dead(self) -> DataFrame:
@@ -78,7 +79,7 @@ def call_service(
         text="original_text",
         pass_no=pass_no,
         policy=policy,
-        sends=sends or ("row_idx", "variant", "payload"),
+        sends=sends or (*CARRIED, "payload"),
         carry=CARRIED,
         **options,
     )
@@ -107,10 +108,11 @@ def rewrite(
     state: DataFrame | None = None,
     redo: bool = False,
     spread_to: int | None = None,
+    log: str | None = None,
     policy: RetryPolicy = RetryPolicy(),
     **options,
 ) -> Rewritten:
-    """Both passes, each written once.
+    """Both passes, each written once: to the ``log`` or to the scratch folder.
 
     ``spread_to`` shuffles the rows, before they are fanned out, to more tasks
     than the input has splits.  Pairs that ``state`` holds are not called again.
@@ -120,6 +122,12 @@ def rewrite(
         rows = rows.repartition(spread_to)
     work = pending(rows, state, variants=variants, redo=redo)
     calls = {"policy": policy, **options}
-    first = written(call_service(work, client_factory, **calls), "rewrite-1")
-    second = written(retry_pass(first, client_factory, **calls), "rewrite-2")
+    run = f"{log.rstrip('/')}/run={uuid.uuid4().hex[:12]}" if log else None
+
+    def once(results: DataFrame, pass_no: int) -> DataFrame:
+        target = f"{run}/batch={pass_no}" if run else None
+        return written(results, f"rewrite-{pass_no}", target)
+
+    first = once(call_service(work, client_factory, **calls), 1)
+    second = once(retry_pass(first, client_factory, **calls), 2)
     return Rewritten(first, second)

@@ -16,19 +16,28 @@ def score(
     features: DataFrame,
     heads: Sequence[Head],
     *,
-    key: Sequence[str] = ("row_idx",),
+    key: Sequence[str] = ("row_idx", "variant"),
+    feature_key: Sequence[str] = ("row_idx", "variant"),
     manifest: DataFrame | None = None,
     path: str = "generated_filename",
 ) -> DataFrame:
     """Every row with one score column for each head.
 
-    ``features`` has the key columns and ``features``.  Existence comes from a
-    manifest table or, without one, from a test of each path inside the tasks.
-    Rows without artifact or features keep NULL scores.
+    ``key`` is unique in ``rows``; ``features`` has the ``feature_key`` columns,
+    unique as well, and ``features``.  Existence comes from a manifest table or,
+    without one, from a test of each path inside the tasks.  Rows without
+    artifact or features keep NULL scores.
+
+    Keys, paths and features are joined and scored first.  The texts of the
+    rows take part in the last join only, so they are shuffled once.
     """
+    narrow = rows.select(*key, path)
     if manifest is None:
-        checked = probe_artifacts(rows, path)
+        checked = probe_artifacts(narrow, path)
     else:
-        checked = manifest_join(rows, manifest, path, salt=key)
-    joined = checked.join(features.select(*key, "features"), list(key), "left")
-    return score_wide(joined, heads, present="present").drop("features", "present")
+        checked = manifest_join(narrow, manifest, path, salt=key)
+    known = checked.join(features.select(*feature_key, "features"), list(feature_key), "left")
+    scored = score_wide(known, heads, present="present").drop("features", "present", path)
+    if set(rows.columns) <= {*key, path}:
+        return scored
+    return rows.join(scored, list(key))

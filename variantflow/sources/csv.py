@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantflow.functions.text import null_if_na
+from variantflow.operators.keyed import row_index
 from variantflow.sources.scratch import written
 
 MAX_BROADCAST_FILES = 100_000
@@ -22,17 +23,32 @@ def csv_scan(
     *,
     na_tokens: bool = True,
     multi_line: bool = True,
+    position: bool = False,
 ) -> DataFrame:
     """Read headered CSV.  Missing markers in text columns become NULL.
 
     Without a schema the types are inferred, at the cost of one more pass.  A
     quoted line break makes a file unsplittable: pass ``multi_line=False`` for
     files without such fields and write large tables as many files.
+
+    ``position`` adds ``_file`` and ``_pos``, which sort in file order.  They
+    hold for one evaluation: write the table before using them.
     """
     reader = spark.read.options(**_DIALECT, multiLine=multi_line)
     reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
     df = reader.csv(path if isinstance(path, str) else list(path))
-    return normalise_na(df) if na_tokens else df
+    if na_tokens:
+        df = normalise_na(df)
+    if position:
+        place = {"_file": F.col("_metadata.file_path"), "_pos": F.monotonically_increasing_id()}
+        df = df.withColumns(place)
+    return df
+
+
+def numbered(rows: DataFrame, name: str = "row_idx") -> DataFrame:
+    """Rows of :func:`csv_scan` with ``position``, numbered from 0 in file order."""
+    stored = written(rows, "csv-rows")
+    return row_index(stored, ["_file", "_pos"], name).drop("_file", "_pos")
 
 
 def normalise_na(df: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from variantflow.operators.keyed import latest
 from variantflow.schemas import INFERENCE_FIELDS
+from variantflow.sources.scratch import written
 from variantflow.sources.state import read_if_exists
 
 LOG_SCHEMA = T.StructType(
@@ -80,6 +82,18 @@ def current_state(
     return latest(rows.withColumn("_rank", rank), key, "_rank").drop("_rank")
 
 
+def retry_failed(
+    spark: SparkSession, log: str, call: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """Second pass over everything that is still without a reply; returns its results.
+
+    ``call`` is :func:`variantflow.plans.rewrite.retry_pass` with its client.
+    """
+    target = f"{log}/run=retry-{uuid.uuid4().hex[:12]}/batch=2"
+    done = call(current_state(spark, log)).select(*LOG_SCHEMA.fieldNames())
+    return written(done, path=target)
+
+
 def compact(spark: SparkSession, log: str, target: str) -> DataFrame:
     """Write the current state to a new folder; the log stays as it is."""
     current_state(spark, log).write.mode("errorifexists").parquet(target)
