@@ -39,6 +39,16 @@ def heads_from_weights(weights: dict[str, tuple[Sequence[float], float] | None])
     return heads
 
 
+def vector_literal(values: Sequence[float] | None) -> Column:
+    """Constant vector from one string, folded by the optimizer.
+
+    ``F.lit`` of a list builds a JVM object for each number, which takes seconds
+    for a few thousand weights.
+    """
+    text = F.lit(None) if values is None else F.lit(",".join(map(repr, values)))
+    return F.split(text.cast("string"), ",").cast("array<double>")
+
+
 def head_rows(df: DataFrame, heads: Sequence[Head]) -> DataFrame:
     """Each row once for each head, with columns ``head, w, b, scale``.
 
@@ -46,10 +56,9 @@ def head_rows(df: DataFrame, heads: Sequence[Head]) -> DataFrame:
     """
 
     def literal(h: Head) -> Column:
-        w = F.lit(list(h.w)) if h.w is not None else F.lit(None)
         return F.struct(
             F.lit(h.name).alias("head"),
-            w.cast("array<double>").alias("w"),
+            vector_literal(h.w).alias("w"),
             F.lit(float(h.b)).alias("b"),
             F.lit(float(h.scale)).alias("scale"),
         )
