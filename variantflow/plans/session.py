@@ -12,6 +12,9 @@ SETTINGS = {
     "spark.speculation": "false",
     # four variant directories: keep a file open for each instead of sorting
     "spark.sql.maxConcurrentOutputFileWriters": "8",
+    # texts go to the Python workers and back; the local TCP stack stalled
+    # under gigabytes in both directions at once
+    "spark.python.unix.domain.socket.enabled": "true",
     # long texts: bound a batch by bytes as well as by rows
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
