@@ -66,6 +66,16 @@ def test_jobs_from_csv_to_scores(spark, source, tmp_path):
     redone = log.groupBy("row_idx", "variant").agg(F.count_if(F.col("outcome") == "ok").alias("n"))
     assert log.count() > before and redone.agg(F.max("n")).first()[0] == 1
 
+    # unless it is told to; then the newer reply is the one that counts
+    def shouting():
+        return lambda request, attempt: (200, request["original_text"].upper())
+
+    jobs.rewrite_job(spark, source, str(tmp_path / "again"), stub_service, **STUB)
+    jobs.rewrite_job(spark, source, str(tmp_path / "again"), shouting, redo=True, **STUB)
+    loud = spark.read.parquet(str(tmp_path / "again" / "state"))
+    assert loud.count() == 4 * (len(TEXTS) - 1)
+    assert all(r["reply"] == r["original_text"].upper() for r in loud.collect())
+
     art = tmp_path / "art"
     jobs.generate_job(spark, f"{out}/wide", str(tmp_path / "manifest"), str(art))
     manifest = spark.read.parquet(str(tmp_path / "manifest"))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from variantflow.catalog.base import FAST, STUB_SENDS, no_sleep, stub_service
 from variantflow.operators.variants import fan_out
 from variantflow.plans.rewrite import call_service, rewrite
+from variantflow.schemas import LOG_SCHEMA
 from variantflow.streaming.progress import compact, current_state, incremental_progress, read_log
 
 SCHEMA = "row_idx long, original_text string"
@@ -81,13 +82,15 @@ def test_a_repeated_micro_batch_replaces_itself(spark, tmp_path):
 
 
 def test_an_accepted_reply_is_kept_over_a_later_failure(spark, tmp_path):
-    schema = current_state(spark, str(tmp_path / "none")).schema
     log = [
-        (1, "positive", "t", 1, "good", 1, 0.0, "ok"),
-        (1, "positive", "t", 2, None, 5, 62.0, "failed"),
-        (2, "positive", "t", 1, None, 5, 62.0, "failed"),
-        (2, "positive", "t", 2, "late", 1, 0.0, "ok"),
+        (1, "positive", "t", 1, "good", 1, 0.0, "ok", 10),
+        (1, "positive", "t", 2, None, 5, 62.0, "failed", 20),
+        (2, "positive", "t", 1, None, 5, 62.0, "failed", 10),
+        (2, "positive", "t", 2, "late", 1, 0.0, "ok", 20),
+        # called again on purpose: the first pass of a later run is newer
+        (3, "positive", "t", 2, "old", 1, 0.0, "ok", 20),
+        (3, "positive", "t", 1, "new", 1, 0.0, "ok", 30),
     ]
-    spark.createDataFrame(log, schema).write.parquet(str(tmp_path / "log" / "run=a" / "batch=0"))
+    spark.createDataFrame(log, LOG_SCHEMA).write.parquet(str(tmp_path / "log" / "run=a" / "batch=0"))
     got = compact(spark, str(tmp_path / "log"), str(tmp_path / "state"))
-    assert [(r[0], r[4]) for r in rows(got)] == [(1, "good"), (2, "late")]
+    assert [(r[0], r[4]) for r in rows(got)] == [(1, "good"), (2, "late"), (3, "new")]

@@ -70,7 +70,8 @@ def rewrite_job(
     """
     log = f"{out}/log"
     rows = read_rows(spark, source, key)
-    finished = current_state(spark, log).filter(F.col("outcome") == "ok")
+    rows = rows.withColumn(key, F.col(key).cast("long"))
+    finished = current_state(spark, log).filter(F.col("outcome") != "failed")
     rewrite(
         rows,
         client_factory,
@@ -102,7 +103,7 @@ def incremental_rewrite_job(
     calls = {"policy": policy, **options}
 
     def work(batch: DataFrame) -> DataFrame:
-        rows = batch.select(F.col(key).alias("row_idx"), F.col(text).alias("original_text"))
+        rows = batch.select(F.col(key).cast("long").alias("row_idx"), F.col(text).alias("original_text"))
         return call_service(fan_out(rows), client_factory, **calls)
 
     rows = spark.read.parquet(source)

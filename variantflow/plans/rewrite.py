@@ -16,6 +16,7 @@ from variantflow.operators.replies import dead_letter
 from variantflow.operators.variants import assemble_wide
 from variantflow.schemas import VARIANTS
 from variantflow.sources.scratch import written
+from variantflow.streaming.progress import logged
 
 CARRIED = ("row_idx", "variant", "original_text")
 
@@ -125,8 +126,9 @@ def rewrite(
     run = f"{log.rstrip('/')}/run={uuid.uuid4().hex[:12]}" if log else None
 
     def once(results: DataFrame, pass_no: int) -> DataFrame:
-        target = f"{run}/batch={pass_no}" if run else None
-        return written(results, f"rewrite-{pass_no}", target)
+        if run:
+            return written(logged(results), path=f"{run}/batch={pass_no}")
+        return written(results, f"rewrite-{pass_no}")
 
     first = once(call_service(work, client_factory, **calls), 1)
     second = once(retry_pass(first, client_factory, **calls), 2)

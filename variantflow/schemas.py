@@ -61,6 +61,17 @@ INFERENCE_FIELDS = (
     T.StructField("outcome", T.StringType(), False),
 )
 
+# One row for each finished call.  ``logged_at`` (milliseconds) tells runs apart.
+LOG_SCHEMA = T.StructType(
+    [
+        T.StructField("row_idx", T.LongType()),
+        T.StructField("variant", T.StringType()),
+        T.StructField("original_text", T.StringType()),
+        *[T.StructField(f.name, f.dataType) for f in INFERENCE_FIELDS],
+        T.StructField("logged_at", T.LongType()),
+    ]
+)
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("row_idx", T.LongType()),

@@ -3,27 +3,24 @@
 from __future__ import annotations
 
 import hashlib
+import time
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from variantflow.operators.keyed import latest
-from variantflow.schemas import INFERENCE_FIELDS
+from variantflow.schemas import LOG_SCHEMA
 from variantflow.sources.scratch import written
 from variantflow.sources.state import read_if_exists
 
-LOG_SCHEMA = T.StructType(
-    [
-        T.StructField("row_idx", T.LongType()),
-        T.StructField("variant", T.StringType()),
-        T.StructField("original_text", T.StringType()),
-        *[T.StructField(f.name, f.dataType) for f in INFERENCE_FIELDS],
-    ]
-)
+def logged(results: DataFrame) -> DataFrame:
+    """Results as rows of the log, stamped with the time of this write."""
+    now = F.lit(time.time_ns() // 1_000_000).cast("long")
+    return results.withColumn("logged_at", now).select(*LOG_SCHEMA.fieldNames())
+
 
 
 def incremental_progress(
@@ -47,8 +44,7 @@ def incremental_progress(
     run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        done = work(batch).select(*LOG_SCHEMA.fieldNames())
-        done.write.mode("overwrite").parquet(f"{log}/run={run}/batch={batch_id}")
+        logged(work(batch)).write.mode("overwrite").parquet(f"{log}/run={run}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).format(fmt)
     if max_files:
@@ -75,11 +71,12 @@ def current_state(
 ) -> DataFrame:
     """Newest result of each key.
 
-    An accepted reply beats a failed one of any pass; then the later pass wins.
+    An accepted reply beats a failed one of any run; then the later one wins.
     """
     rows = read_log(spark, log)
-    rank = F.struct(F.col("outcome") == "ok", F.col("pass"))
-    return latest(rows.withColumn("_rank", rank), key, "_rank").drop("_rank")
+    rank = F.struct(F.col("outcome") == "ok", F.col("logged_at"), F.col("pass"))
+    ranked = rows.withColumn("_rank", rank).drop("logged_at")
+    return latest(ranked, key, "_rank").drop("_rank")
 
 
 def retry_failed(
@@ -90,11 +87,11 @@ def retry_failed(
     ``call`` is :func:`variantflow.plans.rewrite.retry_pass` with its client.
     """
     target = f"{log}/run=retry-{uuid.uuid4().hex[:12]}/batch=2"
-    done = call(current_state(spark, log)).select(*LOG_SCHEMA.fieldNames())
-    return written(done, path=target)
+    return written(logged(call(current_state(spark, log))), path=target)
 
 
 def compact(spark: SparkSession, log: str, target: str) -> DataFrame:
     """Write the current state to a new folder; the log stays as it is."""
-    current_state(spark, log).write.mode("errorifexists").parquet(target)
-    return spark.read.schema(LOG_SCHEMA).parquet(target)
+    state = current_state(spark, log)
+    state.write.mode("errorifexists").parquet(target)
+    return spark.read.schema(state.schema).parquet(target)
