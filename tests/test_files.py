@@ -131,6 +131,27 @@ def test_manifest_and_probe_agree(spark, tmp_path):
         assert got == {0: True, 1: True, 2: False, 3: False, 4: False}
 
 
+def test_stores_are_opened_once(monkeypatch):
+    from pyarrow import fs
+
+    from variantflow.sources.artifacts import _Stores
+
+    opened = []
+
+    def from_uri(uri):
+        opened.append(uri)
+        return "s3", "bucket"
+
+    monkeypatch.setattr(fs, "FileSystem", type("FileSystem", (), {"from_uri": staticmethod(from_uri)}))
+    stores = _Stores()
+    assert stores.locate("s3a://bucket/a/1.png") == ("s3://bucket", "s3", "bucket/a/1.png")
+    assert stores.locate("s3://bucket/b/2.png")[2] == "bucket/b/2.png"
+    assert opened == ["s3://bucket/"]
+    for path in ("/a/b", "file:/a/b", "file:///a/b"):
+        store, system, inside = stores.locate(path)
+        assert store == "" and isinstance(system, fs.LocalFileSystem) and inside == "/a/b"
+
+
 def test_images_become_rgb_and_bad_files_become_null(spark, tmp_path):
     rgb = bytes([1, 2, 3, 40, 50, 60])
     good = png_bytes(rgb, 2, 1, 3)

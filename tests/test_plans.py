@@ -53,6 +53,24 @@ def test_no_query_multiplies_two_tables_or_gathers_in_one_task(spark, name):
     assert "Window" not in text and "SinglePartition" not in text
 
 
+@pytest.mark.parametrize(
+    "name",
+    ["row_index", "keyed_upsert", "append_recovered", "assemble_wide", "run_counters", "manifest_join",
+     "weighted_draw", "score_stage", "scored_dataset"],
+)
+def test_partition_counts_change_no_result(spark, name):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    results = []
+    try:
+        for n in ("1", "5", "16"):
+            spark.conf.set(key, n)
+            results.append(sorted(map(repr, queries()[name](spark, SF).collect())))
+    finally:
+        spark.conf.set(key, before)
+    assert results[0] == results[1] == results[2]
+
+
 def test_every_query_has_its_sql():
     assert set(queries()) == set(oracle_sql())
     assert len(queries()) >= 42

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from variantflow.catalog.base import (
@@ -28,7 +30,6 @@ from variantflow.operators.scoring import (
     conditional_rescale,
     head_lookup_default,
     head_rows,
-    linear_score,
     score_long,
     scores_map,
     scores_to_wide,
@@ -166,11 +167,9 @@ def linear(spark, sf_dir):
         FROM raw""",
 )
 def rescaled(spark, sf_dir):
-    raw = linear_score(F.col("features"), F.col("w"), F.col("b"))
-    score = conditional_rescale(raw, F.col("head"))
-    return head_rows(vectors(spark, sf_dir), HEADS).select(
-        "vec_id", "head", F.round(score, 6).alias("score")
-    )
+    raw = score_long(image_features(spark, sf_dir), [replace(h, scale=1.0) for h in HEADS])
+    score = conditional_rescale(F.col("score"), F.col("head"))
+    return raw.withColumn("score", F.round(score, 6))
 
 
 @query(

@@ -30,13 +30,30 @@ def artifact_manifest(spark: SparkSession, root: str, pattern: str = "*") -> Dat
     return listing.select(normal_path(F.col("path")).alias("path"), "length")
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
+class _Stores:
+    """File systems of paths, opened once for each store in a task."""
 
-    if "://" in path:
-        return fs.FileSystem.from_uri(path)
-    local = "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
-    return fs.LocalFileSystem(), local
+    def __init__(self) -> None:
+        self._open: dict[str, tuple] = {}
+
+    def locate(self, path: str) -> tuple:
+        """(store, file system, path inside it)."""
+        from pyarrow import fs
+
+        scheme, mark, rest = path.partition("://")
+        if not mark or scheme == "file":
+            if "" not in self._open:
+                self._open[""] = (fs.LocalFileSystem(), "")
+            local = "/" + path.split(":", 1)[1].lstrip("/") if path.startswith("file:") else path
+            return "", self._open[""][0], local
+        authority, _, inside = rest.partition("/")
+        # Hadoop's names of the object store connector
+        scheme = "s3" if scheme in ("s3a", "s3n") else scheme
+        store = f"{scheme}://{authority}"
+        if store not in self._open:
+            self._open[store] = fs.FileSystem.from_uri(store + "/")
+        system, base = self._open[store]
+        return store, system, f"{base.rstrip('/')}/{inside}"
 
 
 def probe_artifacts(
@@ -44,24 +61,27 @@ def probe_artifacts(
 ) -> DataFrame:
     """Add whether the file of each row exists, tested inside the tasks.
 
-    Narrow: no listing, no shuffle and nothing on the driver.  The file system
-    is asked once for each record batch.
+    Narrow: no listing, no shuffle and nothing on the driver.  Each store is
+    asked once for each record batch.
     """
 
     @F.arrow_udf("boolean")
     def exists(paths: pa.Array) -> pa.Array:
         from pyarrow import fs
 
-        given = [p or "" for p in paths.to_pylist()]
-        some = next((p for p in given if p), None)
-        if some is None:
-            return pa.array([False] * len(given), pa.bool_())
-        system, _ = _filesystem(some)
-        wanted = [_filesystem(p)[1] if p else "" for p in given]
-        infos = iter(system.get_file_info([p for p in wanted if p]))
-        return pa.array(
-            [bool(p) and next(infos).type != fs.FileType.NotFound for p in wanted], pa.bool_()
-        )
+        stores = _Stores()
+        asked: dict[str, tuple] = {}
+        for i, p in enumerate(paths.to_pylist()):
+            if p:
+                store, system, inside = stores.locate(p)
+                _, rows, names = asked.setdefault(store, (system, [], []))
+                rows.append(i)
+                names.append(inside)
+        found = np.zeros(len(paths), dtype=bool)
+        for system, rows, names in asked.values():
+            infos = system.get_file_info(names)
+            found[rows] = [info.type != fs.FileType.NotFound for info in infos]
+        return pa.array(found)
 
     return df.withColumn(name, exists(F.col(path)))
 
@@ -73,16 +93,16 @@ def write_artifacts(df: DataFrame, path: str, content: str) -> DataFrame:
     """
 
     def save(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = set()
+        stores, made = _Stores(), set()
         for batch in batches:
             paths, sizes = [], []
             for target, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                system, local = _filesystem(target)
-                folder = local.rsplit("/", 1)[0]
+                _, system, inside = stores.locate(target)
+                folder = inside.rsplit("/", 1)[0]
                 if folder not in made:
                     system.create_dir(folder, recursive=True)
                     made.add(folder)
-                with system.open_output_stream(local) as out:
+                with system.open_output_stream(inside) as out:
                     out.write(data)
                 paths.append(target)
                 sizes.append(len(data))
