@@ -85,6 +85,17 @@ def chat_render(
     return F.concat(F.array_join(parts, ""), F.lit(start_tag))
 
 
+def chat_prompt(text: Column, start_tag: str, dialect: ChatDialect = PLAIN_DIALECT) -> Column:
+    """:func:`chat_render` of :func:`chat_messages` as one concatenation.
+
+    No arrays and no lambda, so it stays inside generated code.
+    """
+    asked = F.when(
+        text != "", F.concat(F.lit(dialect.user + dialect.role_sep), text, F.lit(dialect.turn_sep))
+    ).when(text == "", F.lit(dialect.user + dialect.open_turn))
+    return F.concat(asked, F.lit(dialect.assistant + dialect.open_turn + start_tag))
+
+
 def artifact_path(
     directory: str,
     slug: Column,

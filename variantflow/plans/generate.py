@@ -11,8 +11,7 @@ from variantflow.functions.text import (
     PLAIN_DIALECT,
     ChatDialect,
     artifact_path,
-    chat_messages,
-    chat_render,
+    chat_prompt,
 )
 from variantflow.operators.variants import fan_out
 from variantflow.schemas import VARIANTS
@@ -29,7 +28,7 @@ def generation_requests(
     """Add ``prompt`` and ``generated_filename`` to a long table.  Narrow."""
     return long.withColumns(
         {
-            "prompt": chat_render(chat_messages(F.col(text), dialect), start_tag, dialect),
+            "prompt": chat_prompt(F.col(text), start_tag, dialect),
             "generated_filename": artifact_path(directory, F.col("slug"), F.col("row_idx")),
         }
     )
