@@ -98,13 +98,19 @@ def test_load_or_init_reads_all_tables(spark, tmp_path):
 
 
 def test_load_or_init_starts_empty_if_one_table_is_missing(spark, tmp_path):
-    save_variant_tables(some_state(spark, VARIANTS[:3]), str(tmp_path / "s"))
+    save_variant_tables(some_state(spark, VARIANTS[:3]), str(tmp_path / "s"), VARIANTS[:3])
     tables = load_or_init(spark, str(tmp_path / "s"))
     assert list(tables) == list(VARIANTS)
     assert all(t.isEmpty() for t in tables.values())
     assert tables["positive"].columns == ["description_original", "description_positive"]
 
 
+def test_a_variant_without_rows_is_not_missing(spark, tmp_path):
+    save_variant_tables(some_state(spark, VARIANTS[:3]), str(tmp_path / "s"))
+    tables = load_or_init(spark, str(tmp_path / "s"))
+    assert [t.count() for t in tables.values()] == [2, 2, 2, 0]
+
+
 def test_long_state_starts_empty(spark, tmp_path):
     assert load_state(spark, str(tmp_path / "none")).isEmpty()
 

@@ -24,15 +24,18 @@ def read_if_exists(
         raise
 
 
+_STORED = "description_original string, reply string"
+
+
+def _table_path(root: str, variant: str) -> str:
+    return f"{root.rstrip('/')}/slug={slug_of(variant)}"
+
+
 def load_or_init(
     spark: SparkSession, root: str, variants: Sequence[str] = VARIANTS
 ) -> dict[str, DataFrame]:
     """The two-column table of each variant; if one is missing, all start empty."""
-    stored = "description_original string, reply string"
-    found = {
-        v: read_if_exists(spark, f"{root.rstrip('/')}/slug={slug_of(v)}", stored)
-        for v in variants
-    }
+    found = {v: read_if_exists(spark, _table_path(root, v), _STORED) for v in variants}
     if all(t is not None for t in found.values()):
         return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
     return {v: spark.createDataFrame([], variant_state_schema(v)) for v in variants}
@@ -44,14 +47,23 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
     return found if found is not None else spark.createDataFrame([], STATE_SCHEMA)
 
 
-def save_variant_tables(state: DataFrame, root: str) -> None:
-    """Tables for :func:`load_or_init`, all from one pass over the state."""
+def save_variant_tables(
+    state: DataFrame, root: str, variants: Sequence[str] = VARIANTS
+) -> None:
+    """Tables for :func:`load_or_init`, all from one pass over the state.
+
+    A variant without rows gets an empty table, which is not a missing one.
+    """
+    spark = state.sparkSession
     rows = state.select(
         F.col("original_text").alias("description_original"),
         "reply",
         F.replace("variant", F.lit(" "), F.lit("_")).alias("slug"),
     )
     write_routed(rows, root)
+    for v in variants:
+        if read_if_exists(spark, _table_path(root, v), _STORED) is None:
+            spark.createDataFrame([], _STORED).write.parquet(_table_path(root, v))
 
 
 def write_routed(
