@@ -7,7 +7,7 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import oracle_sql, queries
+from variantflow.catalog import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.01")
 TABLES = "documents embeddings labels conversations pages benchmark".split()
@@ -37,10 +37,10 @@ def canonical(names, rows):
 KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLES[name])
     kinds = {f.name: KIND[f.dataType.simpleString()] for f in result.schema.fields}
     assert kinds == dict(zip(expected.columns, map(str, expected.types)))
     want = canonical(expected.columns, expected.fetchall())
