@@ -8,14 +8,15 @@ and no Python call for each word.  Slices are cut between documents at about
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLICE_BYTES = 1 << 20
 U = np.uint64
@@ -40,8 +41,9 @@ def _lower() -> np.ndarray:
 
 
 LOWER = _lower()
-#: a 64-bit value for each byte, the same for A-Z and a-z
-BYTE = mix((LOWER.astype(U) + U(1)) * ODD)
+#: a 64-bit value for each byte, and the same with A-Z as a-z
+EXACT = mix((np.arange(256, dtype=U) + U(1)) * ODD)
+FOLDED = EXACT[LOWER]
 
 
 def separators(*ranges: tuple[int, int]) -> np.ndarray:
@@ -83,14 +85,14 @@ class Words:
     end: np.ndarray
     first: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        """64-bit hash of each word's bytes, with A-Z as a-z."""
+    def hashes(self, values_of: np.ndarray = FOLDED) -> np.ndarray:
+        """64-bit hash of each word's bytes, by default with A-Z as a-z."""
         if not len(self.start):
             return np.empty(0, U)
         up, down = powers(len(self.buf))
         sums = np.empty(len(self.buf) + 1, U)
         sums[0] = 0
-        values = BYTE[self.buf]
+        values = values_of[self.buf]
         values *= up[: len(values)]
         np.cumsum(values, out=sums[1:])
         h = (sums[self.end] - sums[self.start]) * down[self.start]
@@ -139,6 +141,56 @@ def slices_of_words(col: pa.Array, sep: np.ndarray) -> Iterator[tuple[int, int,
         yield row, end, cut_words(buf, offsets, sep)
 
 
+def slice_texts(col: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
+    """The same slices as texts."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    for row, end, _, _ in text_slices(col):
+        yield row, end, pc.fill_null(col.slice(row, end - row), "")
+
+
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until no column is called so."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def map_texts(
+    docs: DataFrame, text: str, keep: list[str], fields: list[tuple[str, str]], job: Callable
+) -> DataFrame:
+    """Columns ``keep`` of ``docs`` with new columns made from the text column.
+
+    ``job()`` runs once for each task and returns a function from (first row, end
+    row, batch) of a slice to the arrays of the new ``fields`` (name, type).
+    Inside, columns are told apart by position, so no name clashes.
+    """
+    kept = [docs[quoted(c)].alias(f"k{i}") for i, c in enumerate(keep)]
+    inner = docs.select(*kept, docs[quoted(text)].cast("string").alias("text"))
+    types = [docs.schema[c].dataType for c in keep]
+    schema = T.StructType(
+        [T.StructField(f"k{i}", t) for i, t in enumerate(types)]
+        + [T.StructField(f"f{i}", T._parse_datatype_string(t)) for i, (_, t) in enumerate(fields)]
+    )
+    names = schema.names
+
+    def run(batches):
+        work = job()
+        for batch in batches:
+            for row, end, _, _ in text_slices(batch.column(len(keep))):
+                found = work(batch.column(len(keep)).slice(row, end - row))
+                cells = [batch.column(i).slice(row, end - row) for i in range(len(keep))]
+                yield pa.RecordBatch.from_arrays([*cells, *found], names=names)
+
+    mapped = inner.mapInArrow(run, schema)
+    return mapped.toDF(*keep, *[name for name, _ in fields])
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fold(key: str, parts: int, left_out: int) -> Column:
     """True for rows of the fold that is left out: crc32 of the key as text, modulo ``parts``.
 

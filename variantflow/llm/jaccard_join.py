@@ -63,12 +63,13 @@ def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
             yield np.empty(0, U)
 
 
-@np.errstate(over="ignore")
 def set_id(shingles: np.ndarray) -> np.uint64:
     """64-bit identity of a set; 0 for the empty set."""
     if not len(shingles):
         return U(0)
-    return mix(np.array([np.sum(mix(shingles)) + U(len(shingles)) * ODD], U))[0] | U(1)
+    # sums of arrays wrap around silently, those of scalars warn
+    size = np.array([len(shingles)], U) * ODD
+    return mix(mix(shingles).sum(keepdims=True) + size)[0] | U(1)
 
 
 class Signatures:
@@ -89,7 +90,6 @@ class Signatures:
             self.edges.append(max(self.edges[-1] + 1, ceil(self.edges[-1] * BAND)))
         return bisect_left(self.edges, n + 1) - 1
 
-    @np.errstate(over="ignore")
     def of(self, shingles: np.ndarray) -> np.ndarray:
         """Signatures of a sorted set: of its own size band, and of the next if partners reach it."""
         n = len(shingles)
@@ -99,11 +99,11 @@ class Signatures:
                 self.band(self.edges[band])
                 k = self.differing(self.edges[band + 1] - 1)
                 if k:
-                    self._parts(shingles, k + 1, U(band + 1) * ODD, 0, out)
+                    self._parts(shingles, k + 1, mix(np.array([band + 1], U)), 0, out)
         return np.concatenate(out) if out else np.empty(0, U)
 
     def _parts(self, shingles, parts, path, level, out) -> None:
-        a = shingles if not level else np.sort(mix(shingles + U(level) * ODD))
+        a = shingles if not level else np.sort(mix(shingles ^ mix(np.array([level], U))))
         of = ((a >> U(32)) * U(parts)) >> U(32)
         sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(a ^ ODD))])
         at = np.searchsorted(of, np.arange(parts + 1, dtype=U))
@@ -113,7 +113,7 @@ class Signatures:
         if level < LEVELS and len(empty):
             out[-1] = np.delete(out[-1], empty)
             for p in empty:
-                self._parts(shingles, parts, ids[p], level + 1, out)
+                self._parts(shingles, parts, ids[p : p + 1], level + 1, out)
 
 
 SET_SCHEMA = "doc_id long, n long, sid long, signatures array<long>"
