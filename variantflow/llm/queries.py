@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
 from variantflow.llm.jaccard_join import jaccard_classes
+from variantflow.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,3 +32,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query("op3_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=3, threshold="9/10")
+
+
+@query("op7_benchmark_decontamination")
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    found = scan_benchmark(docs, items, keep=["doc_id"], name="found")
+    n_words, items = F.col("found.n_words"), F.col("found.items")
+    return found.select(
+        "doc_id",
+        n_words.alias("n_words"),
+        n_hit("found").alias("n_hit"),
+        F.size(items).cast("long").alias("n_items"),
+        F.sha2(F.array_join(items, ",").cast("binary"), 256).alias("items_sha256"),
+        contaminated(n_hit("found"), n_words).alias("contaminated"),
+    )
+
+
+@query("op9_packing")
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(table(spark, sf_dir, "documents"))
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
