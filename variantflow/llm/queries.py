@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from variantflow.llm.batches import fold
 from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
 from variantflow.llm.jaccard_join import jaccard_classes
+from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.packing import pack
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +57,15 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+LANGUAGE_FOLD = (4, 2)
+
+
+@query("op2_language_id")
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", *LANGUAGE_FOLD)
+    model = fit_languages(docs.where(~held_out))
+    found = identify(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
