@@ -12,6 +12,7 @@ from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
 from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.packing import pack
+from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -69,3 +70,16 @@ def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_languages(docs.where(~held_out))
     found = identify(docs, model, keep=["doc_id"])
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+TOXICITY_FOLD = (3, 1)
+
+
+@query("op4_toxicity")
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = fold("doc_id", *TOXICITY_FOLD)
+    model = fit_toxicity(docs, labels.where(~held_out))
+    found = score_toxicity(docs, model, keep=["doc_id"])
+    predicted = (F.col("score") >= THRESHOLD).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
