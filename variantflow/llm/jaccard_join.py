@@ -24,7 +24,7 @@ import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
 from fractions import Fraction
-from math import ceil, floor
+from math import ceil, exp, floor, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +39,7 @@ from variantflow.sources.scratch import written
 BAND = 1.35
 #: shingles of a block that one task indexes at once
 BLOCK_SHINGLES = 4_000_000
-#: a part without shingles is cut again, so often
+#: a set with many empty parts is cut anew, so often
 LEVELS = 6
 
 
@@ -73,13 +73,20 @@ def set_id(shingles: np.ndarray) -> np.uint64:
 
 
 class Signatures:
-    """Part hashes such that similar sets of different content share at least one."""
+    """Part hashes such that similar sets of different content share at least one.
+
+    Sets are cut into k + 1 + m parts, so similar ones have m + 1 equal parts at
+    least.  Parts without shingles give no signature; a set with more than m of
+    them is cut anew by another hash, and so is any similar set that shares only
+    empty parts with it.
+    """
 
     def __init__(self, threshold: Fraction):
         self.t = threshold
         #: of the shingles of both, the share that may be in one only
         self.share = (1 - threshold) / (1 + threshold)
         self.edges = [1]
+        self.plans: dict[int, tuple[int, int]] = {}
 
     def differing(self, largest: int) -> int:
         """Most shingles by which similar sets differ when the larger has ``largest``."""
@@ -90,30 +97,41 @@ class Signatures:
             self.edges.append(max(self.edges[-1] + 1, ceil(self.edges[-1] * BAND)))
         return bisect_left(self.edges, n + 1) - 1
 
+    def plan(self, band: int) -> tuple[int, int]:
+        """(parts, empty parts that are allowed) for pairs whose larger set is of this band."""
+        if band not in self.plans:
+            self.band(self.edges[band])
+            k = self.differing(self.edges[band + 1] - 1)
+            empty = (k + 1) * exp(-float(self.edges[band] * self.t) / (k + 1))
+            spare = 0 if empty < 0.05 else ceil(empty + 3 * sqrt(empty) + 1)
+            self.plans[band] = (k + 1 + spare, spare) if k else (0, 0)
+        return self.plans[band]
+
     def of(self, shingles: np.ndarray) -> np.ndarray:
         """Signatures of a sorted set: of its own size band, and of the next if partners reach it."""
         n = len(shingles)
         out = []
         if n:
             for band in range(self.band(n), self.band(floor(n / self.t)) + 1):
-                self.band(self.edges[band])
-                k = self.differing(self.edges[band + 1] - 1)
-                if k:
-                    self._parts(shingles, k + 1, mix(np.array([band + 1], U)), 0, out)
+                parts, spare = self.plan(band)
+                if parts:
+                    self._parts(shingles, parts, spare, band, 0, out)
         return np.concatenate(out) if out else np.empty(0, U)
 
-    def _parts(self, shingles, parts, path, level, out) -> None:
+    def _parts(self, shingles, parts, spare, band, level, out) -> None:
         a = shingles if not level else np.sort(mix(shingles ^ mix(np.array([level], U))))
         of = ((a >> U(32)) * U(parts)) >> U(32)
         sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(a ^ ODD))])
         at = np.searchsorted(of, np.arange(parts + 1, dtype=U))
-        ids = mix(path + np.arange(1, parts + 1, dtype=U))
-        out.append(mix(ids ^ (sums[at[1:]] - sums[at[:-1]])))
-        empty = np.flatnonzero(at[1:] == at[:-1])
-        if level < LEVELS and len(empty):
-            out[-1] = np.delete(out[-1], empty)
-            for p in empty:
-                self._parts(shingles, parts, ids[p : p + 1], level + 1, out)
+        path = mix(np.array([band * (LEVELS + 1) + level + 1], U))
+        found = mix(mix(path + np.arange(1, parts + 1, dtype=U)) ^ (sums[at[1:]] - sums[at[:-1]]))
+        filled = at[1:] > at[:-1]
+        if level < LEVELS:
+            out.append(found[filled])
+            if parts - filled.sum() > spare:
+                self._parts(shingles, parts, spare, band, level + 1, out)
+        else:
+            out.append(found)
 
 
 SET_SCHEMA = "doc_id long, n long, sid long, signatures array<long>"
@@ -426,8 +444,8 @@ def jaccard_classes(
     rows = written(narrow.mapInArrow(_set_batches(size, t), SET_SCHEMA), "jaccard-sets")
     filled = rows.where("n > 0")
     postings = (
-        filled.groupBy("sid").agg(F.first("signatures").alias("signatures"), F.max("n").alias("n"))
-        .select("sid", F.explode("signatures").alias("signature"), "n")
+        filled.groupBy("sid").agg(F.first("signatures").alias("signatures"))
+        .select("sid", F.explode("signatures").alias("signature"))
     )
     sharing = F.count("*").over(Window.partitionBy("signature"))
     postings = written(postings.withColumn("members", sharing).where("members > 1"), "jaccard-postings")
@@ -436,7 +454,9 @@ def jaccard_classes(
         postings.join(weight, "sid").groupBy("signature")
         .agg(F.max_by("sid", F.struct("weight", "sid")).alias("hub"))
     )
-    members = written(postings.join(hubs, "signature").select("hub", "sid", "n").distinct(), "jaccard-members")
+    members = postings.join(hubs, "signature").select("hub", "sid").distinct()
+    sizes = filled.groupBy("sid").agg(F.max("n").alias("n"))
+    members = written(members.join(sizes, "sid"), "jaccard-members")
     # every hub is a member of its own block; classes without a partner need no text
     texts = (
         narrow.mapInArrow(_text_batches(size), "sid long, text string")

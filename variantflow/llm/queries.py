@@ -11,6 +11,7 @@ from variantflow.llm.batches import fold
 from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
 from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
+from variantflow.llm.language_model import fit_language_model, score_texts
 from variantflow.llm.packing import pack
 from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 
@@ -83,3 +84,17 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = score_toxicity(docs, model, keep=["doc_id"])
     predicted = (F.col("score") >= THRESHOLD).cast("int")
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+MODEL_FOLD = (7, 2)
+
+
+@query("op6_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", *MODEL_FOLD)
+    model = fit_language_model(docs.where(~held_out))
+    found = score_texts(docs, model, keep=["doc_id"])
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
