@@ -8,7 +8,7 @@ and no Python call for each word.  Slices are cut between documents at about
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -149,6 +149,27 @@ def slice_texts(col: pa.Array) -> Iterator[tuple[int, int, pa.Array]]:
         yield row, end, pc.fill_null(col.slice(row, end - row), "")
 
 
+def by_group(batches, keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of the runs of equal keys in sorted batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        changes = np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1
+        cuts = [0, *changes.tolist(), batch.num_rows]
+        for start, end in zip(cuts[:-1], cuts[1:]):
+            key = tuple(columns[:, start])
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def free_name(docs: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column is called so."""
     taken = {c.lower() for c in docs.columns}
@@ -158,16 +179,24 @@ def free_name(docs: DataFrame, name: str) -> str:
 
 
 def map_texts(
-    docs: DataFrame, text: str, keep: list[str], fields: list[tuple[str, str]], job: Callable
+    docs: DataFrame,
+    text: str,
+    keep: list[str],
+    fields: list[tuple[str, str]],
+    job: Callable,
+    keys: Sequence[str] = (),
 ) -> DataFrame:
     """Columns ``keep`` of ``docs`` with new columns made from the text column.
 
-    ``job()`` runs once for each task and returns a function from (first row, end
-    row, batch) of a slice to the arrays of the new ``fields`` (name, type).
-    Inside, columns are told apart by position, so no name clashes.
+    ``job()`` runs once for each task and returns a function from the texts of a
+    slice to the arrays of the new ``fields`` (name, type).  The long columns
+    ``keys`` are given to it before the texts.  Inside, columns are told apart by
+    position, so no name clashes.
     """
     kept = [docs[quoted(c)].alias(f"k{i}") for i, c in enumerate(keep)]
-    inner = docs.select(*kept, docs[quoted(text)].cast("string").alias("text"))
+    given = [docs[quoted(k)].cast("long").alias(f"g{i}") for i, k in enumerate(keys)]
+    inner = docs.select(*kept, *given, docs[quoted(text)].cast("string").alias("text"))
+    width = len(keep) + len(keys)
     types = [docs.schema[c].dataType for c in keep]
     schema = T.StructType(
         [T.StructField(f"k{i}", t) for i, t in enumerate(types)]
@@ -178,8 +207,8 @@ def map_texts(
     def run(batches):
         work = job()
         for batch in batches:
-            for row, end, _, _ in text_slices(batch.column(len(keep))):
-                found = work(batch.column(len(keep)).slice(row, end - row))
+            for row, end, _, _ in text_slices(batch.column(width)):
+                found = work(*[batch.column(i).slice(row, end - row) for i in range(len(keep), width + 1)])
                 cells = [batch.column(i).slice(row, end - row) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cells, *found], names=names)
 

@@ -149,3 +149,68 @@ class Counting:
         out = merge_counts(self.keys, self.counts)
         self._clear()
         return out
+
+
+def write_hashed(df, folder: str, key: str, others: list[str], rows_of_shard: int = 1_000_000) -> "Hashed":
+    """Write a table by its 64-bit hash column ``key`` (distinct, not NULL) with other long columns.
+
+    Returns what opens the arrays in a task.
+    """
+    from pyspark.sql import functions as F
+
+    from variantflow.llm.batches import by_group
+
+    shards = max(1, -(-df.count() // rows_of_shard))
+    # the hash as an unsigned number, in ranges of equal width
+    high = F.shiftrightunsigned(key, 32)
+    dealt = df.select(
+        F.shiftrightunsigned(high * shards, 32).cast("int").alias("shard"), F.col(key).alias("key"), *others
+    )
+    dealt = dealt.repartition(shards, "shard").sortWithinPartitions("shard")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for group in by_group(batches, ["shard"]):
+            shard = group.column("shard")[0].as_py()
+            keys = group.column("key").to_numpy().view(U)
+            order = np.argsort(keys)
+            Shards(folder, "keys", U).save(shard, keys[order])
+            for name in others:
+                Shards(folder, name, np.int64).save(shard, group.column(name).to_numpy()[order])
+            yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32())})
+
+    present = {r.shard for r in dealt.mapInArrow(run, "shard int").collect()}
+    for shard in set(range(shards)) - present:
+        for name in ("keys", *others):
+            Shards(folder, name, np.int64).save(shard, np.empty(0, np.int64))
+    return Hashed(folder, shards, tuple(others))
+
+
+class Hashed:
+    """Arrays that ``write_hashed`` wrote."""
+
+    def __init__(self, folder: str, shards: int, others: tuple[str, ...]):
+        self.folder, self.shards, self.names = folder, shards, others
+        self.keys = Shards(folder, "keys", U)
+        self.others = {name: Shards(folder, name, np.int64) for name in others}
+
+    def __reduce__(self):
+        return Hashed, (self.folder, self.shards, self.names)
+
+    def look_up(self, wanted: np.ndarray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+        """Which hashes are there, and the other columns of those (0 for the rest)."""
+        order = np.argsort(wanted)
+        ordered = wanted[order]
+        shards = hash_shard(ordered, self.shards)
+        at = np.empty(len(wanted), np.int64)
+        at[order] = find(self.keys, shards, ordered)
+        out = {}
+        of = hash_shard(wanted, self.shards)
+        for name, arrays in self.others.items():
+            values = np.zeros(len(wanted), np.int64)
+            for shard in np.unique(of[at >= 0]).tolist():
+                rows = np.flatnonzero((of == shard) & (at >= 0))
+                values[rows] = arrays[shard][at[rows]]
+            out[name] = values
+        return at >= 0, out

@@ -31,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import BLANK, ODD, U, mix, slices_of_words
+from variantflow.llm.batches import BLANK, ODD, U, by_group, free_name, map_texts, mix, quoted, slices_of_words
 from variantflow.llm.components import components
-from variantflow.sources.scratch import written
+from variantflow.llm.hash_arrays import Hashed, write_hashed
+from variantflow.sources.scratch import new_folder, written
 
 #: sizes grow by this factor from one band to the next
 BAND = 1.35
@@ -163,16 +164,22 @@ def _set_batches(size: int, threshold: Fraction):
     return run
 
 
-def _text_batches(size: int):
-    """(doc_id, text) to (sid, text), each set once for a task."""
+def _sids(words, size: int) -> np.ndarray:
+    return np.array([set_id(s) for s in shingle_sets(words, size)], U)
+
+
+def _text_batches(size: int, wanted: Hashed):
+    """(doc_id, text) to (sid, text) of wanted sets, each set once for a task."""
 
     def run(batches):
         seen: set[int] = set()
         for batch in batches:
             texts = batch.column(1)
             for row, end, words in slices_of_words(texts, BLANK):
-                sids = np.array([set_id(s) for s in shingle_sets(words, size)], U).view(np.int64)
-                new = [i for i, sid in enumerate(sids.tolist()) if sid and not (sid in seen or seen.add(sid))]
+                sids = _sids(words, size)
+                found, _ = wanted.look_up(sids)
+                sids = sids.view(np.int64)
+                new = [i for i in np.flatnonzero(found).tolist() if not (sids[i] in seen or seen.add(sids[i]))]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sids[new]), texts.slice(row, end - row).take(pa.array(new, pa.int64()))],
                     names=["sid", "text"],
@@ -307,27 +314,6 @@ def sets_of_texts(texts, size: int) -> list[np.ndarray]:
     return [s for _, _, words in slices_of_words(texts, BLANK) for s in shingle_sets(words, size)]
 
 
-def by_group(batches, keys: list[str]) -> Iterator[pa.Table]:
-    """Tables of the runs of equal keys in sorted batches."""
-    held: list[pa.RecordBatch] = []
-    last = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        columns = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
-        changes = np.flatnonzero((columns[:, 1:] != columns[:, :-1]).any(axis=0)) + 1
-        cuts = [0, *changes.tolist(), batch.num_rows]
-        for start, end in zip(cuts[:-1], cuts[1:]):
-            key = tuple(columns[:, start])
-            if held and key != last:
-                yield pa.Table.from_batches(held)
-                held = []
-            held.append(batch.slice(start, end - start))
-            last = key
-    if held:
-        yield pa.Table.from_batches(held)
-
-
 EDGE_SCHEMA = "a long, b long"
 
 
@@ -423,24 +409,10 @@ def _edges_of_blocks(members, texts, size: int, t: Fraction, block_shingles: int
     return searched(small).unionByName(searched(asks.unionByName(told))).unionByName(stars)
 
 
-def jaccard_classes(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    size: int = 5,
-    threshold: Fraction | str = Fraction(8, 10),
-    block_shingles: int = BLOCK_SHINGLES,
-) -> DataFrame:
-    """(key, n_shingles, component_id) of every row of ``docs``.
-
-    ``component_id`` is the smallest key that links reach, the row's own
-    included.  NULL texts and texts without words have no shingles and are
-    linked with nothing.  Repeated rows and equal texts are one class.  A NULL
-    key is never the smallest; a class of NULL keys alone has a NULL component.
-    Other columns of ``docs`` are ignored.
-    """
-    t = Fraction(threshold)
-    narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _labels(docs: DataFrame, key: str, text: str, size: int, t: Fraction, block_shingles: int):
+    """(rows (doc_id, n, sid), labels (sid, least, smallest)): each class with the smallest keys of it and of its component."""
+    spark = docs.sparkSession
+    narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     rows = written(narrow.mapInArrow(_set_batches(size, t), SET_SCHEMA), "jaccard-sets")
     filled = rows.where("n > 0")
     postings = (
@@ -458,19 +430,90 @@ def jaccard_classes(
     sizes = filled.groupBy("sid").agg(F.max("n").alias("n"))
     members = written(members.join(sizes, "sid"), "jaccard-members")
     # every hub is a member of its own block; classes without a partner need no text
-    texts = (
-        narrow.mapInArrow(_text_batches(size), "sid long, text string")
-        .join(members.select("sid").distinct(), "sid", "left_semi")
-        .dropDuplicates(["sid"])
-    )
+    wanted = write_hashed(members.select("sid").distinct(), new_folder(spark, "jaccard-wanted"), "sid", [])
+    texts = narrow.mapInArrow(_text_batches(size, wanted), "sid long, text string").dropDuplicates(["sid"])
     found = components(_edges_of_blocks(members, texts, size, t, block_shingles))
     least = filled.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(found.withColumnRenamed("node", "sid"), "sid", "left")
     least = least.withColumn("component", F.coalesce("component", "sid"))
     smallest = least.groupBy("component").agg(F.min("least").alias("smallest"))
-    labels = least.join(smallest, "component").select("sid", "smallest")
+    return rows, least.join(smallest, "component").select("sid", "least", "smallest", "component")
+
+
+def jaccard_classes(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    threshold: Fraction | str = Fraction(8, 10),
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """(key, n_shingles, component_id) of every row of ``docs``.
+
+    ``component_id`` is the smallest key that links reach, the row's own
+    included.  NULL texts and texts without words have no shingles and are
+    linked with nothing.  Repeated rows and equal texts are one class.  A NULL
+    key is never the smallest; a class of NULL keys alone has a NULL component.
+    Other columns of ``docs`` are ignored.
+    """
+    rows, labels = _labels(docs, key, text, size, Fraction(threshold), block_shingles)
     return rows.select("doc_id", "n", "sid").join(labels, "sid", "left").select(
         F.col("doc_id").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("n") > 0, F.col("smallest")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def _stay_job(size: int, stay: Hashed):
+    def job():
+        def work(keys: pa.Array, texts: pa.Array):
+            sids = np.concatenate([_sids(words, size) for _, _, words in slices_of_words(texts, BLANK)] or [np.empty(0, U)])
+            found, columns = stay.look_up(sids)
+            null = np.array(keys.is_null().to_numpy(zero_copy_only=False), bool)
+            same = np.where(columns["no_key"] == 1, null, ~null & (keys.fill_null(0).to_numpy() == columns["least"]))
+            kept = (sids == 0) | (found & same)
+            again = kept & found & (columns["again"] == 1)
+            return [pa.array(kept), pa.array(sids.view(np.int64), mask=~again)]
+
+        return work
+
+    return job
+
+
+def one_of_each(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    size: int = 5,
+    threshold: Fraction | str = Fraction(8, 10),
+    block_shingles: int = BLOCK_SHINGLES,
+) -> DataFrame:
+    """The rows of ``docs`` that stay when one document of each component stays, that of the smallest key.
+
+    Of repeated rows one stays.  Documents without words are linked with nothing
+    and all stay.  Where a component has NULL keys only, one of its rows stays.
+    All columns are kept; no text is shuffled for it, as each task looks up its
+    own rows in a sorted array of the classes that stay.
+    """
+    spark = docs.sparkSession
+    rows, labels = _labels(docs, key, text, size, Fraction(threshold), block_shingles)
+    # the class that holds the smallest key, or where there is none the component's own
+    stay = labels.groupBy("component").agg(
+        F.min_by(F.struct("sid", "least"), F.struct(F.col("least").isNull(), "least", "sid")).alias("c")
+    ).select("c.*")
+    often = rows.where("n > 0").groupBy("sid", F.col("doc_id").alias("least")).agg(F.count("*").alias("rows"))
+    stay = stay.withColumnRenamed("sid", "s").withColumnRenamed("least", "l")
+    stay = stay.join(often, (F.col("s") == F.col("sid")) & F.col("l").eqNullSafe(F.col("least")))
+    stay = written(stay.select(
+        "sid", F.coalesce("least", F.lit(0)).alias("least"), F.col("least").isNull().cast("long").alias("no_key"),
+        (F.col("rows") > 1).cast("long").alias("again"),
+    ), "jaccard-stay")
+    arrays = write_hashed(stay, new_folder(spark, "jaccard-stay"), "sid", ["least", "no_key", "again"])
+    stays, own = free_name(docs, "stays"), free_name(docs, "own_class")
+    marked = map_texts(
+        docs, text, docs.columns, [(stays, "boolean"), (own, "bigint")], _stay_job(size, arrays), [key]
+    ).where(F.col(stays))
+    if stay.where("again = 1").isEmpty():
+        return marked.drop(stays, own)
+    once = marked.where(F.col(own).isNull())
+    return once.unionByName(marked.where(F.col(own).isNotNull()).dropDuplicates([own])).drop(stays, own)

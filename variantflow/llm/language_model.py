@@ -29,11 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import BLANK, U, Words, map_texts, mix, quoted, slices_of_words
+from variantflow.llm.batches import BLANK, U, Words, by_group, map_texts, mix, quoted, slices_of_words
 from variantflow.llm.hash_arrays import (
     Counting, Shards, find, first_id, hash_shard, id_shard, merge_counts, runs,
 )
-from variantflow.llm.jaccard_join import by_group
 from variantflow.sources.scratch import new_folder, written
 
 #: hash of the end token
