@@ -13,6 +13,7 @@ from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.language_model import fit_language_model, score_texts
 from variantflow.llm.packing import pack
+from variantflow.llm.quality import judge
 from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -98,3 +99,8 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op5_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
