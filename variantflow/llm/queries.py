@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from variantflow.llm.batches import fold
 from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
+from variantflow.llm.html_text import extract, learn_weights
 from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.language_model import fit_language_model, score_texts
@@ -104,3 +105,9 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "documents"))
+
+
+@query("op8_html_extraction")
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extract(pages, learn_weights(pages), keep=["page_id", "url"])
