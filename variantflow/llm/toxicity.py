@@ -24,6 +24,7 @@ The sample of labelled rows that is fitted on the driver is bounded by
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -37,9 +38,9 @@ from variantflow.llm.batches import cut_words, map_texts, quoted, separators, te
 SPAN = 5
 DECAY = 0.6
 LANDMARKS = 300
-SAMPLE = 2000
+SAMPLE = 1000
 PART_CHARS = 20_000
-TRAIN_WORDS = 25_000
+TRAIN_WORDS = 15_000
 ROUNDS = 3
 #: word scores of a document that its score is made of
 TOP = 8
@@ -156,7 +157,7 @@ class Landmarks:
         self.whiten = vectors[:, good] / np.sqrt(values[good])
 
     def map(self, words: list[bytes], block: int = 1000) -> np.ndarray:
-        out = np.zeros((len(words), self.whiten.shape[1]))
+        out = np.zeros((len(words), self.whiten.shape[1]), np.float32)
         for start in range(0, len(words), block):
             found = [features(w) for w in words[start : start + block]]
             sizes = [len(c) for c, _ in found]
@@ -175,20 +176,25 @@ class Landmarks:
         return out
 
 
-def fit_weighted(x: np.ndarray, y: np.ndarray, share: np.ndarray, penalty: float, rounds: int = 25):
-    """Linear machine with squared hinge loss and a weight for each row, by Newton steps."""
-    x = np.hstack([x, np.ones((len(x), 1))])
+def fit_weighted(x: np.ndarray, yes: np.ndarray, no: np.ndarray, penalty: float, rounds: int = 25):
+    """Linear machine with squared hinge loss, by Newton steps.
+
+    Every row speaks for the positive class with weight ``yes`` and for the other
+    with weight ``no``.  Returns weights and offset.
+    """
+    x = np.hstack([x, np.ones((len(x), 1), x.dtype)])
     w = np.zeros(x.shape[1])
     ridge = penalty * np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
     for _ in range(rounds):
-        gap = 1 - y * (x @ w)
-        active = gap > 0
-        xa, sa = x[active], share[active]
-        grad = ridge @ w - xa.T @ (sa * y[active] * gap[active])
-        step = np.linalg.solve(ridge + (xa * sa[:, None]).T @ xa, grad)
+        margin = x @ w.astype(x.dtype)
+        pull = yes * np.maximum(1 - margin, 0) - no * np.maximum(1 + margin, 0)
+        share = (yes * (margin < 1) + no * (margin > -1)).astype(x.dtype)
+        used = np.flatnonzero(share)
+        hess = (x[used] * share[used, None]).T @ x[used]
+        step = np.linalg.solve(ridge + hess.astype(np.float64), ridge @ w - x.T @ pull.astype(x.dtype))
         w = w - step
-        if np.abs(step).max() < 1e-5:
+        if np.abs(step).max() < 1e-4:
             break
     return w[:-1], float(w[-1])
 
@@ -245,16 +251,17 @@ def _slices(texts: list[str]):
         yield buf, offsets
 
 
-def _word_sets(texts: list[str]) -> list[set[bytes]]:
-    out = []
+def _word_sets(texts: list[str]) -> Iterator[set[bytes]]:
+    """The words of three symbols or more of each text."""
     for buf, offsets in _slices(texts):
         s = spell(buf, offsets)
-        out += [{s.word(i) for i in range(a, b)} for a, b in zip(s.first[:-1].tolist(), s.first[1:].tolist())]
-    return [{w for w in found if len(w) > 4} for found in out]
+        for a, b in zip(s.first[:-1].tolist(), s.first[1:].tolist()):
+            yield {w for w in (s.word(i) for i in range(a, b)) if len(w) > 4}
 
 
 def _fit_words(texts: list[str], toxic: np.ndarray, landmarks: int) -> tuple[np.ndarray, float, float]:
-    sets = _word_sets(texts)
+    names: dict[bytes, bytes] = {}  # a word that many documents have is held once
+    sets = [{names.setdefault(w, w) for w in found} for found in _word_sets(texts)]
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     in_toxic = Counter(w for s, t in zip(sets, toxic) if t for w in s)
     in_clean = Counter(w for s, t in zip(sets, toxic) if not t for w in s)
@@ -269,11 +276,7 @@ def _fit_words(texts: list[str], toxic: np.ndarray, landmarks: int) -> tuple[np.
     no = np.array([in_clean[w] / n_clean for w in words])
     yes = np.array([in_toxic[w] / n_toxic for w in words])
     for turn in range(ROUNDS):
-        rows = np.concatenate([x, x])
-        y = np.concatenate([np.ones(len(x)), -np.ones(len(x))])
-        share = np.concatenate([yes * 50 / max(yes.sum(), 1e-9), no * 100 / max(no.sum(), 1e-9)])
-        used = share > 0
-        w, b = fit_weighted(rows[used], y[used], share[used], 0.05)
+        w, b = fit_weighted(x, yes * 50 / max(yes.sum(), 1e-9), no * 100 / max(no.sum(), 1e-9), 0.05)
         score = x @ w + b
         if turn + 1 < ROUNDS:
             yes = np.zeros(len(words))
