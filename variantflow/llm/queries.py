@@ -13,6 +13,7 @@ from variantflow.llm.html_text import extract, learn_weights
 from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.language_model import fit_language_model, score_texts
+from variantflow.llm.licenses import fit_licenses, scan_licenses
 from variantflow.llm.packing import pack
 from variantflow.llm.quality import judge
 from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
@@ -111,3 +112,9 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return extract(pages, learn_weights(pages), keep=["page_id", "url"])
+
+
+@query("op1_license_scans")
+def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return scan_licenses(docs, fit_licenses(docs), keep=["doc_id"])
