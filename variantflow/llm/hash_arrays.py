@@ -26,12 +26,14 @@ def local_path(uri: str) -> str | None:
     return None
 
 
-def save(uri: str, array: np.ndarray) -> None:
+def save_bytes(uri: str, data) -> None:
+    """Write a file under a name of its own, then rename it."""
     path = local_path(uri)
     if path is not None:
         os.makedirs(os.path.dirname(path), exist_ok=True)
         own = f"{path}.{uuid.uuid4().hex}"
-        array.tofile(own)
+        with open(own, "wb") as out:
+            out.write(data)
         os.replace(own, path)
         return
     from pyarrow import fs
@@ -40,10 +42,14 @@ def save(uri: str, array: np.ndarray) -> None:
     store.create_dir(os.path.dirname(path), recursive=True)
     own = f"{path}.{uuid.uuid4().hex}"
     with store.open_output_stream(own) as out:
-        out.write(np.ascontiguousarray(array).data)
+        out.write(data)
     store.move(own, path)
 
 
+def save(uri: str, array: np.ndarray) -> None:
+    save_bytes(uri, np.ascontiguousarray(array).data)
+
+
 def load(uri: str, dtype) -> np.ndarray:
     path = local_path(uri)
     if path is not None:
