@@ -232,6 +232,8 @@ def scan_benchmark(
     """
     spark = docs.sparkSession
     keep = docs.columns if keep is None else keep
+    if name in keep:
+        raise ValueError(f"a column is called {name} already")
     wanted = items.select(F.col(item_key).cast("string").alias("key"), F.coalesce(item_text, F.lit("")).alias("text"))
     # a word takes a byte and a separator at least
     sizes = wanted.agg(F.sum((F.octet_length("text") + 1) / 2).alias("words")).first()
@@ -241,7 +243,7 @@ def scan_benchmark(
         block = wanted.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == b).orderBy("key", "text").collect()
         known, numbered = _vocabulary([r.text for r in block], [r.key for r in block])
         held = spark.sparkContext.broadcast((known, numbered, window))
-        column = free_name(out, name if blocks == 1 else f"{name}_{b}")
+        column = name if blocks == 1 else free_name(out, f"{name}_{b}")
         out = map_texts(out, text, [*keep, *found] + [text] * (text not in keep and b + 1 < blocks), [(column, FOUND)], _scan_job(held))
         found.append(column)
     if blocks == 1:
