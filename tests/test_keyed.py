@@ -4,6 +4,7 @@ import itertools
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from variantflow.operators.columns import optional_column
@@ -13,7 +14,6 @@ from variantflow.operators.keyed import (
     keyed_upsert,
     pending,
     row_index,
-    row_index_single_task,
 )
 from variantflow.operators.manifest import align_results, manifest_join, missing_artifact_null
 from variantflow.operators.replies import accept_reply, classify_response, dead_letter, reply_outcome
@@ -34,6 +34,22 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
+def row_index_single_task(df, key, name="row_idx"):
+    return df.withColumn(name, F.row_number().over(Window.orderBy(*key)).cast("long") - 1)
+
+
+def test_row_index_refuses_keys_that_do_not_tell_rows_apart(spark):
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (None, "c"), (2, "d")], "id long, text string")
+    with pytest.raises(ValueError, match="1 keys are NULL and 1 are repeated"):
+        row_index(df, ["id"])
+
+
+def test_the_last_write_wins_also_where_the_order_is_equal(spark):
+    old = spark.createDataFrame([(1, "a", "t", "zzz older", 1)], STATE)
+    new = spark.createDataFrame([(1, "a", "t", "aaa newer", 1)], STATE)
+    assert rows(keyed_upsert(old, new)) == [(1, "a", "t", "aaa newer", 1)]
+
+
 @pytest.mark.parametrize("parts", [1, 4, 16])
 def test_row_index_is_contiguous_for_any_partitioning(spark, parts):
     keys = list(range(0, 3000, 3))

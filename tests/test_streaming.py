@@ -94,3 +94,20 @@ def test_an_accepted_reply_is_kept_over_a_later_failure(spark, tmp_path):
     spark.createDataFrame(log, LOG_SCHEMA).write.parquet(str(tmp_path / "log" / "run=a" / "batch=0"))
     got = compact(spark, str(tmp_path / "log"), str(tmp_path / "state"))
     assert [(r[0], r[4]) for r in rows(got)] == [(1, "good"), (2, "late"), (3, "new")]
+
+
+def test_a_new_checkpoint_at_the_same_place_keeps_old_replies(spark, tmp_path):
+    docs(spark, 0, 5).coalesce(1).write.parquet(str(tmp_path / "in"))
+    _, work = counted(spark)
+    run(spark, tmp_path, work)
+    (tmp_path / "cp").rename(tmp_path / "lost")
+    (tmp_path / "in").rename(tmp_path / "done")
+    docs(spark, 5, 8).coalesce(1).write.parquet(str(tmp_path / "in"))
+    run(spark, tmp_path, work)
+    kept = {r["row_idx"] for r in read_log(spark, str(tmp_path / "log")).collect()}
+    assert kept == set(range(8))
+
+
+def test_a_reply_without_a_body_is_empty(spark):
+    rows_ = call_service(fan_out(docs(spark, 0, 1)), lambda: lambda request, attempt: (200, None), policy=FAST, sleep=no_sleep)
+    assert {(r["outcome"], r["reply"]) for r in rows_.collect()} == {("empty", "")}

@@ -62,7 +62,7 @@ def ask(
         except OSError:
             status, body = 0, None
         if status == 200:
-            return Answer(body, attempt, waited, "ok" if body else "empty")
+            return Answer(body or "", attempt, waited, "ok" if body else "empty")
         delay = policy.base_delay_s * 2.0 ** (attempt - 1)
         sleep(delay)
         waited += delay

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,7 @@ def row_index(
     Only the key columns are range-sorted and written, so that positions cannot
     move between jobs.  The start of each partition comes from one count for
     each partition; the wide rows are shuffled once, by the join on the key.
+    Keys that are NULL or occur twice have no row number: they raise.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -39,9 +42,17 @@ def row_index(
     )
     starts, total = [], 0
     # at most n rows, one for each partition
-    for part, rows in sorted(map(tuple, placed.groupBy("_ri_part").count().collect())):
-        starts.append((part, total))
-        total += rows
+    null = reduce(or_, [F.col(c).isNull() for c in key])
+    counts = placed.groupBy("_ri_part").agg(
+        F.count("*").alias("rows"), F.count_if(null).alias("nulls"), F.count_distinct(F.struct(*key)).alias("keys")
+    )
+    found = counts.collect()
+    nulls, repeated = sum(r["nulls"] for r in found), sum(r["rows"] - r["keys"] for r in found)
+    if nulls or repeated:
+        raise ValueError(f"{nulls} keys are NULL and {repeated} are repeated in {list(key)}")
+    for r in sorted(found, key=lambda r: r["_ri_part"]):
+        starts.append((r["_ri_part"], total))
+        total += r["rows"]
     offsets = spark.createDataFrame(starts, "_ri_part int, _ri_start long")
     index = placed.join(F.broadcast(offsets), "_ri_part").select(
         *key, (F.col("_ri_start") + F.col("_ri_pos")).alias(name)
@@ -49,33 +60,38 @@ def row_index(
     return df.join(index, list(key))
 
 
-def row_index_single_task(
-    df: DataFrame, key: Sequence[str], name: str = "row_idx"
-) -> DataFrame:
-    """:func:`row_index` for a small table: one window, one task."""
-    from pyspark.sql import Window
-
-    return df.withColumn(name, F.row_number().over(Window.orderBy(*key)).cast("long") - 1)
-
-
 def keyed_upsert(
     state: DataFrame,
     updates: DataFrame,
     key: Sequence[str] = KEY,
-    order: str = "pass",
+    order: str | Sequence[str] = "pass",
 ) -> DataFrame:
-    """State after the updates: for each key the row with the largest ``order``.
+    """State after the updates: for each key the row that comes last by ``order``.
 
-    ``max`` of a struct combines before the shuffle, so a key with very many
-    versions leaves each task as one row.
+    An update wins over a stored row of the same order, as the last write does.
     """
-    return latest(state.unionByName(updates), key, order)
+    turn = "_turn"
+    both = state.withColumn(turn, F.lit(0)).unionByName(updates.withColumn(turn, F.lit(1)))
+    return latest(both, key, [*_listed(order), turn]).drop(turn)
+
 
+def _listed(order: str | Sequence[str]) -> list[str]:
+    return [order] if isinstance(order, str) else list(order)
 
-def latest(log: DataFrame, key: Sequence[str] = KEY, order: str = "pass") -> DataFrame:
-    """The newest row of each key of an append-only log."""
-    rest = [c for c in log.columns if c not in key and c != order]
-    newest = F.max(F.struct(order, *rest)).alias("_n")
+
+def latest(
+    log: DataFrame, key: Sequence[str] = KEY, order: str | Sequence[str] = "pass"
+) -> DataFrame:
+    """The newest row of each key of an append-only log.
+
+    ``order`` is a sequence that grows with each write.  Rows that are equal in it
+    cannot be told apart by age; a hash of their columns decides between them, the
+    same way each time.  The aggregate combines before the shuffle, so a key with
+    very many versions leaves each task as one row.
+    """
+    order = _listed(order)
+    rest = [c for c in log.columns if c not in key]
+    newest = F.max_by(F.struct(*rest), F.struct(*order, F.xxhash64(*rest))).alias("_n")
     return (
         log.groupBy(*key)
         .agg(newest)
@@ -84,7 +100,10 @@ def latest(log: DataFrame, key: Sequence[str] = KEY, order: str = "pass") -> Dat
 
 
 def append_recovered(
-    state: DataFrame, recovered: DataFrame, key: Sequence[str] = KEY, order: str = "pass"
+    state: DataFrame,
+    recovered: DataFrame,
+    key: Sequence[str] = KEY,
+    order: str | Sequence[str] = "pass",
 ) -> DataFrame:
     """Merge recovered rows under their own key, so that no kept row is lost."""
     return keyed_upsert(state, recovered.select(*state.columns), key, order)
@@ -96,21 +115,28 @@ def pending(
     key: str = "row_idx",
     variants: Sequence[str] = VARIANTS,
     redo: bool = False,
+    spread_to: int | None = None,
 ) -> DataFrame:
     """Long (row, variant) work list without the pairs that are already in the state.
 
     The finished variants of a row, at most ``len(variants)`` names, are joined
     before the fan-out: a text is shuffled once, not once for each variant.
+    ``spread_to`` deals the rows out to so many tasks after that join, whose own
+    shuffle the adaptive planner may coalesce.
     """
     from variantflow.operators.variants import fan_out
 
     if redo or state is None:
-        return fan_out(rows, variants)
+        return fan_out(rows.repartition(spread_to) if spread_to else rows, variants)
     finished = (
         state.filter(F.col("variant").isin(*variants))
         .groupBy(key)
         .agg(F.collect_set("variant").alias("_finished"))
     )
-    work = fan_out(rows.join(finished, key, "left"), variants)
+    joined = rows.join(finished, key, "left")
+    if spread_to:
+        some = F.col("_finished").isNull() | (F.size("_finished") < len(variants))
+        joined = joined.filter(some).repartition(spread_to)
+    work = fan_out(joined, variants)
     todo = F.col("_finished").isNull() | ~F.array_contains("_finished", F.col("variant"))
     return work.filter(todo).drop("_finished")

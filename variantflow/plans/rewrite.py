@@ -91,10 +91,13 @@ def retry_pass(
     client_factory: Callable[[], Client],
     *,
     policy: RetryPolicy = RetryPolicy(),
+    spread_to: int | None = None,
     **options,
 ) -> DataFrame:
     """Call the service again for the failed rows of a written first pass (lazy)."""
     failed = first.filter(F.col("outcome") == "failed").select(*CARRIED)
+    if spread_to:
+        failed = failed.repartition(spread_to)
     each_call = replace(policy, pause_by=None)
     return call_service(failed, client_factory, pass_no=2, policy=each_call, **options)
 
@@ -115,13 +118,11 @@ def rewrite(
 ) -> Rewritten:
     """Both passes, each written once: to the ``log`` or to the scratch folder.
 
-    ``spread_to`` shuffles the rows, before they are fanned out, to more tasks
-    than the input has splits.  Pairs that ``state`` holds are not called again.
+    ``spread_to`` deals the rows of both passes out to so many tasks, before they
+    are fanned out.  Pairs that ``state`` holds are not called again.
     """
     rows = source.select(F.col(key).alias("row_idx"), F.col(text).alias("original_text"))
-    if spread_to:
-        rows = rows.repartition(spread_to)
-    work = pending(rows, state, variants=variants, redo=redo)
+    work = pending(rows, state, variants=variants, redo=redo, spread_to=spread_to)
     calls = {"policy": policy, **options}
     run = f"{log.rstrip('/')}/run={uuid.uuid4().hex[:12]}" if log else None
 
@@ -131,5 +132,5 @@ def rewrite(
         return written(results, f"rewrite-{pass_no}")
 
     first = once(call_service(work, client_factory, **calls), 1)
-    second = once(retry_pass(first, client_factory, **calls), 2)
+    second = once(retry_pass(first, client_factory, spread_to=spread_to, **calls), 2)
     return Rewritten(first, second)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
+import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,12 +19,18 @@ from variantflow.schemas import LOG_SCHEMA
 from variantflow.sources.scratch import written
 from variantflow.sources.state import read_if_exists
 
+
 def logged(results: DataFrame) -> DataFrame:
     """Results as rows of the log, stamped with the time of this write."""
     now = F.lit(time.time_ns() // 1_000_000).cast("long")
     return results.withColumn("logged_at", now).select(*LOG_SCHEMA.fieldNames())
 
 
+def query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps in its checkpoint, for as long as the checkpoint lives."""
+    found = spark.read.text(f"{checkpoint}/metadata", wholetext=True).first()["value"]
+    return json.loads(found)["id"]
+
 
 def incremental_progress(
     spark: SparkSession,
@@ -40,11 +48,12 @@ def incremental_progress(
     A micro-batch writes a folder of its own, so progress costs as much as its
     own rows however long the log is.  A repeated micro-batch replaces exactly
     its folder.  The checkpoint remembers finished files: a restart with the
-    same one makes no call again.
+    same one makes no call again.  Folders are named by the id in the checkpoint,
+    so a new checkpoint at the same place starts new folders and replaces none.
     """
-    run = hashlib.md5(checkpoint.encode()).hexdigest()[:12]
 
     def append(batch: DataFrame, batch_id: int) -> None:
+        run = query_id(batch.sparkSession, checkpoint)
         logged(work(batch)).write.mode("overwrite").parquet(f"{log}/run={run}/batch={batch_id}")
 
     stream = spark.readStream.schema(schema).format(fmt)
@@ -73,11 +82,25 @@ def current_state(
     """Newest result of each key.
 
     An accepted reply beats a failed one of any run; then the later one wins.
+    The winner is found without the texts, which are joined to it only where the
+    result's texts are used.
     """
+    narrow, key = current_outcomes(spark, log, key), list(key)
     rows = read_log(spark, log)
-    rank = F.struct(F.col("outcome") == "ok", F.col("logged_at"), F.col("pass"))
-    ranked = rows.withColumn("_rank", rank).drop("logged_at")
-    return latest(ranked, key, "_rank").drop("_rank")
+    stamp = [*key, "logged_at", "pass"]
+    same = [rows[c].eqNullSafe(narrow[c]) for c in stamp]
+    held = rows.join(narrow.select(*stamp), reduce(and_, same), "left_semi")
+    # a pass of a run writes a key once; a key that was given twice is kept once
+    return held.dropDuplicates(key).drop("logged_at")
+
+
+def current_outcomes(
+    spark: SparkSession, log: str, key: Sequence[str] = ("row_idx", "variant")
+) -> DataFrame:
+    """(key, pass, outcome, logged_at) of the newest result of each key; reads no text."""
+    columns = [*key, "pass", "outcome", "logged_at"]
+    rows = read_log(spark, log).select(*columns).withColumn("_ok", F.col("outcome") == "ok")
+    return latest(rows, key, ("_ok", "logged_at", "pass")).select(*columns)
 
 
 def retry_failed(
