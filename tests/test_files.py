@@ -4,15 +4,15 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from variantflow.catalog.png import png_bytes
 from variantflow.schemas import SLUGS, VARIANTS
 from variantflow.sources.artifacts import (
     artifact_manifest,
     image_scan,
-    png_bytes,
     probe_artifacts,
     write_artifacts,
 )
-from variantflow.sources.csv import csv_export, csv_scan, encoding_fallback_scan, file_encodings
+from variantflow.sources.csv import BAD, csv_export, csv_scan, encoding_fallback_scan, file_encodings
 from variantflow.sources.state import (
     load_or_init,
     load_state,
@@ -72,9 +72,37 @@ def test_each_file_is_read_in_its_own_encoding(spark, tmp_path):
     assert rows(encoding_fallback_scan(spark, str(tmp_path), schema)) == sorted(twice * 2 + [(3, "plain")])
 
 
-def test_many_latin_files_join_without_broadcast(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("variantflow.sources.csv.MAX_BROADCAST_FILES", -1)
-    test_each_file_is_read_in_its_own_encoding(spark, tmp_path)
+def test_line_ends_of_other_systems(spark, tmp_path):
+    body = 'id,text\r\n1,"a\r\nb"\r\n2,"c\nd"\r\n3,NA\r\n'
+    (tmp_path / "crlf.csv").write_bytes(body.encode())
+    want = [(1, "a\r\nb"), (2, "c\nd"), (3, None)]
+    schema = spark.createDataFrame([], TEXTS).schema
+    assert sorted(map(tuple, csv_scan(spark, str(tmp_path / "crlf.csv")).collect())) == want
+    assert sorted(map(tuple, encoding_fallback_scan(spark, str(tmp_path), schema).collect())) == want
+    (tmp_path / "plain.csv").write_bytes(b"id,text\r\n1,x\r\n2,y\r\n")
+    got = csv_scan(spark, str(tmp_path / "plain.csv"), multi_line=False)
+    assert rows(got) == [(1, "x"), (2, "y")]
+    assert rows(encoding_fallback_scan(spark, str(tmp_path / "plain.csv"), multi_line=False)) == [(1, "x"), (2, "y")]
+
+
+@pytest.mark.parametrize("typed", [True, False])
+def test_missing_markers_in_numbers(spark, tmp_path, typed):
+    (tmp_path / "in.csv").write_text("id,score\n1,0.5\n2,NA\n3,None\n4,NaN\n5,\n")
+    schema = spark.createDataFrame([], "id int, score double").schema
+    got = csv_scan(spark, str(tmp_path / "in.csv"), schema if typed else None)
+    assert got.schema["score"].dataType.simpleString() == "double"
+    assert dict(map(tuple, got.collect())) == {1: 0.5, 2: None, 3: None, 4: None, 5: None}
+
+
+def test_bad_rows_stop_the_scan_or_are_kept(spark, tmp_path):
+    (tmp_path / "in.csv").write_text("id,text,n\n1,a,1\n2,b,2,more\n3,c,many\n4\n5,e,5,\n")
+    schema = spark.createDataFrame([], "id int, text string, n int").schema
+    for scan in (csv_scan, encoding_fallback_scan):
+        with pytest.raises(Exception, match="too many fields|n: many"):
+            scan(spark, str(tmp_path / "in.csv"), schema).collect()
+        kept = {r["id"]: (r["text"], r["n"], r[BAD]) for r in scan(spark, str(tmp_path / "in.csv"), schema, on_bad="keep").collect()}
+        assert kept == {1: ("a", 1, None), 2: ("b", 2, "too many fields"), 3: ("c", None, "n: many"),
+                        4: (None, None, None), 5: ("e", 5, None)}  # an empty field too many holds nothing
 
 
 def test_a_missing_file_is_an_error(spark, tmp_path):

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,8 +13,119 @@ from variantflow.functions.text import null_if_na
 from variantflow.operators.keyed import row_index
 from variantflow.sources.scratch import written
 
-MAX_BROADCAST_FILES = 100_000
-_DIALECT = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n"}
+_WRITTEN = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n"}
+#: an empty field is kept apart from a missing one
+_READ = {"header": True, "quote": '"', "escape": '"', "nullValue": "\x00", "emptyValue": ""}
+#: fields of a row beyond those of the header
+_SURPLUS = "_surplus"
+#: where ``on_bad="keep"`` puts what is wrong with a row
+BAD = "_bad_row"
+
+
+def _by_line_end(
+    spark: SparkSession, path: str | Sequence[str], line_end: str | None
+) -> list[tuple[str | list[str], str]]:
+    """Files by their line end: that of a file's first line.
+
+    A line end inside quotes then stays what it is, whichever the rows have.
+    """
+    paths = path if isinstance(path, str) else list(path)
+    if line_end:
+        return [(paths, line_end)]
+    lines = spark.read.option("lineSep", "\n").text(paths).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.endswith("value", F.lit("\r")).alias("cr"), F.monotonically_increasing_id().alias("line"),
+    )
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("cr", "line").alias("cr"))
+    # a listing of files is on the driver anyway
+    found = {r["file"]: r["cr"] for r in first.collect()}
+    if len(set(found.values())) < 2:
+        return [(paths, "\r\n" if any(found.values()) else "\n")]
+    return [(sorted(f for f, cr in found.items() if cr == is_cr), end) for is_cr, end in ((False, "\n"), (True, "\r\n"))]
+
+
+def _raw(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    names: Sequence[str],
+    multi_line: bool,
+    line_end: str | None,
+    encoding: str = "UTF-8",
+) -> DataFrame:
+    """All fields as texts, one column more for what a row has too much, and the file's name."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _SURPLUS)])
+    reader = spark.read.options(**_READ, multiLine=multi_line, encoding=encoding).schema(schema)
+    if not multi_line:  # lines are cut at any line end
+        df = reader.csv(path if isinstance(path, str) else list(path))
+    else:
+        groups = _by_line_end(spark, path, line_end)
+        if len(groups) > 1 and isinstance(path, str):
+            reader = reader.option("basePath", path)
+        parts = [reader.option("lineSep", end).csv(files) for files, end in groups]
+        return reduce(DataFrame.unionByName, [p.withColumn("_file", F.col("_metadata.file_path")) for p in parts])
+    return df.withColumn("_file", F.col("_metadata.file_path"))
+
+
+def _header(spark: SparkSession, path: str | Sequence[str], multi_line: bool) -> list[str]:
+    """Column names of the files, without those that are folder names."""
+    paths = path if isinstance(path, str) else list(path)
+    found = spark.read.options(**_READ, multiLine=multi_line).csv(paths)
+    return [f.name for f in found.select("*", "_metadata.file_path").schema.fields[:-1] if f.name not in _folders(found)]
+
+
+def _folders(df: DataFrame) -> set[str]:
+    """Columns that come from folder names ``name=value``."""
+    files = df.inputFiles()[:1]
+    return {part.partition("=")[0] for f in files for part in f.split("/")[:-1] if "=" in part}
+
+
+def _inferred(df: DataFrame, names: Sequence[str]) -> T.StructType:
+    """The narrowest type that holds every value of each column, in one pass."""
+    kinds = ("int", "bigint", "double", "boolean")
+    cells = [
+        F.every(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(kind).isNotNull()).alias(f"{i}_{kind}")
+        for i, c in enumerate(names)
+        for kind in kinds
+    ]
+    some = [F.count(f"`{c}`").alias(f"{i}_n") for i, c in enumerate(names)]
+    found = df.agg(*cells, *some).first()
+    fields = []
+    for i, c in enumerate(names):
+        fits = [kind for kind in kinds if found[f"{i}_n"] and found[f"{i}_{kind}"]]
+        fields.append(T.StructField(c, T._parse_datatype_string(fits[0] if fits else "string")))
+    return T.StructType(fields)
+
+
+def _typed(raw: DataFrame, schema: T.StructType, on_bad: str) -> DataFrame:
+    """The columns of ``schema``, and what is wrong with a row that does not fit.
+
+    Short rows are padded with NULL.  A row with too many fields or with a text
+    that is no value of its column's type stops the job, or is kept with a
+    reason in ``BAD``.  NaN is NULL.
+    """
+    if on_bad not in ("fail", "keep"):
+        raise ValueError("on_bad is 'fail' or 'keep'")
+    out, reasons = {}, [F.when(F.col(_SURPLUS).isNotNull(), F.lit("too many fields"))]
+    for f in schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.StringType):
+            continue
+        value = c.try_cast(f.dataType)
+        reasons.append(F.when(c.isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name}: "), c)))
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            value = F.when(~F.isnan(value), value)
+        out[f.name] = value
+    reason = F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
+    if on_bad == "keep":
+        return raw.withColumn(BAD, reason).withColumns(out)
+    fits = F.when(reason.isNotNull(), F.raise_error(F.concat(F.lit("bad row in "), F.col("_file"), F.lit(": "), reason)))
+    return raw.filter(fits.isNull()).withColumns(out)
+
+
+def _missing(df: DataFrame, names: Sequence[str], na_tokens: bool) -> DataFrame:
+    """NULL for empty fields and, if wanted, for the missing markers, in texts and numbers alike."""
+    cell = (lambda c: null_if_na(c)) if na_tokens else (lambda c: c)
+    return df.withColumns({c: cell(F.nullif(F.col(f"`{c}`"), F.lit(""))) for c in names})
 
 
 def csv_scan(
@@ -24,25 +136,32 @@ def csv_scan(
     na_tokens: bool = True,
     multi_line: bool = True,
     position: bool = False,
+    on_bad: str = "fail",
+    line_end: str | None = None,
 ) -> DataFrame:
-    """Read headered CSV.  Missing markers in text columns become NULL.
+    """Read headered CSV.  Empty fields and missing markers become NULL.
 
-    Without a schema the types are inferred, at the cost of one more pass.  A
-    quoted line break makes a file unsplittable: pass ``multi_line=False`` for
-    files without such fields and write large tables as many files.
+    Line ends are those of each file's first line, which takes a pass over the
+    files unless ``line_end`` is given; inside quotes they are kept as they are.
+    Without a schema the types are inferred from what is left after the markers,
+    at the cost of one more pass.  ``on_bad``: ``fail`` stops at a row with too
+    many fields or an unreadable value, ``keep`` tells what is wrong in ``BAD``
+    (count its non-NULL rows).  A quoted line break makes a file unsplittable:
+    pass ``multi_line=False`` for files without such fields and write large
+    tables as many files.
 
     ``position`` adds ``_file`` and ``_pos``, which sort in file order.  They
     hold for one evaluation: write the table before using them.
     """
-    reader = spark.read.options(**_DIALECT, multiLine=multi_line)
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    df = reader.csv(path if isinstance(path, str) else list(path))
-    if na_tokens:
-        df = normalise_na(df)
+    names = schema.fieldNames() if schema else _header(spark, path, multi_line)
+    read = _raw(spark, path, names, multi_line, line_end)
+    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file")]
+    raw = _missing(read, names, na_tokens)
+    df = _typed(raw, schema or _inferred(raw, names), on_bad)
     if position:
-        place = {"_file": F.col("_metadata.file_path"), "_pos": F.monotonically_increasing_id()}
-        df = df.withColumns(place)
-    return df
+        df = df.withColumn("_pos", F.monotonically_increasing_id())
+    bad = [BAD] if on_bad == "keep" else []
+    return df.select(*[F.col(f"`{c}`") for c in (*names, *folders)], *bad, *(["_file", "_pos"] if position else []))
 
 
 def numbered(rows: DataFrame, name: str = "row_idx") -> DataFrame:
@@ -51,12 +170,6 @@ def numbered(rows: DataFrame, name: str = "row_idx") -> DataFrame:
     return row_index(stored, ["_file", "_pos"], name).drop("_file", "_pos")
 
 
-def normalise_na(df: DataFrame) -> DataFrame:
-    """NULL for the missing markers of every text column."""
-    texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    return df.withColumns({c: null_if_na(F.col(f"`{c}`")) for c in texts})
-
-
 def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """(file, is_utf8) for each file, checked line by line in parallel.
 
@@ -72,35 +185,36 @@ def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 def encoding_fallback_scan(
     spark: SparkSession,
     path: str | Sequence[str],
-    schema: T.StructType,
+    schema: T.StructType | None = None,
     *,
     na_tokens: bool = True,
+    multi_line: bool = True,
+    on_bad: str = "fail",
+    line_end: str | None = None,
 ) -> DataFrame:
     """:func:`csv_scan` of files that are UTF-8 or, where that fails, latin1.
 
     Latin1 maps every byte to a character, so all files are parsed that way
     once; texts of valid UTF-8 files are turned back into bytes and decoded.
-    The names of the latin1 files are broadcast up to ``MAX_BROADCAST_FILES``
-    and joined by shuffle beyond that.
+    Names and types without a schema are those of :func:`csv_scan`.
     """
-    reader = spark.read.options(**_DIALECT, multiLine=True, encoding="ISO-8859-1")
-    raw = reader.schema(schema).csv(path if isinstance(path, str) else list(path))
-    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
+    names = schema.fieldNames() if schema else _header(spark, path, multi_line)
+    read = _raw(spark, path, names, multi_line, line_end, "ISO-8859-1")
+    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file")]
     latin = written(
         file_encodings(spark, path).filter(~F.col("is_utf8")).select(F.col("file").alias("_file")),
         "latin1-files",
     )
-    small = latin.count() <= MAX_BROADCAST_FILES
-    latin = latin.withColumn("_latin1", F.lit(True))
-    tagged = raw.join(F.broadcast(latin) if small else latin, "_file", "left")
+    tagged = read.join(latin.withColumn("_latin1", F.lit(True)), "_file", "left")
 
     def decoded(name: str):
         c = F.col(f"`{name}`")
         return F.when(F.col("_latin1"), c).otherwise(F.decode(F.encode(c, "ISO-8859-1"), "UTF-8"))
 
-    texts = [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)]
-    df = tagged.withColumns({c: decoded(c) for c in texts}).select(*schema.fieldNames())
-    return normalise_na(df) if na_tokens else df
+    raw = _missing(tagged.withColumns({c: decoded(c) for c in names}), names, na_tokens)
+    df = _typed(raw, schema or _inferred(raw, names), on_bad)
+    bad = [BAD] if on_bad == "keep" else []
+    return df.select(*[F.col(f"`{c}`") for c in (*names, *folders)], *bad)
 
 
 def csv_export(
@@ -123,7 +237,7 @@ def csv_export(
     }
     out = df.withColumns(nan_free) if nan_free else df
     writer = out.write.mode(mode).options(
-        **_DIALECT,
+        **_WRITTEN,
         encoding=encoding,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
