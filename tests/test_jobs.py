@@ -132,3 +132,60 @@ def test_arguments_and_clients():
     with pytest.raises(SystemExit):
         main(["unknown"])
     assert len(VARIANTS) == 4
+
+
+def test_csv_manifests_go_in_and_scored_csv_comes_out(spark, tmp_path):
+    from variantflow.catalog.png import png_bytes
+
+    wide = spark.createDataFrame(
+        [(i, f"t{i}", *[f"{s} ação {i}" for s in SLUGS]) for i in range(3)],
+        "row_idx long, Description string, " + ", ".join(f"description_{s} string" for s in SLUGS),
+    )
+    wide.write.parquet(str(tmp_path / "wide"))
+    art, manifest, out = tmp_path / "art", str(tmp_path / "manifest.csv"), str(tmp_path / "scored.csv")
+    totals = jobs.generate_job(spark, str(tmp_path / "wide"), manifest, str(art)).first()
+    assert totals["rows"] == totals["prompts"] == 12 and totals["seconds"] > 0
+    found = jobs.read_manifest(spark, manifest).collect()
+    assert {(r["variant"], r["reply"]) for r in found if r["row_idx"] == 1} == {
+        (v, f"{v.replace(' ', '_')} ação 1") for v in VARIANTS
+    }
+    assert all(r["reply"] in r["prompt"] for r in found)
+    image = png_bytes(bytes(12), 2, 2, 3)
+    for r in found:
+        file = art / r["generated_filename"].removeprefix(str(art) + "/")
+        file.parent.mkdir(parents=True, exist_ok=True)
+        file.write_bytes(image if r["row_idx"] else image[:30])  # those of row 0 are truncated
+    vectors = spark.range(3).select(F.col("id").alias("row_idx"), F.array(F.lit(1.0)).alias("features"))
+    vectors.write.parquet(str(tmp_path / "features"))
+    (tmp_path / "heads.json").write_text(json.dumps({n: {"w": [1.0]} for n in SCORE_COLUMNS}))
+    heads = jobs.read_heads(str(tmp_path / "heads.json"), spark)
+    told = jobs.score_job(
+        spark, manifest, out, str(tmp_path / "features"), heads, feature_key=("row_idx",), images=str(art)
+    ).first()
+    assert (told["rows"], told["scored"]) == (12, 8)
+    for r in csv_scan(spark, out).collect():
+        assert (r["Mood"] is None) == (r["row_idx"] == 0) and r["generated_filename"]
+
+
+def test_published_state_is_read_by_load_or_init(spark, source, tmp_path):
+    from variantflow.sources.state import load_or_init
+
+    jobs.rewrite_job(spark, source, str(tmp_path / "out"), lambda: lambda request, attempt: (200, "reply"), **STUB)
+    tables = load_or_init(spark, str(tmp_path / "out" / "state"))
+    got = tables["positive"].collect()
+    assert len(got) == len(TEXTS) - 1 and all(r["description_original"] in TEXTS for r in got)
+
+
+def test_score_keeps_every_row_once(spark):
+    from variantflow.operators.scoring import heads_from_weights
+    from variantflow.plans.score import score
+
+    rows_ = spark.createDataFrame(
+        [(1, "a", "/x"), (1, "a", "/x"), (None, "a", "/x"), (2, "a", None)], "row_idx long, variant string, generated_filename string"
+    )
+    vectors = spark.createDataFrame([(1, "a", [1.0])], "row_idx long, variant string, features array<double>")
+    twice = spark.createDataFrame([("/x",), ("file:/x",)], "path string")
+    heads = heads_from_weights({n: ([1.0], 0.0) for n in SCORE_COLUMNS})
+    got = score(rows_, vectors, heads, manifest=twice)
+    assert got.columns[:3] == rows_.columns
+    assert sorted((str(r[0]), r["mood"]) for r in got.collect()) == [("1", 1.0), ("1", 1.0), ("2", None), ("None", None)]

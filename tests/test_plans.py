@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import oracle_sql, queries
+from variantflow.catalog import ORACLES, QUERIES
+from variantflow.operators.keyed import pending
 from variantflow.catalog.base import HEADS
 from variantflow.operators.keyed import keyed_upsert, row_index
 from variantflow.operators.manifest import manifest_join
@@ -72,8 +74,9 @@ def test_partition_counts_change_no_result(spark, name):
 
 
 def test_every_query_has_its_sql():
-    assert set(queries()) == set(oracle_sql())
-    assert len(queries()) >= 42
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
+    assert len(QUERIES) >= 42
 
 
 def test_filters_and_columns_reach_the_scan(spark):
@@ -162,3 +165,27 @@ def test_rows_without_a_path_are_spread(spark, no_broadcast):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert len(sizes) == 8 and max(sizes) < 2 * min(sizes)
+
+
+def test_unfinished_pairs_are_found_without_reading_texts(spark, tmp_path):
+    from variantflow.schemas import LOG_SCHEMA
+    from variantflow.streaming.progress import current_outcomes
+
+    row = (1, "positive", "t", 1, "r", 1, 0.0, "ok", 10)
+    spark.createDataFrame([row], LOG_SCHEMA).write.parquet(str(tmp_path / "log" / "run=a" / "batch=0"))
+    finished = current_outcomes(spark, str(tmp_path / "log")).filter("outcome <> 'failed'")
+    docs = spark.range(3).select(F.col("id").alias("row_idx"), F.lit("x").alias("original_text"))
+    text = plan(pending(docs, finished))
+    scan = [line for line in text.splitlines() if "ReadSchema" in line]
+    assert len(scan) == 1 and "reply" not in scan[0] and "original_text" not in scan[0]
+
+
+def test_calls_stay_spread_on_resume(spark):
+    docs = spark.range(40).select(F.col("id").alias("row_idx"), F.lit("x").alias("original_text"))
+    state = spark.range(4).select(F.col("id").alias("row_idx"), F.lit("positive").alias("variant"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        tasks = pending(docs, state, spread_to=16).select(F.spark_partition_id()).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tasks > 8

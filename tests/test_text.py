@@ -51,3 +51,14 @@ def test_paths_markers_and_uniform_numbers(spark):
     u = spark.range(2000).select(key_uniform(F.col("id")).alias("u"))
     low, high, mean = u.agg(F.min("u"), F.max("u"), F.avg("u")).first()
     assert 0 <= low < 0.01 and 0.99 < high < 1 and abs(mean - 0.5) < 0.03
+
+
+def test_paths_agree_whatever_their_store_is_called(spark):
+    from variantflow.functions.text import qualified_path
+
+    paths = ["/a/2.jpg", "hdfs://nn:8020/a/2.jpg", "s3a://b/k", "s3://b/k", "file:///a", "file:/a", "out/x", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    on_hdfs = [r[0] for r in df.select(qualified_path(F.col("p"), "hdfs://nn:8020")).collect()]
+    assert on_hdfs == ["hdfs://nn:8020/a/2.jpg"] * 2 + ["s3://b/k"] * 2 + ["file:/a"] * 2 + ["out/x", None]
+    local = [r[0] for r in df.select(qualified_path(F.col("p"), "file:")).collect()]
+    assert local[0] == "file:/a/2.jpg" and local[4] == "file:/a"

@@ -31,12 +31,14 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     generate.add_argument("out", help="routed manifest: a .csv name or a Parquet folder")
     generate.add_argument("--artifacts", required=True, help="folder of the artifacts")
     generate.add_argument("--key", default="row_idx")
+    generate.add_argument("--start-tag", default="<begin_of_image>", help="end of each prompt")
 
     score = stages.add_parser("score", help="scores of every artifact")
-    score.add_argument("source", help="routed Parquet manifest")
+    score.add_argument("source", help="routed manifest of generate: .csv or Parquet")
     score.add_argument("out", help="routed result: a .csv name or a Parquet folder")
     score.add_argument("--features", required=True, help="Parquet with row_idx, variant, features")
     score.add_argument("--heads", required=True, help="JSON file with the weights of each score")
+    score.add_argument("--images", help="folder of image files; those that can't be read get no scores")
     return parser.parse_args(argv)
 
 
@@ -57,10 +59,12 @@ def main(argv: list[str] | None = None) -> None:
             )
         counters.orderBy("variant", "outcome").show(truncate=False)
     elif args.stage == "generate":
-        jobs.generate_job(spark, args.source, args.out, args.artifacts, key=args.key)
+        told = {"key": args.key, "start_tag": args.start_tag}
+        jobs.generate_job(spark, args.source, args.out, args.artifacts, **told).show(truncate=False)
     else:
         heads = jobs.read_heads(args.heads, spark)
-        jobs.score_job(spark, args.source, args.out, args.features, heads)
+        run = jobs.score_job(spark, args.source, args.out, args.features, heads, images=args.images)
+        run.show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from variantflow.catalog.base import SQL_FEATURES, SQL_VARIANTS, descriptions, parallelism, query, table
+from variantflow.catalog.png import png_column
 from variantflow.catalog.vectors import vectors
 from variantflow.functions.arrays import dequantize
 from variantflow.operators.manifest import manifest_join
@@ -13,7 +14,6 @@ from variantflow.schemas import NA_TOKENS, SLUGS, VARIANTS, slug_of
 from variantflow.sources.artifacts import (
     artifact_manifest,
     image_scan,
-    png_column,
     probe_artifacts,
     write_artifacts,
 )

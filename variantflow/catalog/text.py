@@ -88,10 +88,13 @@ def variant_union(spark, sf_dir):
     return union_variants(tables)
 
 
+# --- fixed values: the prompt -------------------------------------------
 _PROMPT_SQL = (
     "'Rewrite the following text to have a tone that is ' || variant || ':' || chr(10) || chr(10)"
     " || text || '. Be faithful to the original text. It must have the same amount of tokens.'"
 )
+_SEED, _MODEL = 42, "mistral"
+# --- end of fixed values ------------------------------------------------
 
 
 @query(
@@ -109,7 +112,7 @@ def prompts(spark, sf_dir):
     "request_payload_json",
     f"""WITH {SQL_VARIANTS} SELECT doc_id AS row_idx, variant,
           to_json({{'messages': [{{'role': 'user', 'content': {_PROMPT_SQL}}}],
-                    'seed': 42, 'model': 'mistral'}})::VARCHAR AS payload
+                    'seed': {_SEED}, 'model': '{_MODEL}'}})::VARCHAR AS payload
         FROM documents CROSS JOIN variants""",
 )
 def payloads(spark, sf_dir):

@@ -132,7 +132,8 @@ def permuted(spark, sf_dir):
 @query(
     "head_cross_join",
     f"""WITH {SQL_HEADS} SELECT vec_id, head, b, scale, len(w)::INTEGER AS n_weights,
-               w[1] AS first_weight, w[64] AS last_weight
+               list_aggregate(list_transform(w, lambda x: round(x * 100)::INTEGER), 'string_agg', ',')
+                 AS weights_in_hundredths
         FROM embeddings CROSS JOIN heads""",
 )
 def crossed(spark, sf_dir):
@@ -143,8 +144,9 @@ def crossed(spark, sf_dir):
         "b",
         "scale",
         F.size(w).alias("n_weights"),
-        F.element_at(w, 1).alias("first_weight"),
-        F.element_at(w, -1).alias("last_weight"),
+        F.array_join(F.transform(w, lambda x: F.round(x * 100).cast("int").cast("string")), ",").alias(
+            "weights_in_hundredths"
+        ),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 from variantflow.schemas import NA_TOKENS
@@ -118,6 +118,24 @@ def normal_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:/+", "/")
 
 
+def default_store(spark: SparkSession) -> str:
+    """Where paths without a scheme are, as the session's file systems see it: ``file:`` or ``scheme://authority``."""
+    name = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return "file:" if name.startswith("file:") else name.rstrip("/")
+
+
+def qualified_path(path: Column, store: str) -> Column:
+    """A path with its store, so that listings and tables agree whatever form either has.
+
+    ``store`` is that of :func:`default_store`.  Hadoop's names of the object
+    store connector are one; a relative path stays relative.
+    """
+    local = F.regexp_replace(path, r"^file:/+", "file:/")
+    object_store = F.regexp_replace(local, r"^s3[an]://", "s3://")
+    base = store.replace("s3a://", "s3://").replace("s3n://", "s3://")
+    return F.when(F.startswith(object_store, F.lit("/")), F.concat(F.lit(base), object_store)).otherwise(object_store)
+
+
 def null_if_na(value: Column, tokens: tuple[str, ...] = NA_TOKENS) -> Column:
     """NULL for every text that stands for a missing value."""
     return F.when(~value.isin(*tokens), value)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import importlib
 import json
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from variantflow.operators.counters import run_counters
@@ -14,12 +15,20 @@ from variantflow.operators.inference import Client, RetryPolicy, http_client
 from variantflow.operators.replies import dead_letter
 from variantflow.operators.scoring import Head, export_names, heads_from_weights
 from variantflow.operators.variants import assemble_wide, fan_out
-from variantflow.plans.generate import variant_manifest
+from variantflow.plans.generate import generation_requests, variant_manifest
 from variantflow.plans.rewrite import call_service, retry_pass, rewrite
 from variantflow.plans.score import score
-from variantflow.sources.csv import csv_export, csv_scan, numbered
+from variantflow.schemas import SCORE_COLUMNS, VARIANTS, slug_of
+from variantflow.sources.artifacts import image_scan
+from variantflow.sources.csv import csv_export, csv_scan, encoding_fallback_scan, numbered
+from variantflow.sources.scratch import written
 from variantflow.sources.state import write_routed
-from variantflow.streaming.progress import current_state, incremental_progress, retry_failed
+from variantflow.streaming.progress import (
+    current_outcomes,
+    current_state,
+    incremental_progress,
+    retry_failed,
+)
 
 
 def is_csv(path: str) -> bool:
@@ -71,7 +80,7 @@ def rewrite_job(
     log = f"{out}/log"
     rows = read_rows(spark, source, key)
     rows = rows.withColumn(key, F.col(key).cast("long"))
-    finished = current_state(spark, log).filter(F.col("outcome") != "failed")
+    finished = current_outcomes(spark, log).filter(F.col("outcome") != "failed")
     rewrite(
         rows,
         client_factory,
@@ -118,6 +127,8 @@ def incremental_rewrite_job(
 def publish(spark: SparkSession, rows: DataFrame, out: str, key: str) -> DataFrame:
     """Write wide table, state and dead letters from the log."""
     state = current_state(spark, f"{out}/log")
+    # three tables and the counters are made of it
+    state = written(state, "published-state")
     ok = state.filter(F.col("outcome") == "ok")
     wide = rows.join(assemble_wide(ok).withColumnRenamed("row_idx", key), key, "left")
     wide.write.mode("overwrite").parquet(f"{out}/wide")
@@ -128,11 +139,52 @@ def publish(spark: SparkSession, rows: DataFrame, out: str, key: str) -> DataFra
 
 
 def generate_job(
-    spark: SparkSession, source: str, out: str, artifacts: str, *, key: str = "row_idx"
-) -> None:
-    """Manifest of each variant: the wide table with ``generated_filename``."""
+    spark: SparkSession,
+    source: str,
+    out: str,
+    artifacts: str,
+    *,
+    key: str = "row_idx",
+    start_tag: str = "<begin_of_image>",
+) -> DataFrame:
+    """Manifest of each variant: the wide table with ``reply``, ``prompt`` and ``generated_filename``.
+
+    ``reply`` is the variant's own text; without one there is no prompt.
+    Returns the run's totals.
+    """
+    began = time.monotonic()
     rows = read_rows(spark, source, key).withColumnRenamed(key, "row_idx")
-    write_table(variant_manifest(rows, artifacts), out)
+    manifest = variant_manifest(rows, artifacts)
+    own = [
+        F.when(F.col("variant") == v, F.col(f"description_{slug_of(v)}"))
+        for v in VARIANTS
+        if f"description_{slug_of(v)}" in rows.columns
+    ]
+    text = F.coalesce(*own) if own else F.lit(None).cast("string")
+    made = generation_requests(manifest.withColumn("reply", text), artifacts, start_tag)
+    made = made.withColumn("prompt", F.when(F.col("reply").isNotNull(), F.col("prompt")))
+    return totals_of(spark, made, out, began, F.count("prompt").alias("prompts"))
+
+
+def read_manifest(spark: SparkSession, source: str) -> DataFrame:
+    """The variant tables of :func:`generate_job` as one, from Parquet or from CSV in either encoding."""
+    if not is_csv(source):
+        return spark.read.parquet(source)
+    rows = encoding_fallback_scan(spark, source)
+    if "variant" not in rows.columns and "slug" in rows.columns:
+        rows = rows.withColumn("variant", F.replace("slug", F.lit("_"), F.lit(" ")))
+    return rows.withColumn("row_idx", F.col("row_idx").cast("long"))
+
+
+def totals_of(spark: SparkSession, df: DataFrame, out: str, began: float, *totals) -> DataFrame:
+    """Write a table and its run's totals: rows and what is counted, seen as they are written, and seconds."""
+    watch = Observation("run")
+    write_table(df.observe(watch, F.count(F.lit(1)).alias("rows"), *totals), out)
+    found = {**watch.get, "seconds": round(time.monotonic() - began, 3)}
+    schema = ", ".join(f"{k} {'double' if k == 'seconds' else 'long'}" for k in found)
+    run = spark.createDataFrame([tuple(found.values())], schema)
+    run.write.mode("append").json(f"{out.rstrip('/').removesuffix('.csv')}-runs")
+    return run
 
 
 def score_job(
@@ -143,11 +195,22 @@ def score_job(
     heads: list[Head],
     *,
     feature_key: tuple[str, ...] = ("row_idx", "variant"),
-) -> None:
-    """Manifests with one column for each score, under the published names."""
-    rows = spark.read.parquet(source)
+    images: str | None = None,
+) -> DataFrame:
+    """Manifests with one column for each score, under the published names; returns the run's totals.
+
+    With a folder of ``images`` the files are read, and one that cannot be read
+    has no scores; without it, a file has to exist.
+    """
+    began = time.monotonic()
+    rows = read_manifest(spark, source)
     vectors = spark.read.parquet(features)
-    write_table(export_names(score(rows, vectors, heads, feature_key=feature_key)), out)
+    manifest = None
+    if images:
+        manifest = image_scan(spark, images).select("path", F.col("height").isNotNull().alias("readable"))
+    scored = score(rows, vectors, heads, feature_key=feature_key, manifest=manifest, listing=bool(images))
+    some = F.count(f"`{SCORE_COLUMNS[0]}`").alias("scored")
+    return totals_of(spark, export_names(scored), out, began, some)
 
 
 def write_table(df: DataFrame, out: str) -> None:

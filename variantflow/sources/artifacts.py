@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import struct
-import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -11,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from variantflow.functions.text import normal_path
+from variantflow.functions.text import default_store, normal_path
 
 
 def artifact_manifest(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
@@ -30,15 +28,21 @@ def artifact_manifest(spark: SparkSession, root: str, pattern: str = "*") -> Dat
 
 
 class _Stores:
-    """File systems of paths, opened once for each store in a task."""
+    """File systems of paths, opened once for each store in a task.
 
-    def __init__(self) -> None:
+    ``default`` is the store of paths without a scheme.
+    """
+
+    def __init__(self, default: str = "file:") -> None:
         self._open: dict[str, tuple] = {}
+        self._default = default
 
     def locate(self, path: str) -> tuple:
         """(store, file system, path inside it)."""
         from pyarrow import fs
 
+        if path.startswith("/") and self._default != "file:":
+            path = self._default + path
         scheme, mark, rest = path.partition("://")
         if not mark or scheme == "file":
             if "" not in self._open:
@@ -60,27 +64,30 @@ def probe_artifacts(
 ) -> DataFrame:
     """Add whether the file of each row exists, tested inside the tasks.
 
-    Narrow: no listing, no shuffle and nothing on the driver.  Each store is
-    asked once for each record batch.
+    Narrow: no listing, no shuffle and nothing on the driver.  Stores are opened
+    once for each task and asked once for each record batch.  Paths without a
+    scheme are looked for in the session's default file system.
     """
+    default = default_store(df.sparkSession)
 
     @F.arrow_udf("boolean")
-    def exists(paths: pa.Array) -> pa.Array:
+    def exists(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         from pyarrow import fs
 
-        stores = _Stores()
-        asked: dict[str, tuple] = {}
-        for i, p in enumerate(paths.to_pylist()):
-            if p:
-                store, system, inside = stores.locate(p)
-                _, rows, names = asked.setdefault(store, (system, [], []))
-                rows.append(i)
-                names.append(inside)
-        found = np.zeros(len(paths), dtype=bool)
-        for system, rows, names in asked.values():
-            infos = system.get_file_info(names)
-            found[rows] = [info.type != fs.FileType.NotFound for info in infos]
-        return pa.array(found)
+        stores = _Stores(default)
+        for paths in batches:
+            asked: dict[str, tuple] = {}
+            for i, p in enumerate(paths.to_pylist()):
+                if p:
+                    store, system, inside = stores.locate(p)
+                    _, rows, names = asked.setdefault(store, (system, [], []))
+                    rows.append(i)
+                    names.append(inside)
+            found = np.zeros(len(paths), dtype=bool)
+            for system, rows, names in asked.values():
+                infos = system.get_file_info(names)
+                found[rows] = [info.type != fs.FileType.NotFound for info in infos]
+            yield pa.array(found)
 
     return df.withColumn(name, exists(F.col(path)))
 
@@ -91,8 +98,10 @@ def write_artifacts(df: DataFrame, path: str, content: str) -> DataFrame:
     Lazy.  A repeated task writes the same file again, so retries are harmless.
     """
 
+    default = default_store(df.sparkSession)
+
     def save(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        stores, made = _Stores(), set()
+        stores, made = _Stores(default), set()
         for batch in batches:
             paths, sizes = [], []
             for target, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -152,34 +161,3 @@ def rgb_bytes(data: Column, channels: Column) -> Column:
         return pa.array(out, pa.binary())
 
     return convert(data, channels)
-
-
-def png_bytes(pixels: bytes, width: int, height: int, channels: int) -> bytes:
-    """Plain PNG of 8-bit grey (1), RGB (3) or RGBA (4) pixels."""
-
-    def chunk(kind: bytes, data: bytes) -> bytes:
-        return struct.pack(">I", len(data)) + kind + data + struct.pack(">I", zlib.crc32(kind + data))
-
-    stride = width * channels
-    lines = b"".join(b"\0" + pixels[i * stride : (i + 1) * stride] for i in range(height))
-    kind = {1: 0, 3: 2, 4: 6}[channels]
-    header = struct.pack(">IIBBBBB", width, height, 8, kind, 0, 0, 0)
-    return (
-        b"\x89PNG\r\n\x1a\n"
-        + chunk(b"IHDR", header)
-        + chunk(b"IDAT", zlib.compress(lines))
-        + chunk(b"IEND", b"")
-    )
-
-
-def png_column(levels: Column, width: int, height: int, channels: int = 1) -> Column:
-    """PNG file of an array of 0..255 levels."""
-
-    @F.arrow_udf("binary")
-    def encode(cells: pa.Array) -> pa.Array:
-        return pa.array(
-            [png_bytes(bytes(c), width, height, channels) if c else None for c in cells.to_pylist()],
-            pa.binary(),
-        )
-
-    return encode(levels)

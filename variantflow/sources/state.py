@@ -34,9 +34,16 @@ def _table_path(root: str, variant: str) -> str:
 def load_or_init(
     spark: SparkSession, root: str, variants: Sequence[str] = VARIANTS
 ) -> dict[str, DataFrame]:
-    """The two-column table of each variant; if one is missing, all start empty."""
-    found = {v: read_if_exists(spark, _table_path(root, v), _STORED) for v in variants}
+    """The two-column table of each variant; if one is missing, all start empty.
+
+    Reads what :func:`save_variant_tables` writes, and the state that the rewrite
+    job publishes, which names the source's text ``original_text``.
+    """
+    stored = f"original_text string, {_STORED}"
+    found = {v: read_if_exists(spark, _table_path(root, v), stored) for v in variants}
     if all(t is not None for t in found.values()):
+        text = F.coalesce("description_original", "original_text").alias("description_original")
+        found = {v: t.select(text, "reply") for v, t in found.items()}
         return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
     return {v: spark.createDataFrame([], variant_state_schema(v)) for v in variants}
 
@@ -48,7 +55,7 @@ def load_state(spark: SparkSession, path: str) -> DataFrame:
 
 
 def save_variant_tables(
-    state: DataFrame, root: str, variants: Sequence[str] = VARIANTS
+    state: DataFrame, root: str, variants: Sequence[str] = VARIANTS, mode: str = "errorifexists"
 ) -> None:
     """Tables for :func:`load_or_init`, all from one pass over the state.
 
@@ -60,7 +67,7 @@ def save_variant_tables(
         "reply",
         F.replace("variant", F.lit(" "), F.lit("_")).alias("slug"),
     )
-    write_routed(rows, root)
+    write_routed(rows, root, mode=mode)
     for v in variants:
         if read_if_exists(spark, _table_path(root, v), _STORED) is None:
             spark.createDataFrame([], _STORED).write.parquet(_table_path(root, v))
