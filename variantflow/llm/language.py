@@ -31,7 +31,7 @@ UNKNOWN = "und"
 BITS = 13
 ORDERS = (1, 2, 3, 4)
 #: training rows of each language, and the bytes of one that are looked at
-SAMPLE = 400
+SAMPLE = 250
 PART_BYTES = 4000
 #: parts into which training texts are cut so that short texts are learned too
 SHORT_BYTES = (40, 200, 1000)
@@ -98,24 +98,24 @@ def fit_svm(x: np.ndarray, y: np.ndarray, cost: float = 20.0, rounds: int = 20)
 
     ``y`` is +1 or -1; both classes weigh the same.
     """
-    x = np.hstack([x, np.ones((len(x), 1), x.dtype)]).astype(np.float64)
     share = {s: len(y) / (2 * max(1, int((y == s).sum()))) for s in (1, -1)}
     upper = np.array([1 / (2 * cost * share[int(s)]) for s in y])
-    norms = (x * x).sum(axis=1) + upper
+    norms = np.einsum("ij,ij->i", x, x) + 1 + upper
     alpha = np.zeros(len(y))
-    w = np.zeros(x.shape[1])
+    w, b = np.zeros(x.shape[1]), 0.0
     order = np.random.default_rng(0)
     for _ in range(rounds):
         moved = 0.0
         for i in order.permutation(len(y)):
-            step = max(alpha[i] - (y[i] * (x[i] @ w) - 1 + upper[i] * alpha[i]) / norms[i], 0.0) - alpha[i]
+            step = max(alpha[i] - (y[i] * (x[i] @ w + b) - 1 + upper[i] * alpha[i]) / norms[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
                 w += step * y[i] * x[i]
+                b += step * y[i]
                 moved = max(moved, abs(step))
         if moved < 1e-3 * max(1.0, alpha.max()):
             break
-    return w[:-1], float(w[-1])
+    return w, float(b)
 
 
 def fit_sigmoid(margin: np.ndarray, y: np.ndarray, rounds: int = 50) -> tuple[float, float]:
@@ -196,12 +196,12 @@ class Model:
 
 def _machine(x: np.ndarray, y: np.ndarray, yes: str, no: str) -> tuple[np.ndarray, Machine]:
     """Fit the machine on two thirds of the rows and its probabilities on the others."""
-    third = np.arange(len(y)) % 3 == 0
-    if len(set(y[third])) < 2 or len(set(y[~third])) < 2:
-        third = np.zeros(len(y), bool)
-    w, b = fit_svm(x[~third], y[~third])
-    held = third if third.any() else ~third
-    slope, shift = fit_sigmoid(x[held] @ w + b, y[held])
+    # rows are mixed, so the first third is as good as any
+    third = len(y) // 3
+    if len(set(y[:third])) < 2 or len(set(y[third:])) < 2:
+        third = 0
+    w, b = fit_svm(x[third:], y[third:])
+    slope, shift = fit_sigmoid(x[: third or None] @ w + b, y[: third or None])
     return w, Machine(yes, no, b, slope, shift)
 
 
@@ -217,13 +217,15 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     for lang in sorted(data):
         families.setdefault(family(lang), []).append(lang)
     names = list(families)
-    sets = {lang: np.stack(found) for lang, found in data.items()}
+    sets = data
 
     def against(left: list[str], right: list[str], yes: str, no: str):
-        x = np.concatenate([sets[k] for k in left + right])
         y = np.concatenate([np.ones(sum(len(sets[k]) for k in left)), -np.ones(sum(len(sets[k]) for k in right))])
         mixed = np.random.default_rng(1).permutation(len(y))
-        return _machine(x[mixed], y[mixed], yes, no)
+        x = np.empty((len(y), 1 << BITS), np.float32)  # mixed in place, so that there is one copy
+        for place, row in zip(np.argsort(mixed).tolist(), (row for k in left + right for row in sets[k])):
+            x[place] = row
+        return _machine(x, y[mixed], yes, no)
 
     between, within = [], []
     for name in names if len(names) > 2 else names[:1] * (len(names) == 2):

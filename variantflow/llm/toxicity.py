@@ -301,7 +301,10 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | None
         own = np.flatnonzero(toxic == label)
         third[own[::3]] = len(own) > 2
     held = third if third.any() else ~third
-    weights, offset, scale = _fit_words([t for t, h in zip(texts, third) if not h], toxic[~third], landmarks)
+    try:
+        weights, offset, scale = _fit_words([t for t, h in zip(texts, third) if not h], toxic[~third], landmarks)
+    finally:
+        features.cache_clear()
     model = Model(weights, offset, scale, np.zeros(TOP + 4))
     x = [model.features(buf, offsets) for buf, offsets in _slices([t for t, h in zip(texts, held) if h])]
     # an empty document has no toxic word
