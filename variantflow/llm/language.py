@@ -257,7 +257,9 @@ def training_rows(docs: DataFrame, text: str, lang: str, sample: int) -> list[tu
     """At most ``sample`` labelled rows of each language, the same whatever the partitions."""
     usable = docs.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).rlike(r"\p{L}"))
     usable = usable.select(F.left(F.col(quoted(text)), F.lit(PART_BYTES)).alias("text"), F.col(quoted(lang)).alias("lang"))
-    counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    # copies count once, as they are taken once
+    distinct = F.approx_count_distinct(F.xxhash64("text")).alias("n")
+    counts = {r["lang"]: max(1, r["n"]) for r in usable.groupBy("lang").agg(distinct).collect()}
     if not counts:
         return []
     # a hash of the text picks about three times as many rows as are needed, copies once

@@ -44,6 +44,8 @@ TRAIN_WORDS = 15_000
 ROUNDS = 3
 #: word scores of a document that its score is made of
 TOP = 8
+#: word scores beyond these tell no more; a disguised word reaches the upper one as a plain one does
+CLIP = (-1.0, 0.75)
 THRESHOLD = 0.7
 
 #: gaps of the three symbols: offsets of the second and third
@@ -219,7 +221,6 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, penalty: float
 class Model:
     weights: np.ndarray  # of subsequences
     offset: float
-    scale: float  # of word scores
     judge: np.ndarray  # of the highest word scores of a document
 
     def document_features(self, scores: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -230,7 +231,7 @@ class Model:
             if b - a > TOP:
                 own = np.partition(own, b - a - TOP)[-TOP:]
             top = np.full(TOP, -1.0)
-            top[: len(own)] = np.clip(np.sort(own)[::-1] * self.scale, -1.0, 1.5)
+            top[: len(own)] = np.clip(np.sort(own)[::-1], *CLIP)
             positive = float((scores[a:b] > 0).sum())
             out[d, :TOP] = top
             out[d, TOP:] = np.log1p(positive), np.log1p(b - a) / 4, 10 * positive / max(b - a, 20)
@@ -259,7 +260,7 @@ def _word_sets(texts: list[str]) -> Iterator[set[bytes]]:
             yield {w for w in (s.word(i) for i in range(a, b)) if len(w) > 4}
 
 
-def _fit_words(texts: list[str], toxic: np.ndarray, landmarks: int) -> tuple[np.ndarray, float, float]:
+def _fit_words(texts: list[str], toxic: np.ndarray, landmarks: int) -> tuple[np.ndarray, float]:
     names: dict[bytes, bytes] = {}  # a word that many documents have is held once
     sets = [{names.setdefault(w, w) for w in found} for found in _word_sets(texts)]
     n_toxic, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
@@ -285,9 +286,7 @@ def _fit_words(texts: list[str], toxic: np.ndarray, landmarks: int) -> tuple[np.
                     own = sorted((i for i in map(place.get, found) if i is not None), key=lambda i: -score[i])
                     for i in own[:3]:
                         yes[i] += 1 / n_toxic
-    high = np.sort(score[yes > 0])[::-1]
-    scale = 1 / max(abs(float(np.median(high))) if len(high) else 1.0, 0.1)
-    return nystrom.weights(w), b, scale
+    return nystrom.weights(w), b
 
 
 def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | None:
@@ -302,10 +301,10 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | None
         third[own[::3]] = len(own) > 2
     held = third if third.any() else ~third
     try:
-        weights, offset, scale = _fit_words([t for t, h in zip(texts, third) if not h], toxic[~third], landmarks)
+        weights, offset = _fit_words([t for t, h in zip(texts, third) if not h], toxic[~third], landmarks)
     finally:
         features.cache_clear()
-    model = Model(weights, offset, scale, np.zeros(TOP + 4))
+    model = Model(weights, offset, np.zeros(TOP + 4))
     x = [model.features(buf, offsets) for buf, offsets in _slices([t for t, h in zip(texts, held) if h])]
     # an empty document has no toxic word
     x.append(model.document_features(np.empty(0), np.array([0, 0])))
