@@ -83,6 +83,8 @@ def test_records_are_linked(spark):
                 assert http["HTML-Metadata"] == {"Head": {"Title": "A title"}, "Links": [{"path": "A@/href", "url": "http://a/x"}]}
         elif r.page_id == 1:
             assert r.content == "Home\nBuy this now please\nA title\nOne bold& two. Three\nFour five.\n© us"
+    straight = W.derivatives_of_pages(pages_of(spark)).collect()
+    assert sorted(map(str, straight)) == sorted(map(str, made))
     assert W.derivatives(W.responses_of_pages(pages_of(spark).limit(0))).collect() == []
     assert W.derivatives(W.derivatives(responses)).collect() == []  # only responses have derivatives
 

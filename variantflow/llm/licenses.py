@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import FOLDED, ODD, U, cut_words, map_texts, mix, quoted, separators, text_slices
+from variantflow.llm.batches import FOLDED, ODD, U, cut_words, hashed_sample, map_texts, mix, quoted, separators, text_slices
 
 NONE, UNKNOWN = "none", "unknown"
 ORDERS = (1, 2, 3)
@@ -336,8 +336,7 @@ def fit_licenses(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> M
     line = F.element_at("lines", (F.pmod(F.xxhash64("lines"), F.size("lines")) + 1).cast("int"))
     lines = lines.select(F.left(line, F.lit(PART_CHARS)).alias("line")).where(F.length("line") > 0)
     named = r"(?i)licen[cs]|copyright|public domain|rights reserved|creative commons|redistribut"
-    few = lines.where(~F.col("line").rlike(named)).distinct().orderBy(F.xxhash64("line"), "line").limit(sample)
-    return fit([r["line"] for r in few.collect()])
+    return fit(hashed_sample(lines.where(~F.col("line").rlike(named)), "line", sample))
 
 
 def scan_licenses(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

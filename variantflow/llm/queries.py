@@ -17,7 +17,7 @@ from variantflow.llm.licenses import fit_licenses, scan_licenses
 from variantflow.llm.packing import pack
 from variantflow.llm.quality import judge
 from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
-from variantflow.llm.warc import derivatives, responses_of_pages
+from variantflow.llm.warc import derivatives_of_pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,5 +123,4 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_warc_derivatives")
 def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
-    responses = responses_of_pages(table(spark, sf_dir, "pages"))
-    return derivatives(responses, "page_id").withColumn("headers", F.to_json("headers"))
+    return derivatives_of_pages(table(spark, sf_dir, "pages")).withColumn("headers", F.to_json("headers"))

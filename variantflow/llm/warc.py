@@ -15,6 +15,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import html
 import json
 import re
 import uuid
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 from variantflow.llm.batches import quoted
 from variantflow.llm.hash_arrays import save_bytes
-from variantflow.llm.html_text import RAW, TOKEN, segments
+from variantflow.llm.html_text import INLINE, RAW, TOKEN
 
 #: columns of a record; ``headers`` are all its named fields, in order
 RECORD = (
@@ -66,20 +67,21 @@ def _row(fields: list[tuple[str, str | None]], content: str) -> tuple:
     return (*[known.get(c) for c in columns], [{"name": k, "value": v} for k, v in fields], content)
 
 
-def response(page_id, url: str | None, html: str | None, date: str = NO_DATE) -> tuple:
+def response(page_id, url: str | None, page: str | None, date: str = NO_DATE) -> tuple:
     """The response record of a captured page; a NULL page is empty."""
-    html = html or ""
+    page = page or ""
     # a field is one line
     url = url if url is None else url.strip().replace("\r", "%0D").replace("\n", "%0A")
-    content = HTTP + html
+    content = HTTP + page
+    payload = digest(page.encode())
     return _row(
         [
             ("WARC-Type", "response"),
-            ("WARC-Record-ID", record_id("response", str(page_id), url, digest(html.encode()))),
+            ("WARC-Record-ID", record_id("response", str(page_id), url, payload)),
             ("WARC-Target-URI", url),
             ("WARC-Date", date),
             ("Content-Type", "application/http; msgtype=response"),
-            ("WARC-Payload-Digest", digest(html.encode())),
+            ("WARC-Payload-Digest", payload),
             ("WARC-Block-Digest", digest(content.encode())),
         ],
         content,
@@ -95,42 +97,47 @@ def split_http(content: str) -> tuple[str, list[tuple[str, str]], str]:
     return status, [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines)], body
 
 
-def plain_text(html: str) -> str:
-    """Visible text of a page, a line for each block."""
-    blocks: dict[int, list[str]] = {}
-    for s in segments(html):
-        if s.text:
-            blocks.setdefault(s.block, []).append(s.text)
-        elif s.features[0] == "br":
-            blocks.setdefault(s.block, []).append(" ")
-    lines = (" ".join("".join(x).split()) for _, x in sorted(blocks.items()))
-    return "\n".join(x for x in lines if x)
+LINK = re.compile(r"(?:^|\s)(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 
 
-LINK = re.compile(r"(?:^|\s)(href|src)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+def absolute(link: str, base: str | None) -> str:
+    try:
+        return urljoin(base or "", link)
+    except ValueError:
+        return link  # an address that can't be read is kept as it stands
 
 
-def page_facts(html: str, base: str | None) -> dict:
-    """Title and links of a page, the links made absolute."""
-    title, links, at = None, [], 0
-    while found := TOKEN.search(html, at):
+def read_page(page: str, base: str | None) -> tuple[str | None, list[dict], str]:
+    """Title, absolute links and visible text (a line for each block) of a page, in one scan."""
+    title, links, blocks = None, [], [[]]
+    at = 0
+    while at < len(page):
+        found = TOKEN.search(page, at)
+        text = page[at : found.start()] if found else page[at:]
+        if text:
+            blocks[-1].append(html.unescape(text) if "&" in text else text)
+        if not found:
+            break
         at = found.end()
         name = (found[2] or "").lower()
-        if not name or found[1]:
+        if not name:
+            continue
+        if name == "br":
+            blocks[-1].append(" ")
+        elif name not in INLINE and blocks[-1]:
+            blocks.append([])
+        if found[1]:
             continue
-        for attribute, *values in LINK.findall(found[3] or ""):
-            link = "".join(values)
-            try:
-                link = urljoin(base or "", link)
-            except ValueError:
-                pass  # an address that can't be read is kept as it stands
-            links.append({"path": f"{name.upper()}@/{attribute.lower()}", "url": link})
+        if found[3]:
+            for attribute, *values in LINK.findall(found[3]):
+                links.append({"path": f"{name.upper()}@/{attribute.lower()}", "url": absolute("".join(values), base)})
         if name in RAW:
-            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
+            close = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(page, at)
             if name == "title" and title is None:
-                title = " ".join(html[at : close.start() if close else len(html)].split())
-            at = close.end() if close else len(html)
-    return {"title": title, "links": links}
+                title = " ".join(page[at : close.start() if close else len(page)].split())
+            at = close.end() if close else len(page)
+    lines = (" ".join("".join(x).split()) for x in blocks)
+    return title, links, "\n".join(x for x in lines if x)
 
 
 def derive(source: dict) -> Iterator[tuple]:
@@ -141,7 +148,7 @@ def derive(source: dict) -> Iterator[tuple]:
         ("WARC-Date", source["date"]),
         ("WARC-Refers-To", source["record_id"]),
     ]
-    facts = page_facts(body, source["target_uri"])
+    title, links, text = read_page(body, source["target_uri"])
     envelope = {
         "Envelope": {
             "WARC-Header-Metadata": {h["name"]: h["value"] for h in source["headers"] or []},
@@ -151,14 +158,14 @@ def derive(source: dict) -> Iterator[tuple]:
                     "Headers": dict(http),
                     "Entity-Length": len(body.encode()),
                     "Entity-Digest": source["payload_digest"],
-                    "HTML-Metadata": {"Head": {"Title": facts["title"]}, "Links": facts["links"]},
+                    "HTML-Metadata": {"Head": {"Title": title}, "Links": links},
                 }
             },
         }
     }
     for kind, mime, content in (
         ("metadata", "application/json", json.dumps(envelope, ensure_ascii=False)),
-        ("conversion", "text/plain", plain_text(body)),
+        ("conversion", "text/plain", text),
     ):
         yield _row(
             [
@@ -236,6 +243,24 @@ def derivatives(responses: DataFrame, key: str | None = None) -> DataFrame:
     return made.withColumnRenamed("key", key) if key else made.drop("key")
 
 
+def derivatives_of_pages(pages: DataFrame, key: str = "page_id", url: str = "url", page: str = "html") -> DataFrame:
+    """:func:`derivatives` of :func:`responses_of_pages` in one pass, without the responses in between."""
+
+    def run(batches):
+        for batch in batches:
+            for part in _parts(batch, 2):
+                keys, rows = [], []
+                for x in zip(*(part.column(i).to_pylist() for i in range(3))):
+                    for row in derive(dict(zip(NAMES, response(*x)))):
+                        keys.append(x[0])
+                        rows.append(row)
+                yield _batch(rows, [pa.array(keys, part.column(0).type)], ["key"])
+
+    narrow = pages.select(F.col(quoted(key)).alias("key"), F.col(quoted(url)).alias("url"), F.col(quoted(page)).alias("page"))
+    kind = narrow.schema["key"].dataType.simpleString()
+    return narrow.mapInArrow(run, f"key {kind}, {RECORD}").withColumnRenamed("key", key)
+
+
 # --- files ------------------------------------------------------------------
 def to_bytes(headers: list[dict], content: str) -> bytes:
     """A record in the archive format."""
