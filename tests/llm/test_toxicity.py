@@ -107,7 +107,7 @@ def test_awkward_rows(spark, model):
 def test_labels(spark):
     df = docs(spark, [(i, t, "en", "a") for i, (t, _) in enumerate(rows(5, 80))])
     labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(rows(5, 80))] + [(None, 1), (3, None), (4, 1), (4, 0)], "doc_id long, toxic int")
-    sample = X.training_rows(df, labels, "text", "doc_id", "toxic", 10)
+    sample = X.training_rows(df, labels, "text", "doc_id", "toxic", 10).collect()
     assert sum(y for _, y in sample) == 10 and len(sample) == 30
     assert X.fit_toxicity(df, labels.where("toxic = 0")) is None
     assert {r.score for r in X.score_toxicity(df, None, keep=[], name="score").collect()} == {0.0}

@@ -8,6 +8,7 @@ and no Python call for each word.  Slices are cut between documents at about
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -234,6 +235,18 @@ def hashed_sample(values: DataFrame, column: str, sample: int) -> list:
     return [r[column] for r in sorted(picked, key=lambda r: (r["h"], r[column]))[:sample]]
 
 
+def fitted(sample: DataFrame, fit: Callable):
+    """``fit`` of the rows (as tuples) of a bounded sample, run in one task; the driver gets the model only."""
+
+    def run(batches):
+        rows = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]
+        yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(rows))], pa.binary())})
+
+    made = sample.repartition(1).mapInArrow(run, "model binary").first()
+    # a plan that is known to be empty has no task
+    return pickle.loads(made["model"]) if made else fit([])
+
+
 def fold(key: str, parts: int, left_out: int) -> Column:
     """True for rows of the fold that is left out: crc32 of the key as text, modulo ``parts``.
 

@@ -8,13 +8,14 @@ hashed runs of one to four bytes of the lower-cased text, with digits, signs and
 white space as one blank, so a margin is the mean of a weight over all positions of the
 text and needs one array pass over the whole of it.
 
-The machines are fitted on the driver from a bounded sample of labelled rows
+The machines are fitted in one task from a bounded sample of labelled rows
 (``sample`` for each language, taken by a hash of the text); their weights are a
 fixed number of bytes whatever the corpus.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import map_texts, quoted, text_slices
+from variantflow.llm.batches import fitted, map_texts, quoted, text_slices
 
 UNKNOWN = "und"
 #: features are hashed to so many bits
@@ -253,26 +254,30 @@ def mean_weights(weights: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> n
     return out
 
 
-def training_rows(docs: DataFrame, text: str, lang: str, sample: int) -> list[tuple[str, str]]:
-    """At most ``sample`` labelled rows of each language, the same whatever the partitions."""
+def training_rows(docs: DataFrame, text: str, lang: str, sample: int) -> DataFrame:
+    """(text, lang, hash) of about three times ``sample`` labelled rows of each language, copies once."""
     usable = docs.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).rlike(r"\p{L}"))
     usable = usable.select(F.left(F.col(quoted(text)), F.lit(PART_BYTES)).alias("text"), F.col(quoted(lang)).alias("lang"))
     # copies count once, as they are taken once
     distinct = F.approx_count_distinct(F.xxhash64("text")).alias("n")
     counts = {r["lang"]: max(1, r["n"]) for r in usable.groupBy("lang").agg(distinct).collect()}
     if not counts:
-        return []
+        return usable.select("text", "lang", F.xxhash64("text").alias("h")).limit(0)
     # a hash of the text picks about three times as many rows as are needed, copies once
     parts = 1 << 31
     shares = [x for k, n in counts.items() for x in (F.lit(k), F.lit(min(parts, 3 * sample * parts // n)))]
     picked = usable.where(F.pmod(F.xxhash64("text"), F.lit(parts)) < F.create_map(*shares)[F.col("lang")])
-    picked = picked.distinct().withColumn("h", F.xxhash64("text"))
-    rows, taken = [], dict.fromkeys(counts, 0)
-    for r in sorted(picked.collect(), key=lambda r: (r["h"], r["text"], r["lang"])):
-        if taken[r["lang"]] < sample:
-            taken[r["lang"]] += 1
-            rows.append((r["text"], r["lang"]))
-    return rows
+    return picked.distinct().withColumn("h", F.xxhash64("text"))
+
+
+def first_of_each(rows: list[tuple[str, str, int]], sample: int) -> list[tuple[str, str]]:
+    """At most ``sample`` rows of each language in order of the hash, the same whatever the partitions."""
+    out, taken = [], Counter()
+    for text, lang, _ in sorted(rows, key=lambda r: (r[2], r[0], r[1])):
+        taken[lang] += 1
+        if taken[lang] <= sample:
+            out.append((text, lang))
+    return out
 
 
 LETTER = r"\p{L}"
@@ -315,4 +320,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """The model of a table's labelled rows; rows without text or language teach nothing."""
-    return fit(training_rows(docs, text, lang, sample))
+    return fitted(training_rows(docs, text, lang, sample), lambda rows: fit(first_of_each(rows, sample)))

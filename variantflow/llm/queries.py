@@ -25,9 +25,13 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def query(name: str) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+    """Register a query, with the SQL that must give the same rows where SQL can express it."""
+
     def register(fn: Query) -> Query:
         QUERIES[name] = fn
+        if sql:
+            ORACLES[name] = sql
         return fn
 
     return register
@@ -37,12 +41,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op3_jaccard_join")
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(
+    "op3_jaccard_join",
+    f"""WITH RECURSIVE
+        d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS g
+              FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                   FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY x, y),
+        links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
+                  WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+        reach AS (SELECT doc_id, doc_id AS other FROM d
+                  UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
+        SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+)
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=3, threshold="9/10")
 
 
-@query("op7_benchmark_decontamination")
+_ITEM_WORDS = f"regexp_extract_all({_LOWERED}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op7_benchmark_decontamination",
+    f"""WITH d AS (SELECT doc_id, {_ITEM_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_ITEM_WORDS} AS w FROM benchmark),
+        windows AS (SELECT item_id, list_slice(w, i, i + 12) AS g
+                    FROM b, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        lengths AS (SELECT DISTINCT len(g) AS n FROM windows),
+        runs AS (SELECT doc_id, i, n, list_slice(w, i, i + n - 1) AS g
+                 FROM d, lengths, unnest(range(1, len(w) - n + 2)) AS t(i)),
+        hits AS (SELECT doc_id, i, n, item_id FROM runs JOIN windows USING (g)),
+        marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM hits, unnest(range(i, i + n)) AS t(p) GROUP BY doc_id),
+        named AS (SELECT doc_id, count(*) AS n_items, string_agg(k, ',' ORDER BY k) AS ks
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS k FROM hits) GROUP BY doc_id)
+        SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+               sha256(coalesce(ks, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
+)
 def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     found = scan_benchmark(docs, items, keep=["doc_id"], name="found")

@@ -17,7 +17,7 @@ a toxic document that scored highest as toxic.  A logistic function of the
 highest word scores gives the score of a document.  It is fitted on a third
 of the sample, from which the words were not learned.
 
-The sample of labelled rows that is fitted on the driver is bounded by
+The sample of labelled rows that is fitted in one task is bounded by
 ``sample`` rows of each label and ``PART_CHARS`` characters of a text.
 """
 
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import cut_words, map_texts, quoted, separators, text_slices
+from variantflow.llm.batches import cut_words, fitted, map_texts, quoted, separators, text_slices
 
 SPAN = 5
 DECAY = 0.6
@@ -315,8 +315,8 @@ def fit(rows: list[tuple[str, int]], landmarks: int = LANDMARKS) -> Model | None
 
 def training_rows(
     docs: DataFrame, labels: DataFrame, text: str, key: str, label: str, sample: int
-) -> list[tuple[str, int]]:
-    """At most ``sample`` rows of each label, by a hash of the key; a key with both labels is toxic."""
+) -> DataFrame:
+    """(text, label) of at most ``sample`` toxic and twice as many other rows, by a hash of the key; a key with both labels is toxic."""
     known = labels.where(F.col(quoted(key)).isNotNull() & F.col(quoted(label)).isin(0, 1))
     known = known.groupBy(F.col(quoted(key)).alias("key")).agg(F.max(quoted(label)).alias("label"))
     order = [F.xxhash64("key"), "key"]
@@ -326,8 +326,8 @@ def training_rows(
         F.col(quoted(key)).alias("key"), F.left(F.col(quoted(text)), F.lit(PART_CHARS)).alias("text")
     ).where("text IS NOT NULL")
     # at most 3 * sample keys
-    rows = texts.join(F.broadcast(few), "key").groupBy("key").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-    return [(r["text"], r["label"]) for r in sorted(rows.collect(), key=lambda r: (r["text"], r["label"]))]
+    rows = texts.join(F.broadcast(few), "key").groupBy("key")
+    return rows.agg(F.min("text").alias("text"), F.max("label").alias("label")).select("text", "label")
 
 
 def fit_toxicity(
@@ -335,7 +335,7 @@ def fit_toxicity(
     sample: int = SAMPLE,
 ) -> Model | None:
     """Model of the labelled rows of ``docs``; None if they have not both labels."""
-    return fit(training_rows(docs, labels, text, key, label, sample))
+    return fitted(training_rows(docs, labels, text, key, label, sample), lambda rows: fit(sorted(rows)))
 
 
 def _score_job(held):
