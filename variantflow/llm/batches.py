@@ -236,7 +236,10 @@ def hashed_sample(values: DataFrame, column: str, sample: int) -> list:
 
 
 def fitted(sample: DataFrame, fit: Callable):
-    """``fit`` of the rows (as tuples) of a bounded sample, run in one task; the driver gets the model only."""
+    """``fit`` of the rows (as tuples) of a bounded sample, run in one task; the driver gets the result only.
+
+    ``fit`` gives plain values (arrays, tuples, dicts), as a task may know its classes by another name.
+    """
 
     def run(batches):
         rows = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]

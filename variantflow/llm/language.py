@@ -16,7 +16,7 @@ fixed number of bytes whatever the corpus.
 from __future__ import annotations
 
 from collections import Counter
-from dataclasses import dataclass
+from dataclasses import astuple, dataclass
 from itertools import combinations
 
 import numpy as np
@@ -320,4 +320,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
 
 def fit_languages(docs: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE) -> Model:
     """The model of a table's labelled rows; rows without text or language teach nothing."""
-    return fitted(training_rows(docs, text, lang, sample), lambda rows: fit(first_of_each(rows, sample)))
+    def values(rows):
+        m = fit(first_of_each(rows, sample))
+        return m.families, [astuple(x) for x in m.between], [astuple(x) for x in m.within], m.weights
+
+    families, between, within, weights = fitted(training_rows(docs, text, lang, sample), values)
+    return Model(families, [Machine(*x) for x in between], [Machine(*x) for x in within], weights)

@@ -335,7 +335,12 @@ def fit_toxicity(
     sample: int = SAMPLE,
 ) -> Model | None:
     """Model of the labelled rows of ``docs``; None if they have not both labels."""
-    return fitted(training_rows(docs, labels, text, key, label, sample), lambda rows: fit(sorted(rows)))
+    def values(rows):
+        m = fit(sorted(rows))
+        return m and (m.weights, m.offset, m.judge)
+
+    found = fitted(training_rows(docs, labels, text, key, label, sample), values)
+    return found and Model(*found)
 
 
 def _score_job(held):
