@@ -65,6 +65,30 @@ def test_outliers_of_a_group_are_rejected_and_the_rest_kept(spark):
     assert all(got[k].kept for k, *_ in rows if not got[k].base_failed)
 
 
+def test_symbols_and_repeated_lines_beyond_their_group_are_rejected(spark):
+    rng = np.random.default_rng(6)
+    words = ENGLISH.split()
+
+    def text(n, marked):
+        return " ".join(words[j] + ("$" * len(words[j]) if rng.random() < marked else "") for j in rng.integers(0, len(words), n))
+
+    marked = [(5000 + i, text(90, x), "en", "a") for i, x in enumerate([0.45, 0.5, 0.55, 0.6, 0.65] * 2)]
+    lines = [(6000 + i, "\n".join([text(10, 0) for _ in range(8)] + [text(4, 0)] * 3), "en", "a") for i in range(10)]
+    rows = normal_rows(300, "en", "a", 0)
+    got = {r.doc_id: r for r in Q.judge(docs(spark, rows + marked + lines)).collect()}
+    assert all(0.25 < got[k].n_symbols / got[k].word_chars < 0.45 for k, *_ in marked)
+    assert not any(got[k].base_failed or got[k].kept for k, *_ in marked + lines)
+    assert all(got[k].kept for k, *_ in rows if not got[k].base_failed)
+
+
+def test_core_scatter_is_that_of_the_whole_group(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(4000, 4))
+    df = spark.createDataFrame([("g", *map(float, r)) for r in x], "g string, " + ", ".join(f"{s} double" for s in Q.STATS))
+    d2 = np.array([r.d2 for r in Q._distance(df, Q.core_estimates(df, ("g",)), ("g",)).collect()])
+    assert abs(np.median(d2) - 3.357) < 0.2 and 0 < (d2 > Q.CUTOFF).sum() < 13
+
+
 def test_cholesky_distance_equals_numpy(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(400, 4)) @ rng.normal(size=(4, 4))

@@ -3,9 +3,9 @@
 Each document becomes a vector of transformed statistics.  For each language and
 source, the minimum-covariance-determinant estimate of location and scatter is
 found by concentration steps: take the rows closest to the present estimate, a
-fixed share of the group, estimate again from those, until nothing moves or
-``STEPS`` are done.  A row whose Mahalanobis distance is beyond the cutoff is
-rejected.
+fixed share of the group, estimate again from those, for ``STEPS`` steps.  The
+scatter of a core is widened to that of a whole normal group.  A row whose
+Mahalanobis distance is beyond the cutoff is rejected.
 
 The statistics are written once; every step is a grouped aggregate over that
 narrow table, combined before the shuffle, so a group of any size is never in
@@ -14,6 +14,8 @@ one place.  Matrices are written out as columns, factored by Cholesky.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,12 +30,15 @@ WINDOW = 8
 #: share of a group that an estimate is made of
 CORE = 0.75
 STEPS = 5
-#: squared distance that one in a million rows of a normal group of four statistics exceeds
-CUTOFF = 33.4
+#: squared distance that one in a thousand rows of a normal group of four statistics exceeds
+CUTOFF = 18.47
 #: groups of fewer rows take the estimate of their language, then of all rows
 LEAST_ROWS = 50
-#: least standard deviation of each statistic: nothing closer than this is an outlier
-LEAST_SPREAD = {"s_length": 1.0, "s_word": 0.1, "s_symbols": 0.25, "s_lines": 0.25}
+#: added to each variance against rounding, far below any spread that decides
+LEAST_SPREAD = {"s_length": 1e-4, "s_word": 1e-4, "s_symbols": 1e-4, "s_lines": 1e-4}
+#: an estimated standard deviation below this, given the earlier statistics, is taken as this:
+#: a core without any symbol says nothing on how few are too many
+FLOOR = {"s_length": 0.1, "s_word": 0.05, "s_symbols": 0.05, "s_lines": 0.05}
 STATS = tuple(LEAST_SPREAD)
 
 
@@ -125,24 +130,36 @@ def _moments() -> list[Column]:
     return out + [F.covar_pop(a, b).alias(f"c_{a}_{b}") for a, b in PAIRS]
 
 
-def _cholesky() -> dict[str, Column]:
-    """Entries of the lower factor of the covariance with the least spreads added, by earlier entries."""
+def consistency(core: float) -> float:
+    """What the covariance of the inner ``core`` of a normal group of four statistics is multiplied by to be the group's."""
+    if core >= 1:
+        return 1.0
+    # the chi-square distribution of four degrees is 1 - exp(-h) (1 + h) at 2h, that of six has h * h / 2 more
+    low, high = 0.0, 700.0
+    for _ in range(100):
+        h = (low + high) / 2
+        low, high = (h, high) if 1 - math.exp(-h) * (1 + h) < core else (low, h)
+    return core / (1 - math.exp(-h) * (1 + h + h * h / 2))
+
+
+def _cholesky(widen: float) -> dict[str, Column]:
+    """Entries of the lower factor of the covariance times ``widen``, none below its floor, by earlier entries."""
     out: dict[str, Column] = {}
     for i, a in enumerate(STATS):
         for j, b in enumerate(STATS[: i + 1]):
-            value = F.col(f"c_{a}_{b}")
+            value = F.col(f"c_{a}_{b}") * widen
             for k in range(j):
                 value = value - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
             if i == j:
-                out[f"l_{i}_{j}"] = F.sqrt(F.greatest(value + LEAST_SPREAD[a] ** 2, F.lit(LEAST_SPREAD[a] ** 2)))
+                out[f"l_{i}_{j}"] = F.sqrt(F.greatest(value + LEAST_SPREAD[a] ** 2, F.lit(FLOOR[a] ** 2)))
             else:
                 out[f"l_{i}_{j}"] = value / F.col(f"l_{j}_{j}")
     return out
 
 
-def _factored(estimates: DataFrame) -> DataFrame:
+def _factored(estimates: DataFrame, widen: float = 1.0) -> DataFrame:
     """Estimates with their factors; one projection for each entry's inputs."""
-    for name, value in _cholesky().items():
+    for name, value in _cholesky(widen).items():
         estimates = estimates.withColumn(name, value)
     return estimates.drop(*[f"c_{a}_{b}" for a, b in PAIRS])
 
@@ -184,7 +201,7 @@ def core_estimates(rows: DataFrame, on: tuple[str, ...] = GROUP, core: float = C
         near = near.select(*on, *STATS, "d2")
         limit = near.groupBy(*on).agg(F.percentile_approx("d2", core, 10_000).alias("limit"))
         inner = near.join(limit, list(on)).where("d2 <= limit")
-        estimates = _factored(written(inner.groupBy(*on).agg(*_moments()), "quality-estimates"))
+        estimates = _factored(written(inner.groupBy(*on).agg(*_moments()), "quality-estimates"), consistency(core))
     return estimates
 
 
