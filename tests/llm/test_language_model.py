@@ -83,3 +83,46 @@ def test_a_frequent_pair(spark):
     want, _, _ = brute(train, ["so it so"])
     got = score_texts(docs(spark, [(1, "so it so", "en", "a")]), model, keep=[]).agg(F.first("score")).first()[0]
     assert math.isclose(got, want[0][4], rel_tol=1e-9)
+
+
+def brute_of_order(order, train, held):
+    """Score of each text by a recursion over orders, with dictionaries."""
+    ends = [["<s>\n", *words(t), "</s>\n"] for t in train]
+    counts = {order: Counter(tuple(w[i : i + order]) for w in ends for i in range(len(w) - order + 1))}
+    for k in range(order - 1, 0, -1):
+        raw = Counter(tuple(w[i : i + k]) for w in ends for i in range(len(w) - k + 1))
+        left = Counter(g[1:] for g in {tuple(w[i : i + k + 1]) for w in ends for i in range(len(w) - k)})
+        counts[k] = {g: raw[g] if g[0] == "<s>\n" else left[g] for g in raw if g != ("<s>\n",)}
+    d = {k: discounts([sum(x == i for x in c.values()) for i in (1, 2, 3, 4)]) for k, c in counts.items()}
+    after = {k: defaultdict(list) for k in counts}
+    for k, c in counts.items():
+        for g, x in c.items():
+            after[k][g[:-1]].append(x)
+    v = len(counts[1])
+
+    def p(g):
+        k = len(g)
+        lower = p(g[1:]) if k > 1 else 1 / (v + 1)
+        found = after[k].get(g[:-1])
+        if not found:
+            return lower
+        off = lambda x: d[k][min(x, 3) - 1] if x else 0.0
+        x = counts[k].get(g, 0)
+        return (max(x - off(x), 0) + sum(map(off, found)) * lower) / sum(found)
+
+    out = []
+    for t in held:
+        w = ["<s>\n", *words(t), "</s>\n"]
+        out.append(sum(math.log10(p(tuple(w[max(0, i - order + 1) : i + 1]))) for i in range(1, len(w))))
+    return out
+
+
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_each_order_equals_dictionaries(spark, order):
+    train = texts(3, 120) + ["so it " * 400, "so be it", "", None]
+    held = texts(4, 40) + ["so it so be it so", "the unseen w1 w2 w1", "", None]
+    df = docs(spark, [(i, t, "en", "a") for i, t in enumerate(train)]).repartition(3)
+    model = fit_language_model(df, order=order)
+    found = score_texts(docs(spark, [(i, t, "en", "a") for i, t in enumerate(held)]), model, keep=["doc_id"])
+    got = [r.score for r in found.orderBy("doc_id").collect()]
+    assert np.allclose(got, brute_of_order(order, train, held), rtol=1e-9)

@@ -1,4 +1,4 @@
-"""Perplexity by an interpolated modified Kneser-Ney bigram model.
+"""Perplexity by an interpolated modified Kneser-Ney model of any order from two.
 
 Words and pairs are counted by Spark jobs: each task adds up the counts of its
 documents in arrays, cuts them by ranges of keys and sends one row for each range;
@@ -17,12 +17,18 @@ the driver nor by a task, and there is no shuffle of tokens.
 c counts pairs, a(w) the different words before w, A all different pairs; D and E
 are the three modified discounts, g what they take away.  Every document starts
 with a start mark and ends with an end token.
+
+Higher orders work alike, each on top of the one below, with discounts of its own.
+Only the top order has counts of the text; a shorter sequence counts the different
+words before it, or its own occurrences if it begins with the start mark.  Sequences
+of three words and more are dealt by a 64-bit hash of their context and kept as
+sorted contexts, where each one's words start, the words and their counts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +46,8 @@ END = mix(np.array([0x5EED], U))[0]
 #: tokens or distinct words for each range of keys
 SHARD_TOKENS = 2_000_000
 LEAST_SHARDS = 64
+#: distinct sequences that a counting task holds
+GRAMS_HELD = 2_000_000
 BLOCK = "shard int, high binary, low binary, counts binary"
 
 
@@ -195,6 +203,172 @@ def _discount(counts: np.ndarray, d: list[float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(counts, 3)]
 
 
+def _context_hash(contexts: np.ndarray) -> np.ndarray:
+    """Hash of each row of word numbers."""
+    out = np.zeros(len(contexts), U)
+    for column in contexts.T:
+        out = mix(out ^ (column.astype(U) + U(1)))
+    return out
+
+
+def _merge_grams(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct rows with their summed counts."""
+    ids = np.concatenate(grams)
+    order = np.lexsort(ids.T[::-1])
+    ids, c = ids[order], np.concatenate(counts)[order]
+    if not len(ids):
+        return ids, c
+    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]))
+    return ids[first], np.add.reduceat(c, first)
+
+
+GRAMS = "shard int, ids binary, counts binary"
+
+
+def _gram_blocks(ids: np.ndarray, counts: np.ndarray, shards: int) -> pa.RecordBatch:
+    """A row for each shard of sorted grams; columns apart and the first one as steps, as that compresses well."""
+    of = hash_shard(_context_hash(ids[:, :-1]), shards)
+    order = np.argsort(of, kind="stable")
+    rows = []
+    for shard, a, b in runs(of[order]):
+        columns = ids[order[a:b]].T.copy()
+        columns[0, 1:] = np.diff(columns[0])
+        rows.append((shard, columns.tobytes(), counts[order[a:b]].astype(np.uint32).tobytes()))
+    columns = zip(*rows) if rows else ([], [], [])
+    return pa.RecordBatch.from_arrays(
+        [pa.array(list(c), t) for c, t in zip(columns, [pa.int32(), pa.binary(), pa.binary()])],
+        names=["shard", "ids", "counts"],
+    )
+
+
+def _grams(group: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
+    ids, counts = [], []
+    for columns, n in zip(group.column("ids").to_pylist(), group.column("counts").to_pylist()):
+        columns = np.frombuffer(columns, np.uint32).reshape(k, -1).copy()
+        columns[0] = np.cumsum(columns[0], dtype=np.uint32)
+        ids.append(columns.T)
+        counts.append(np.frombuffer(n, np.uint32).astype(np.int64))
+    return _merge_grams(ids, counts)
+
+
+LEVEL = {"contexts": U, "starts": np.uint32, "next": np.uint32, "next-counts": np.uint8, "next-many": np.int64,
+         "next-often": np.int64, "told": np.int64}
+
+
+class Level:
+    """Arrays of the sequences of ``k`` words, three or more."""
+
+    def __init__(self, folder: str, k: int, shards: int):
+        self.shards = shards
+        self.arrays = {name: Shards(folder, f"{name}-of-{k}", dtype) for name, dtype in LEVEL.items()}
+
+    def save(self, shard: int, ids: np.ndarray, counts: np.ndarray) -> None:
+        context, word = _context_hash(ids[:, :-1]), ids[:, -1]
+        order = np.lexsort((word, context))
+        context, word, c = context[order], word[order], counts[order]
+        contexts, starts = np.unique(context, return_index=True)
+        large = np.flatnonzero(c >= 255)
+        for name, array in zip(LEVEL, [
+            contexts, np.append(starts, len(c)), word, np.minimum(c, 255), large, c[large], np.array(_count_of_counts(c)),
+        ]):
+            self.arrays[name].save(shard, array)
+
+    def told(self) -> list[int]:
+        """How many sequences have count 1, 2, 3, 4."""
+        return np.sum([self.arrays["told"][shard] for shard in range(self.shards)], axis=0).tolist()
+
+    def _counts(self, shard: int, at: np.ndarray) -> np.ndarray:
+        counts = self.arrays["next-counts"][shard][at].astype(np.int64)
+        large = np.flatnonzero(counts == 255)
+        if len(large):
+            counts[large] = self.arrays["next-often"][shard][np.searchsorted(self.arrays["next-many"][shard], at[large])]
+        return counts
+
+    def look_up(self, contexts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Count of each word after its context, and the context's (total, counts of 1, of 2, of more)."""
+        count, stats = np.zeros(len(ids), np.int64), np.zeros((len(ids), 4), np.int64)
+        known = np.flatnonzero((contexts >= 0).all(axis=1))
+        hashes, back = np.unique(_context_hash(contexts[known]), return_inverse=True)
+        of = hash_shard(hashes, self.shards)
+        at = find(self.arrays["contexts"], of, hashes)
+        order = np.argsort(back, kind="stable")
+        for shard, a, b in runs(of[back[order]]):
+            rows, place = known[order[a:b]], at[back[order[a:b]]]
+            rows, place = rows[place >= 0], place[place >= 0]
+            if not len(rows):
+                continue
+            starts, words = self.arrays["starts"][shard].astype(np.int64), self.arrays["next"][shard]
+            distinct, of_row = np.unique(place, return_inverse=True)
+            size = starts[distinct + 1] - starts[distinct]
+            heads = np.cumsum(size) - size
+            c = self._counts(shard, np.repeat(starts[distinct] - heads, size) + np.arange(size.sum()))
+            sums = [np.add.reduceat(x.astype(np.int64), heads) for x in (c, c == 1, c == 2, c >= 3)]
+            stats[rows] = np.stack(sums, axis=1)[of_row]
+            # binary search of each word between its context's bounds
+            low, end = starts[place], starts[place + 1]
+            high = end.copy()
+            while (open_ := low < high).any():
+                middle = (low + high) // 2
+                less = open_ & (words[np.minimum(middle, len(words) - 1)] < ids[rows])
+                low, high = np.where(less, middle + 1, low), np.where(open_ & ~less, middle, high)
+            found = (low < end) & (words[np.minimum(low, len(words) - 1)] == ids[rows])
+            count[rows[found]] = self._counts(shard, low[found])
+        return count, stats
+
+
+def _count_grams(docs: DataFrame, folder: str, sizes: list[int], order: int, shards: int) -> DataFrame:
+    """Blocks of counted sequences of ``order`` words; as many start marks stand before a document as they need."""
+    start = sum(sizes)
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        vocabulary = Vocabulary(folder, sizes)
+        grams, counts, held, merged = [], [], 0, 0
+        for batch in batches:
+            for _, _, words in slices_of_words(batch.column(0), BLANK):
+                hashes, first = _tokens(words)
+                columns = [_numbers(vocabulary, hashes)[0]]
+                for _ in range(order - 1):
+                    columns.insert(0, _before(columns[0], first, start))
+                rows = np.stack(columns, axis=1).astype(np.uint32)
+                k, c = _merge_grams([rows], [np.ones(len(rows), np.int64)])
+                grams.append(k)
+                counts.append(c)
+                held += len(k)
+                if held - merged > GRAMS_HELD:
+                    k, c = _merge_grams(grams, counts)
+                    grams, counts, held, merged = [k], [c], len(k), len(k)
+                    if merged > GRAMS_HELD:
+                        yield _gram_blocks(k, c, shards)
+                        grams, counts, held, merged = [], [], 0, 0
+        if grams:
+            yield _gram_blocks(*_merge_grams(grams, counts), shards)
+
+    return docs.mapInArrow(run, GRAMS)
+
+
+def _keep_grams(blocks: DataFrame, folder: str, k: int, n: int, shards: int) -> DataFrame:
+    """Write the sequences of ``k`` words as their blocks are read; blocks of those one shorter."""
+    level, nothing = Level(folder, k, shards), np.empty((0, k), np.uint32)
+    for shard in range(shards):
+        level.save(shard, nothing, np.empty(0, np.int64))
+
+    def merge(batches) -> Iterator[pa.RecordBatch]:
+        level = Level(folder, k, shards)
+        for group in by_group(batches, ["shard"]):
+            ids, c = _grams(group, k)
+            # a second start mark is no word before: the shorter sequence begins the document
+            begins = (ids[:, 0] == n - 1) & (ids[:, 1] == n - 1)
+            level.save(group.column("shard")[0].as_py(), ids[~begins], c[~begins])
+            shorter, c = _merge_grams([ids[:, 1:]], [np.where(begins, c, 1)])
+            if k > 3:
+                yield _gram_blocks(shorter, c, shards)
+            else:
+                keys = _pairs(shorter[:, 0], shorter[:, 1])
+                yield _blocks([_block(s, keys[a:b], c[a:b]) for s, a, b in runs(id_shard(keys >> U(32), n, shards))])
+
+    return _dealt(blocks, shards).mapInArrow(merge, GRAMS if k > 3 else BLOCK)
+
+
 @dataclass
 class Model:
     """Where the arrays lie, and the few numbers that hold for all of them."""
@@ -207,13 +381,14 @@ class Model:
     word_discounts: list[float]
     different_pairs: int
     taken: float  # what the discounts leave for unseen words, as a share
+    gram_discounts: list[list[float]] = field(default_factory=list)  # of three words, four, ...
 
     @property
     def words(self) -> int:
         return sum(self.sizes)
 
 
-def _count_pairs(docs: DataFrame, folder: str, sizes: list[int], tokens: int):
+def _count_pairs(docs: DataFrame, folder: str, sizes: list[int], tokens: int, order: int):
     n = sum(sizes) + 1  # the start mark is the last number
     shards = max(LEAST_SHARDS, -(-tokens // SHARD_TOKENS))
 
@@ -252,7 +427,13 @@ def _count_pairs(docs: DataFrame, folder: str, sizes: list[int], tokens: int):
             )
 
     names = ["shard", "high", "low", "counts", "told"]
-    made = _dealt(docs.mapInArrow(job, BLOCK), shards).mapInArrow(merge, f"{BLOCK}, told array<long>")
+    if order == 2:
+        counted = docs.mapInArrow(job, BLOCK)
+    else:
+        counted = _count_grams(docs, folder, sizes, order, shards)
+        for k in range(order, 2, -1):
+            counted = _keep_grams(counted, folder, k, n, shards)
+    made = _dealt(counted, shards).mapInArrow(merge, f"{BLOCK}, told array<long>")
     made = written(made, "lm-before")
     told = [r.told for r in made.where("shard < 0").select("told").collect()]
     present = {-1 - r.shard for r in made.where("shard < 0").select("shard").collect()}
@@ -287,12 +468,14 @@ def _count_before(blocks: DataFrame, folder: str, n: int, shards: int) -> list[i
     return [sum(x) for x in zip(*(r.told for r in found))] or [0] * 5
 
 
-def fit_language_model(docs: DataFrame, text: str = "text") -> Model:
-    """Count the whole texts of ``docs`` and write the model's arrays to the shared folder.
+def fit_language_model(docs: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count the whole texts of ``docs`` and write the arrays of a model of sequences up to ``order`` words to the shared folder.
 
     NULL texts are empty: they are an end token.  No rows make a model that
     knows no word.
     """
+    if order < 2:
+        raise ValueError("a model has order two or more")
     texts = docs.select(F.col(quoted(text)).cast("string").alias("text"))
     folder = new_folder(docs.sparkSession, "language-model")
     size = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
@@ -303,12 +486,13 @@ def fit_language_model(docs: DataFrame, text: str = "text") -> Model:
         if not size:
             _write_empty(folder, "words", U, [shard])
             _write_empty(folder, "counts", np.int64, [shard])
-    ranges, blocks, (different, *pair_counts) = _count_pairs(texts, folder, sizes, tokens)
+    ranges, blocks, (different, *pair_counts) = _count_pairs(texts, folder, sizes, tokens, order)
     n = sum(sizes) + 1
     *word_counts, three = _count_before(blocks, folder, n, ranges)
     d, e = discounts(pair_counts), discounts(word_counts)
     taken = (e[0] * word_counts[0] + e[1] * word_counts[1] + e[2] * three) / different if different else 1.0
-    return Model(folder, sizes, tokens, ranges, d, e, different, taken)
+    longer = [discounts(Level(folder, k, ranges).told()) for k in range(3, order + 1)]
+    return Model(folder, sizes, tokens, ranges, d, e, different, taken, longer)
 
 
 class Scorer:
@@ -324,6 +508,7 @@ class Scorer:
         self.contexts = Shards(model.folder, "contexts", np.int64)
         self.befores = Shards(model.folder, "before", np.int64)
         self.n = model.words + 1
+        self.levels = [Level(model.folder, k, model.shards) for k, _ in enumerate(model.gram_discounts, 3)]
 
     def _dense(self, arrays: Shards, ids: np.ndarray, columns: int) -> np.ndarray:
         """Rows of sorted numbers in a dense array; zero for -1."""
@@ -358,8 +543,9 @@ class Scorer:
         seen = np.maximum(a - _discount(a, self.m.word_discounts), 0) / self.m.different_pairs
         return (seen + self.m.taken / self.n)[back]
 
-    def log10(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """log10 p of each token given the one before; both by number, -1 if unknown."""
+    def log10(self, first: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        """log10 p of each token given those before in its document; by number, -1 if unknown."""
+        before = _before(ids, first, self.n - 1)
         p1 = self.words(ids)
         if not self.m.different_pairs:
             return np.log10(p1)
@@ -373,7 +559,15 @@ class Scorer:
         seen = np.maximum(counts - _discount(counts, d), 0)
         left = d[0] * n[0] + d[1] * n[1] + d[2] * n[2]
         size = np.maximum(total, 1)
-        return np.log10(np.where(total > 0, seen / size + left / size * p1, p1))
+        p = np.where(total > 0, seen / size + left / size * p1, p1)
+        contexts = before[:, None]
+        for level, d in zip(self.levels, self.m.gram_discounts):
+            contexts = np.column_stack([_before(contexts[:, 0], first, self.n - 1), contexts])
+            counts, stats = level.look_up(contexts, ids)
+            seen = np.maximum(counts - _discount(counts, d), 0)
+            size = np.maximum(stats[:, 0], 1)
+            p = np.where(stats[:, 0] > 0, seen / size + stats[:, 1:] @ np.array(d) / size * p, p)
+        return np.log10(p)
 
 
 FIELDS = [
@@ -392,7 +586,7 @@ def _score_job(model: Model):
                 hashes, first = _tokens(words)
                 ids, counts = _numbers(scorer.vocabulary, hashes)
                 base = np.log10((counts + 1) / (model.tokens + model.words + 1))
-                score = scorer.log10(_before(ids, first, scorer.n - 1), ids)
+                score = scorer.log10(first, ids)
                 heads = first[:-1]
                 columns[0].append(np.diff(first))
                 columns[1].append(np.add.reduceat((counts > 0).astype(np.int64), heads))

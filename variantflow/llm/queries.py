@@ -133,13 +133,15 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 MODEL_FOLD = (7, 2)
+#: words of the longest sequences of the language model
+MODEL_ORDER = 3
 
 
 @query("op6_lm_scoring")
 def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = fold("doc_id", *MODEL_FOLD)
-    model = fit_language_model(docs.where(~held_out))
+    model = fit_language_model(docs.where(~held_out), order=MODEL_ORDER)
     found = score_texts(docs, model, keep=["doc_id"])
     return found.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
