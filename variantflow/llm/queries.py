@@ -8,13 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from variantflow.llm.batches import fold
+from variantflow.llm.conversation_trie import prefix_trie, turn_sequences
 from variantflow.llm.decontamination import contaminated, n_hit, scan_benchmark
 from variantflow.llm.html_text import extract, learn_weights
 from variantflow.llm.jaccard_join import jaccard_classes
 from variantflow.llm.language import fit_languages, identify
 from variantflow.llm.language_model import fit_language_model, score_texts
 from variantflow.llm.licenses import fit_licenses, scan_licenses
+from variantflow.llm.minhash_forest import near_duplicates
 from variantflow.llm.packing import pack
+from variantflow.llm.periodic_runs import periodic_runs
 from variantflow.llm.quality import judge
 from variantflow.llm.toxicity import THRESHOLD, fit_toxicity, score_toxicity
 from variantflow.llm.warc import derivatives_of_pages
@@ -41,25 +44,34 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def crc32_sql(text: str) -> str:
+    """DuckDB expression: unsigned crc32 of an ASCII text."""
+    step = "list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: if(x % 2 = 1, xor(x >> 1, 3988292384), x >> 1))"
+    codes = f"list_transform(string_split({text}, ''), lambda c: ord(c)::BIGINT)"
+    return f"xor(list_reduce(list_prepend(4294967295, {codes}), lambda a, b: {step}), 4294967295)"
+
+
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
-@query(
-    "op3_jaccard_join",
-    f"""WITH RECURSIVE
+def _components_sql(size: int, percent: int) -> str:
+    """Components of documents that share ``percent`` of their shingles."""
+    return f"""WITH RECURSIVE
         d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
-        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 2) AS g
-              FROM d, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS t(i) WHERE len(w) > 0),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + {size - 1}) AS g
+              FROM d, unnest(range(1, greatest(len(w) - {size - 1}, 1) + 1)) AS t(i) WHERE len(w) > 0),
         n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
         shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
                    FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY x, y),
         links AS (SELECT x, y FROM shared JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y
-                  WHERE 100 * c >= 90 * (nx.n + ny.n - c)),
+                  WHERE 100 * c >= {percent} * (nx.n + ny.n - c)),
         reach AS (SELECT doc_id, doc_id AS other FROM d
                   UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other)
         SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id
-        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
-)
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id"""
+
+
+@query("op3_jaccard_join", _components_sql(3, 90))
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"), size=3, threshold="9/10")
 
@@ -168,3 +180,88 @@ def license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_warc_derivatives")
 def warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return derivatives_of_pages(table(spark, sf_dir, "pages")).withColumn("headers", F.to_json("headers"))
+
+
+def tail_repeated(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) in which the end of some texts, told by the crc32 of their doc_id, is written periodically."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    drawn = F.floor(h / 10)
+    words = docs.select(
+        "doc_id",
+        "text",
+        F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"))).alias("w"),
+        drawn.alias("g"),
+    ).withColumn("n", F.size("w").cast("long"))
+    start = F.col("g") % F.col("n")
+    words = words.withColumn("a", F.when(F.col("n") > 0, start))
+    words = words.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    moved = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("w", place(i).cast("int"))
+    )
+    text = F.when(F.col("n") > 0, F.array_join(moved, " ")).otherwise(F.col("text"))
+    return words.select("doc_id", text.alias("text"))
+
+
+@query("op12_periodic_runs")
+def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tail_repeated(table(spark, sf_dir, "documents"))
+    found = periodic_runs(docs, keep=["doc_id"])
+    # the longest run, then the first, then that of the smallest period
+    order = F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"]))
+    longest = F.array_max(order)
+    start, length, period = -longest["col2"], longest["length"], -longest["col3"]
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(length * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def rebuilt(turns: DataFrame) -> DataFrame:
+    """(conv_id, turns): the first turns of the first conversation of five, then the conversation's own."""
+    own = turn_sequences(turns)
+    h = (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).cast("int")
+    # at most eight turns of every fifth conversation are shared
+    first = own.where("conv_id % 5 = 0").select(F.col("conv_id").alias("base"), F.slice("turns", 1, 8).alias("shared"))
+    joined = own.withColumn("base", F.expr("conv_id - conv_id % 5")).withColumn("h", h).join(first, "base", "left")
+    shared = F.coalesce(F.slice("shared", F.lit(1), F.col("h")), F.slice("turns", 1, 0))
+    rest = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    return joined.select("conv_id", F.concat(shared, rest).alias("turns"))
+
+
+@query(
+    "op13_conversation_trie",
+    f"""WITH own AS (SELECT conv_id AS c, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST) AS ts
+                 FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+        hashed AS (SELECT c, ts, {crc32_sql("c::VARCHAR")} % 9 AS h FROM own),
+        built AS (SELECT x.c, list_concat(coalesce(b.ts[1:x.h], []), x.ts[x.h + 1:]) AS ts
+                  FROM hashed x LEFT JOIN own b ON b.c = x.c - x.c % 5),
+        members AS (SELECT c, d, ts[1:d] AS p, len(ts) AS n FROM built, unnest(range(0, len(ts) + 1)) AS t(d)),
+        nodes AS (SELECT d, p, min(c) AS conv_id, count(*) AS n_convs,
+                         string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d) AS ends
+                  FROM members GROUP BY d, p),
+        children AS (SELECT d - 1 AS d, p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY ALL),
+        full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children,
+                              CASE WHEN d = 0 THEN 0 ELSE (n_convs - 1) * strlen(p[-1][2]) END AS saved
+                       FROM nodes n LEFT JOIN children USING (d, p)),
+        subtree AS (SELECT k AS d, p[1:k] AS p, count_if(n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+                    FROM full_nodes, unnest(range(0, d + 1)) AS t(k) GROUP BY ALL)
+        SELECT x.conv_id, x.d AS depth, y.conv_id AS parent_conv_id, x.n_convs, x.n_children, n_leaves::BIGINT AS n_leaves,
+               saved_tokens, sha256(coalesce(x.ends, '')) AS ends_sha256
+        FROM full_nodes x JOIN subtree USING (d, p)
+        LEFT JOIN nodes y ON y.d = x.d - 1 AND y.p = x.p[1:x.d - 1]""",
+)
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(rebuilt(table(spark, sf_dir, "conversations")))
+
+
+@query("op11_minhash_forest", f"SELECT *, doc_id = component_id AS kept FROM ({_components_sql(4, 80)})")
+def minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), size=4, threshold="8/10")
