@@ -85,7 +85,7 @@ def test_awkward_rows(spark):
         assert (rows[k].n_words, rows[k].runs, rows[k].collapsed) == (0, [], "")
     assert rows[1].collapsed == ENGLISH
     assert rows[12].collapsed == "x" * 300_000
-    assert rows[14].collapsed == "é\u00a0 ñ\u3000 ü".replace("\u00a0 ", "\u00a0 ")
+    assert rows[14].collapsed == "é\u00a0 ñ\u3000 ü"
     # the long text repeats all but a counter
     assert rows[6].runs == [] and rows[6].n_words == 3000 * 22
     assert len(rows) == 16 - 1

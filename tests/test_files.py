@@ -215,3 +215,49 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert new_folder(spark, "x") != new_folder(spark, "x")
     table = written(spark.range(5).withColumn("t", F.lit("a")))
     assert table.count() == 5 and isinstance(table.schema["t"].dataType, T.StringType)
+
+
+INFERRED = {
+    "yes\nno\ny": "string", "1d\n2f": "string", "12345678901234567890123\n12345678901234567890124": "string",
+    "true\nFALSE\nTrue": "boolean", "true\n1": "string", "1\n-2\n+3": "int", "1\n3000000000": "bigint",
+    "1\n2.5\n.5\n1e3\n-7.": "double", "9007199254740993\n0.5": "string", "9007199254740992\n0.5": "double",
+    "0.1234567890123456789\n1.0": "string", "0.00000000000000000000012345": "double", "inf\n-Infinity\n1": "double",
+    "NA\n\nnull": "string", "t\nf": "string", "2024-01-01": "string", "1 \n2": "string", "0x1F": "string",
+    "1_000": "string", "infinite": "string", "1e": "string", ".": "string",
+}
+
+
+@pytest.mark.parametrize("scan", [csv_scan, encoding_fallback_scan])
+def test_inferred_types_keep_every_value(spark, tmp_path, scan):
+    """Each text of a column is still told apart after the types are found."""
+    for i, (values, kind) in enumerate(INFERRED.items()):
+        path = tmp_path / f"{i}.csv"
+        # a second column, so that an empty field is no empty line
+        path.write_text("v,w\n" + "".join(f"{v},x\n" for v in values.split("\n")))
+        got = scan(spark, str(path))
+        assert dict(got.dtypes)["v"] == kind, values
+        given = [v for v in values.split("\n") if v not in ("", "NA", "null")]
+        found = [r["v"] for r in got.collect() if r["v"] is not None]
+        assert len(set(found)) == len(set(given)) or kind == "boolean"
+        if kind == "string":
+            assert sorted(found) == sorted(given)
+
+
+@pytest.mark.parametrize("scan", [csv_scan, encoding_fallback_scan])
+def test_given_types_take_no_other_texts(spark, tmp_path, scan):
+    path = tmp_path / "in.csv"
+    path.write_text("b,i,d\nyes,1,1\ntrue,1d,1\ntrue,1,2f\nfalse,7,1e3\ntrue,8,nan\n")
+    schema = T.StructType([T.StructField("b", T.BooleanType()), T.StructField("i", T.IntegerType()), T.StructField("d", T.DoubleType())])
+    got = scan(spark, str(path), schema, on_bad="keep", na_tokens=False).orderBy("i", "d").collect()
+    assert sorted(filter(None, (r["_bad_row"] for r in got))) == ["b: yes", "d: 2f", "i: 1d"]
+    assert [tuple(r)[:3] for r in got if r["_bad_row"] is None] == [(False, 7, 1000.0), (True, 8, None)]
+
+
+@pytest.mark.parametrize("scan", [csv_scan, encoding_fallback_scan])
+def test_a_file_without_a_header_is_told(spark, tmp_path, scan):
+    path = tmp_path / "empty.csv"
+    path.write_text("")
+    with pytest.raises(ValueError, match="no header"):
+        scan(spark, str(path))
+    path.write_text("a,b\n")
+    assert scan(spark, str(path)).columns == ["a", "b"] and scan(spark, str(path)).count() == 0

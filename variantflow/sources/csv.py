@@ -70,7 +70,10 @@ def _header(spark: SparkSession, path: str | Sequence[str], multi_line: bool) ->
     """Column names of the files, without those that are folder names."""
     paths = path if isinstance(path, str) else list(path)
     found = spark.read.options(**_READ, multiLine=multi_line).csv(paths)
-    return [f.name for f in found.select("*", "_metadata.file_path").schema.fields[:-1] if f.name not in _folders(found)]
+    names = [f.name for f in found.select("*", "_metadata.file_path").schema.fields[:-1] if f.name not in _folders(found)]
+    if not names:
+        raise ValueError(f"no header in {', '.join(paths)}: a CSV file has a line with the names of its columns at least")
+    return names
 
 
 def _folders(df: DataFrame) -> set[str]:
@@ -79,21 +82,65 @@ def _folders(df: DataFrame) -> set[str]:
     return {part.partition("=")[0] for f in files for part in f.split("/")[:-1] if "=" in part}
 
 
+# Texts that are values of a type.  Casts take much more (yes, 1d, blanks around), which are texts here.
+_INTEGER = r"^[+-]?[0-9]+$"
+_NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
+_BOOLEAN = r"^(?i:true|false)$"
+#: decimal digits that a double surely keeps apart, and the whole numbers it keeps
+_DIGITS, _WHOLE = 17, 1 << 53
+#: what the values of a column are, as bits that an aggregate joins
+_BOOL, _INT, _LONG, _DOUBLE, _ROUNDED, _TEXT = (1 << i for i in range(6))
+
+
+def _kind(c):
+    """The bit of one value: the narrowest type that keeps it as it is."""
+    whole = c.try_cast("bigint")
+    # digits that count: without sign, point, exponent and zeros in front
+    digits = F.regexp_replace(F.regexp_replace(c, r"[eE].*$|[^0-9eE]", ""), r"^0+", "")
+    return (
+        F.when(c.isNull(), 0)
+        .when(
+            c.rlike(_INTEGER),
+            F.when(c.try_cast("int").isNotNull(), _INT)
+            .when(whole.isNull(), _TEXT)
+            .when(whole.between(-_WHOLE, _WHOLE), _LONG)
+            .otherwise(_LONG + _ROUNDED),
+        )
+        .when(c.rlike(_NUMBER), F.when(F.length(digits) <= _DIGITS, _DOUBLE).otherwise(_TEXT))
+        .when(c.rlike(_BOOLEAN), _BOOL)
+        .otherwise(_TEXT)
+    )
+
+
+def _type_of(kinds: int) -> T.DataType:
+    """The type of a column from the kinds of its values; text where no other keeps them all."""
+    if kinds == _BOOL:
+        return T.BooleanType()
+    if kinds == _INT:
+        return T.IntegerType()
+    if kinds and not kinds & (_BOOL | _DOUBLE | _TEXT):
+        return T.LongType()
+    if kinds & _DOUBLE and not kinds & (_BOOL | _ROUNDED | _TEXT):
+        return T.DoubleType()
+    return T.StringType()
+
+
 def _inferred(df: DataFrame, names: Sequence[str]) -> T.StructType:
-    """The narrowest type that holds every value of each column, in one pass."""
-    kinds = ("int", "bigint", "double", "boolean")
-    cells = [
-        F.every(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(kind).isNotNull()).alias(f"{i}_{kind}")
-        for i, c in enumerate(names)
-        for kind in kinds
-    ]
-    some = [F.count(f"`{c}`").alias(f"{i}_n") for i, c in enumerate(names)]
-    found = df.agg(*cells, *some).first()
-    fields = []
-    for i, c in enumerate(names):
-        fits = [kind for kind in kinds if found[f"{i}_n"] and found[f"{i}_{kind}"]]
-        fields.append(T.StructField(c, T._parse_datatype_string(fits[0] if fits else "string")))
-    return T.StructType(fields)
+    """The narrowest type that keeps every value of each column, in one pass."""
+    found = df.agg(*[F.bit_or(_kind(F.col(f"`{c}`"))).alias(f"k{i}") for i, c in enumerate(names)]).first()
+    return T.StructType([T.StructField(c, _type_of(found[i] or 0)) for i, c in enumerate(names)])
+
+
+def _value(c, kind: T.DataType):
+    """A text as a value of a type; NULL where it is none."""
+    if isinstance(kind, T.BooleanType):
+        return F.when(c.rlike(_BOOLEAN), c.try_cast(kind))
+    if isinstance(kind, T.IntegralType):
+        return F.when(c.rlike(_INTEGER), c.try_cast(kind))
+    if isinstance(kind, T.FractionalType) and not isinstance(kind, T.DecimalType):
+        value = F.when(c.rlike(_NUMBER), c.try_cast(kind))
+        return F.when(~F.isnan(value), value)
+    return c.try_cast(kind)
 
 
 def _typed(raw: DataFrame, schema: T.StructType, on_bad: str) -> DataFrame:
@@ -110,10 +157,10 @@ def _typed(raw: DataFrame, schema: T.StructType, on_bad: str) -> DataFrame:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, T.StringType):
             continue
-        value = c.try_cast(f.dataType)
-        reasons.append(F.when(c.isNotNull() & value.isNull(), F.concat(F.lit(f"{f.name}: "), c)))
-        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            value = F.when(~F.isnan(value), value)
+        value = _value(c, f.dataType)
+        # without missing markers a NaN may be there, which is a value that is missing
+        nan = F.lower(c) == "nan" if isinstance(f.dataType, T.FractionalType) else F.lit(False)
+        reasons.append(F.when(c.isNotNull() & value.isNull() & ~nan, F.concat(F.lit(f"{f.name}: "), c)))
         out[f.name] = value
     reason = F.nullif(F.concat_ws("; ", *reasons), F.lit(""))
     if on_bad == "keep":
@@ -144,7 +191,11 @@ def csv_scan(
     Line ends are those of each file's first line, which takes a pass over the
     files unless ``line_end`` is given; inside quotes they are kept as they are.
     Without a schema the types are inferred from what is left after the markers,
-    at the cost of one more pass.  ``on_bad``: ``fail`` stops at a row with too
+    at the cost of one more pass: ``true`` and ``false`` in any case are booleans,
+    digits are whole numbers, and decimals with a point, an exponent or ``inf``
+    are doubles.  Everything else is text, and so is a column with a value that
+    its numbers would change: a whole number beyond 64 bits, one beyond 2**53
+    beside decimals, or more than 17 digits.  A file without a header raises.  ``on_bad``: ``fail`` stops at a row with too
     many fields or an unreadable value, ``keep`` tells what is wrong in ``BAD``
     (count its non-NULL rows).  A quoted line break makes a file unsplittable:
     pass ``multi_line=False`` for files without such fields and write large
