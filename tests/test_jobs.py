@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from variantflow.__main__ import arguments, main
 from variantflow.catalog.base import FAST, no_sleep, stub_service
+from variantflow.operators.keyed import text_id
 from variantflow.operators.variants import fan_out
 from variantflow.plans import jobs
 from variantflow.schemas import SCORE_COLUMNS, SLUGS, VARIANTS
@@ -189,3 +190,78 @@ def test_score_keeps_every_row_once(spark):
     got = score(rows_, vectors, heads, manifest=twice)
     assert got.columns[:3] == rows_.columns
     assert sorted((str(r[0]), r["mood"]) for r in got.collect()) == [("1", 1.0), ("1", 1.0), ("2", None), ("None", None)]
+
+
+def test_rows_that_share_a_key_get_their_own_replies(spark, tmp_path):
+    """Also NULL keys; equal rows are called once, and a second run calls nothing."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    given = [(1, "aaa"), (1, "bbb"), (None, "ccc"), (None, "ddd"), (2, "eee"), (1, "aaa"), (None, None), (3, "")]
+    spark.createDataFrame(given, "row_idx long, Description string").write.parquet(source)
+    calls = spark.sparkContext.accumulator(0)
+
+    def client():
+        def call(request, attempt):
+            calls.add(1)
+            return 200, f"{request['variant']}:{request['original_text']}"
+
+        return call
+
+    for slice_rows in (3, 3, None):
+        jobs.rewrite_job(spark, source, out, client, slice_rows=slice_rows, **STUB)
+        wide = spark.read.parquet(f"{out}/wide")
+        assert wide.count() == len(given)
+        for r in wide.collect():
+            told = None if r["Description"] is None else [f"{v}:{r['Description']}" for v in VARIANTS]
+            got = [r[f"description_{s}"] for s in SLUGS]
+            assert got == (told or [None] * 4)
+        # (3, ""), too, is a text, and (1, aaa) is called once for both rows
+        assert calls.value == 4 * 6
+    runs = sorted(map(tuple, spark.read.json(f"{out}-runs").select("rows", "calls", "ok", "null_input").collect()))
+    # a NULL text is no call, and is finished
+    assert runs == [(8, 0, 0, 0), (8, 0, 0, 0), (8, 24, 24, 4)]
+
+
+def test_a_text_that_changes_under_its_key_is_new_work(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for n, text in enumerate(["old", "new"]):
+        source = str(tmp_path / f"in{n}")
+        spark.createDataFrame([(1, text), (2, "same")], "row_idx long, Description string").write.parquet(source)
+        jobs.rewrite_job(spark, source, out, lambda: lambda request, attempt: (200, request["original_text"].upper()), **STUB)
+    wide = {r["row_idx"]: r["description_positive"] for r in spark.read.parquet(f"{out}/wide").collect()}
+    assert wide == {1: "NEW", 2: "SAME"}
+    state = spark.read.parquet(f"{out}/state")
+    assert sorted((r["row_idx"], r["reply"]) for r in state.collect()) == [(1, "NEW")] * 4 + [(2, "SAME")] * 4
+    assert spark.read.parquet(f"{out}/log").count() == 12
+
+
+def test_a_run_that_stops_repeats_only_its_open_slice(spark, tmp_path):
+    """The client dies at the row that is called last; all slices before are in the log."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    texts = spark.range(20).select(F.col("id").alias("row_idx"), F.concat(F.lit("t"), "id").alias("Description"))
+    texts.coalesce(1).write.parquet(source)
+    calls = spark.sparkContext.accumulator(0)
+    flag = tmp_path / "healed"
+    dealt = F.pmod(F.xxhash64("row_idx", text_id(F.col("Description"))), F.lit(5))
+    fatal = texts.orderBy(dealt.desc(), F.desc("row_idx")).first()["Description"]
+
+    def client():
+        def call(request, attempt):
+            calls.add(1)
+            import os
+
+            if request["original_text"] == fatal and not os.path.exists(flag):
+                raise RuntimeError("the client dies")
+            return 200, request["original_text"].upper()
+
+        return call
+
+    with pytest.raises(Exception, match="the client dies"):
+        jobs.rewrite_job(spark, source, out, client, slice_rows=4, spread_to=1, **STUB)
+    kept = spark.read.parquet(f"{out}/log").count()
+    flag.touch()
+    before = calls.value
+    counters = jobs.rewrite_job(spark, source, out, client, slice_rows=4, spread_to=1, **STUB)
+    # what the log held is not called again
+    assert calls.value - before == 80 - kept
+    assert 40 <= kept < 80 and kept % 4 == 0
+    assert sum(r["n_rows"] for r in counters.collect() if r["outcome"] == "ok") == 80

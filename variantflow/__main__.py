@@ -21,6 +21,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     rewrite.add_argument("--text", default="Description")
     rewrite.add_argument("--redo", action="store_true", help="call finished pairs again")
     rewrite.add_argument("--spread-to", type=int, help="tasks to spread the rows over")
+    rewrite.add_argument("--slice-rows", type=int, default=jobs.SLICE_ROWS, help="rows that are called before they are kept")
     rewrite.add_argument("--incremental", action="store_true", help="new Parquet files only")
     rewrite.add_argument("--max-files", type=int, help="files in a micro-batch")
     rewrite.add_argument("--pause", type=float, default=RetryPolicy.pause_s)
@@ -55,7 +56,8 @@ def main(argv: list[str] | None = None) -> None:
             )
         else:
             counters = jobs.rewrite_job(
-                spark, args.source, args.out, client, redo=args.redo, spread_to=args.spread_to, **common
+                spark, args.source, args.out, client, redo=args.redo, spread_to=args.spread_to,
+                slice_rows=args.slice_rows, **common
             )
         counters.orderBy("variant", "outcome").show(truncate=False)
     elif args.stage == "generate":

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from variantflow.schemas import VARIANTS
@@ -109,6 +109,58 @@ def append_recovered(
     return keyed_upsert(state, recovered.select(*state.columns), key, order)
 
 
+def text_id(text: Column) -> Column:
+    """Name of a text, which equal texts share; that of a NULL text is empty."""
+    return F.coalesce(F.md5(text.cast("binary")), F.lit(""))
+
+
+def once_each(rows: DataFrame, key: str = "row_idx", text: str = "original_text") -> DataFrame:
+    """Rows without repetitions of a key with the same text.
+
+    A key is no row's own where it occurs twice or is NULL; key and text are.
+    Keys and names of texts are counted, which combines before the shuffle; only
+    the texts of rows that repeat are shuffled, and none where no row does.
+    """
+    named = rows.select(F.col(key).alias("_key"), text_id(F.col(text)).alias("_text_id"))
+    many = named.groupBy("_key", "_text_id").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    many = written(many, "repeated-rows")
+    if many.isEmpty():
+        return rows
+    same = rows[key].eqNullSafe(many["_key"]) & (text_id(rows[text]) == many["_text_id"])
+    again = rows.join(many, same, "left_semi").dropDuplicates([key, text])
+    return rows.join(many, same, "left_anti").unionByName(again)
+
+
+def unfinished(
+    rows: DataFrame,
+    state: DataFrame | None,
+    key: str = "row_idx",
+    variants: Sequence[str] = VARIANTS,
+    text: str = "original_text",
+) -> DataFrame:
+    """Rows with an unfinished variant, and the names of the finished ones in ``_finished``.
+
+    A state with a ``text_id`` tells rows by key and text, any other by the key
+    alone.  NULL keys are compared like others.
+    """
+    none = F.lit(None).cast("array<string>")
+    if state is None:
+        return rows.withColumn("_finished", none)
+    by_text = "text_id" in state.columns and text in rows.columns
+    names = [F.col(key).alias("_key"), *([F.col("text_id").alias("_text_id")] if by_text else [])]
+    finished = (
+        state.filter(F.col("variant").isin(*variants))
+        .select(*names, "variant")
+        .groupBy(*["_key", "_text_id"][: len(names)])
+        .agg(F.collect_set("variant").alias("_finished"))
+    )
+    same = rows[key].eqNullSafe(finished["_key"])
+    if by_text:
+        same = same & (text_id(rows[text]) == finished["_text_id"])
+    joined = rows.join(finished, same, "left").select(*[rows[c] for c in rows.columns], "_finished")
+    return joined.filter(F.col("_finished").isNull() | (F.size("_finished") < len(variants)))
+
+
 def pending(
     rows: DataFrame,
     state: DataFrame | None,
@@ -116,6 +168,7 @@ def pending(
     variants: Sequence[str] = VARIANTS,
     redo: bool = False,
     spread_to: int | None = None,
+    text: str = "original_text",
 ) -> DataFrame:
     """Long (row, variant) work list without the pairs that are already in the state.
 
@@ -128,15 +181,13 @@ def pending(
 
     if redo or state is None:
         return fan_out(rows.repartition(spread_to) if spread_to else rows, variants)
-    finished = (
-        state.filter(F.col("variant").isin(*variants))
-        .groupBy(key)
-        .agg(F.collect_set("variant").alias("_finished"))
-    )
-    joined = rows.join(finished, key, "left")
-    if spread_to:
-        some = F.col("_finished").isNull() | (F.size("_finished") < len(variants))
-        joined = joined.filter(some).repartition(spread_to)
-    work = fan_out(joined, variants)
-    todo = F.col("_finished").isNull() | ~F.array_contains("_finished", F.col("variant"))
-    return work.filter(todo).drop("_finished")
+    todo = unfinished(rows, state, key, variants, text)
+    return unfinished_pairs(todo.repartition(spread_to) if spread_to else todo, variants)
+
+
+def unfinished_pairs(todo: DataFrame, variants: Sequence[str] = VARIANTS) -> DataFrame:
+    """The unfinished (row, variant) pairs of :func:`unfinished`."""
+    from variantflow.operators.variants import fan_out
+
+    left = F.col("_finished").isNull() | ~F.array_contains("_finished", F.col("variant"))
+    return fan_out(todo, variants).filter(left).drop("_finished")

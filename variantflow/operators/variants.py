@@ -35,7 +35,7 @@ def union_variants(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def assemble_wide(
     long: DataFrame,
-    key: str = "row_idx",
+    key: str | Sequence[str] = "row_idx",
     value: str = "reply",
     *,
     order: str | None = None,
@@ -54,7 +54,8 @@ def assemble_wide(
         mine = F.when(F.col("variant") == variant, F.struct(rank.alias("o"), F.col(value).alias("v")))
         return F.max(mine)["v"].alias(prefix + slug_of(variant))
 
-    return long.groupBy(key).agg(*[cell(v) for v in variants])
+    keys = [key] if isinstance(key, str) else list(key)
+    return long.groupBy(*keys).agg(*[cell(v) for v in variants])
 
 
 def split_wide(

@@ -12,13 +12,14 @@ from pyspark.sql import functions as F
 
 from variantflow.operators.counters import run_counters
 from variantflow.operators.inference import Client, RetryPolicy, http_client
+from variantflow.operators.keyed import text_id
 from variantflow.operators.replies import dead_letter
 from variantflow.operators.scoring import Head, export_names, heads_from_weights
 from variantflow.operators.variants import assemble_wide, fan_out
 from variantflow.plans.generate import generation_requests, variant_manifest
-from variantflow.plans.rewrite import call_service, retry_pass, rewrite
+from variantflow.plans.rewrite import Rewritten, call_service, retry_pass, rewrite
 from variantflow.plans.score import score
-from variantflow.schemas import SCORE_COLUMNS, VARIANTS, slug_of
+from variantflow.schemas import OUTCOMES, SCORE_COLUMNS, VARIANTS, slug_of
 from variantflow.sources.artifacts import image_scan
 from variantflow.sources.csv import csv_export, csv_scan, encoding_fallback_scan, numbered
 from variantflow.sources.scratch import written
@@ -31,6 +32,10 @@ from variantflow.streaming.progress import (
 )
 
 
+#: rows whose calls a run that stops may lose
+SLICE_ROWS = 100_000
+
+
 def is_csv(path: str) -> bool:
     return path.rstrip("/").endswith(".csv")
 
@@ -68,20 +73,24 @@ def rewrite_job(
     text: str = "Description",
     redo: bool = False,
     spread_to: int | None = None,
+    slice_rows: int | None = SLICE_ROWS,
     policy: RetryPolicy = RetryPolicy(),
     **options,
 ) -> DataFrame:
     """Rewrite what is not finished yet; returns the counters of the state.
 
-    ``<out>/log`` grows with each run.  ``<out>/wide`` (the source's columns and
-    one for each variant), ``<out>/state`` (one folder for each variant) and
-    ``<out>/dead`` are replaced.
+    ``<out>/log`` grows with each slice of ``slice_rows`` rows, so a run that
+    stops repeats only its open slice when it is started again.  ``<out>/wide``
+    (the source's columns and one for each variant), ``<out>/state`` (one folder
+    for each variant) and ``<out>/dead`` are replaced.  ``<out>-runs`` gets the
+    run's totals and seconds.
     """
+    began = time.monotonic()
     log = f"{out}/log"
     rows = read_rows(spark, source, key)
     rows = rows.withColumn(key, F.col(key).cast("long"))
     finished = current_outcomes(spark, log).filter(F.col("outcome") != "failed")
-    rewrite(
+    results = rewrite(
         rows,
         client_factory,
         key=key,
@@ -90,10 +99,31 @@ def rewrite_job(
         redo=redo,
         spread_to=spread_to,
         log=log,
+        slice_rows=slice_rows,
         policy=policy,
         **options,
     )
-    return publish(spark, rows, out, key)
+    counters = publish(spark, rows, out, key, text)
+    record_rewrite(results, rows.count(), out, began)
+    return counters
+
+
+def record_rewrite(results: Rewritten, n_rows: int, out: str, began: float) -> DataFrame:
+    """Append the totals of a rewrite run to ``<out>-runs``: rows, calls, final outcomes, seconds."""
+    spark = results.first.sparkSession
+    called = results.attempts.agg(F.count_if(F.col("attempts") > 0)).first()[0]
+    ends = {r["outcome"]: r["n"] for r in results.final.groupBy("outcome").agg(F.count("*").alias("n")).collect()}
+    totals = {"rows": n_rows, "calls": called, **{o: ends.get(o, 0) for o in OUTCOMES}}
+    return recorded(spark, totals, out, began)
+
+
+def recorded(spark: SparkSession, totals: dict[str, int], out: str, began: float) -> DataFrame:
+    """A run's totals and seconds, appended to ``<out>-runs``."""
+    found = {**totals, "seconds": round(time.monotonic() - began, 3)}
+    schema = ", ".join(f"{k} {'double' if k == 'seconds' else 'long'}" for k in found)
+    run = spark.createDataFrame([tuple(found.values())], schema)
+    run.write.mode("append").json(f"{out.rstrip('/').removesuffix('.csv')}-runs")
+    return run
 
 
 def incremental_rewrite_job(
@@ -121,17 +151,26 @@ def incremental_rewrite_job(
     )
     run.awaitTermination()
     retry_failed(spark, f"{out}/log", lambda state: retry_pass(state, client_factory, **calls))
-    return publish(spark, rows, out, key)
+    return publish(spark, rows, out, key, text)
+
 
+def publish(spark: SparkSession, rows: DataFrame, out: str, key: str, text: str = "Description") -> DataFrame:
+    """Write wide table, state and dead letters from the log.
 
-def publish(spark: SparkSession, rows: DataFrame, out: str, key: str) -> DataFrame:
-    """Write wide table, state and dead letters from the log."""
-    state = current_state(spark, f"{out}/log")
+    A row has the replies to its own text, also where it shares its key.
+    """
+    named = rows.withColumn("_text_id", text_id(F.col(text)))
+    now = named.select(F.col(key).cast("long").alias("row_idx"), F.col("_text_id").alias("text_id"))
+    state = current_state(spark, f"{out}/log", source=now, identified=True)
     # three tables and the counters are made of it
     state = written(state, "published-state")
-    ok = state.filter(F.col("outcome") == "ok")
-    wide = rows.join(assemble_wide(ok).withColumnRenamed("row_idx", key), key, "left")
+    replies = assemble_wide(state.filter(F.col("outcome") == "ok"), ["row_idx", "text_id"])
+    same = named[key].eqNullSafe(replies["row_idx"]) & (named["_text_id"] == replies["text_id"])
+    texts = [replies[c] for c in replies.columns if c not in ("row_idx", "text_id")]
+    wide = named.join(replies, same, "left").select(*[named[c] for c in rows.columns], *texts)
     wide.write.mode("overwrite").parquet(f"{out}/wide")
+    state = state.drop("text_id")
+    ok = state.filter(F.col("outcome") == "ok")
     slug = F.replace("variant", F.lit(" "), F.lit("_"))
     write_routed(ok.withColumn("slug", slug), f"{out}/state", mode="overwrite")
     dead_letter(state).write.mode("overwrite").parquet(f"{out}/dead")
@@ -180,11 +219,7 @@ def totals_of(spark: SparkSession, df: DataFrame, out: str, began: float, *total
     """Write a table and its run's totals: rows and what is counted, seen as they are written, and seconds."""
     watch = Observation("run")
     write_table(df.observe(watch, F.count(F.lit(1)).alias("rows"), *totals), out)
-    found = {**watch.get, "seconds": round(time.monotonic() - began, 3)}
-    schema = ", ".join(f"{k} {'double' if k == 'seconds' else 'long'}" for k in found)
-    run = spark.createDataFrame([tuple(found.values())], schema)
-    run.write.mode("append").json(f"{out.rstrip('/').removesuffix('.csv')}-runs")
-    return run
+    return recorded(spark, watch.get, out, began)
 
 
 def score_job(

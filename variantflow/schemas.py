@@ -72,6 +72,9 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 
+# As stored: with the name of the text, which tells apart rows that share a key.
+STORED_LOG_SCHEMA = T.StructType([*LOG_SCHEMA.fields, T.StructField("text_id", T.StringType())])
+
 STATE_SCHEMA = T.StructType(
     [
         T.StructField("row_idx", T.LongType()),

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from variantflow.operators.keyed import latest
-from variantflow.schemas import LOG_SCHEMA
+from variantflow.operators.keyed import latest, text_id
+from variantflow.schemas import STORED_LOG_SCHEMA
 from variantflow.sources.scratch import written
 from variantflow.sources.state import read_if_exists
 
@@ -23,7 +23,8 @@ from variantflow.sources.state import read_if_exists
 def logged(results: DataFrame) -> DataFrame:
     """Results as rows of the log, stamped with the time of this write."""
     now = F.lit(time.time_ns() // 1_000_000).cast("long")
-    return results.withColumn("logged_at", now).select(*LOG_SCHEMA.fieldNames())
+    named = results.withColumns({"logged_at": now, "text_id": text_id(F.col("original_text"))})
+    return named.select(*STORED_LOG_SCHEMA.fieldNames())
 
 
 def query_id(spark: SparkSession, checkpoint: str) -> str:
@@ -70,37 +71,51 @@ def incremental_progress(
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """All stored results, also repeated ones, or an empty table."""
-    found = read_if_exists(spark, log, LOG_SCHEMA)
+    found = read_if_exists(spark, log, STORED_LOG_SCHEMA)
     if found is None:
-        return spark.createDataFrame([], LOG_SCHEMA)
-    return found.select(*LOG_SCHEMA.fieldNames())
+        return spark.createDataFrame([], STORED_LOG_SCHEMA)
+    return found.select(*STORED_LOG_SCHEMA.fieldNames())
 
 
 def current_state(
-    spark: SparkSession, log: str, key: Sequence[str] = ("row_idx", "variant")
+    spark: SparkSession,
+    log: str,
+    key: Sequence[str] = ("row_idx", "variant"),
+    source: DataFrame | None = None,
+    identified: bool = False,
 ) -> DataFrame:
-    """Newest result of each key.
+    """Newest result of each key and text.
 
     An accepted reply beats a failed one of any run; then the later one wins.
     The winner is found without the texts, which are joined to it only where the
-    result's texts are used.
+    result's texts are used.  ``source``, (row_idx, text_id) of the rows as they
+    are now, leaves out results of other texts that its keys had.  ``identified``
+    keeps the column ``text_id``.
     """
     narrow, key = current_outcomes(spark, log, key), list(key)
+    if source is not None:
+        now = source.distinct()
+        same = narrow["row_idx"].eqNullSafe(now["row_idx"])
+        held = narrow.join(now, same & (narrow["text_id"] == now["text_id"]), "left_semi")
+        keys = source.select("row_idx").distinct()
+        gone = narrow.join(keys, narrow["row_idx"].eqNullSafe(keys["row_idx"]), "left_anti")
+        narrow = held.unionByName(gone)
     rows = read_log(spark, log)
-    stamp = [*key, "logged_at", "pass"]
+    stamp = [*key, "text_id", "logged_at", "pass"]
     same = [rows[c].eqNullSafe(narrow[c]) for c in stamp]
     held = rows.join(narrow.select(*stamp), reduce(and_, same), "left_semi")
     # a pass of a run writes a key once; a key that was given twice is kept once
-    return held.dropDuplicates(key).drop("logged_at")
+    held = held.dropDuplicates([*key, "text_id"]).drop("logged_at")
+    return held if identified else held.drop("text_id")
 
 
 def current_outcomes(
     spark: SparkSession, log: str, key: Sequence[str] = ("row_idx", "variant")
 ) -> DataFrame:
-    """(key, pass, outcome, logged_at) of the newest result of each key; reads no text."""
-    columns = [*key, "pass", "outcome", "logged_at"]
+    """(key, text_id, pass, outcome, logged_at) of the newest result of each key and text; reads no text."""
+    columns = [*key, "text_id", "pass", "outcome", "logged_at"]
     rows = read_log(spark, log).select(*columns).withColumn("_ok", F.col("outcome") == "ok")
-    return latest(rows, key, ("_ok", "logged_at", "pass")).select(*columns)
+    return latest(rows, [*key, "text_id"], ("_ok", "logged_at", "pass")).select(*columns)
 
 
 def retry_failed(
