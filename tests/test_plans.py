@@ -189,3 +189,27 @@ def test_calls_stay_spread_on_resume(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert tasks > 8
+
+
+def test_csv_rows_are_numbered_without_a_shuffle(spark, tmp_path):
+    from variantflow.sources.csv import csv_scan, numbered
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    lines = [f'{i},"a\nb {i}"\n' for i in range(3000)]
+    for k in range(3):
+        (folder / f"part-{k}.csv").write_text("i,t\n" + "".join(lines[k * 1000 : (k + 1) * 1000]))
+    df = numbered(csv_scan(spark, str(folder), position=True))
+    text = plan(df)
+    assert "Sort" not in text and text.count("Exchange") == text.count("BroadcastExchange")
+    assert {(r["i"], r["row_idx"]) for r in df.collect()} == {(i, i) for i in range(3000)}
+    # files that are split into many ranges, or put together in one
+    plain = tmp_path / "plain.csv"
+    plain.write_text("i\n" + "".join(f"{i}\n" for i in range(20_000)))
+    for size in ("8k", "1m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = numbered(csv_scan(spark, str(plain), multi_line=False, position=True)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert {(r["i"], r["row_idx"]) for r in rows} == {(i, i) for i in range(20_000)}

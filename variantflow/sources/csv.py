@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantflow.functions.text import null_if_na
-from variantflow.operators.keyed import row_index
 from variantflow.sources.scratch import written
 
 _WRITTEN = {"header": True, "quote": '"', "escape": '"', "lineSep": "\n"}
@@ -55,6 +54,7 @@ def _raw(
     """All fields as texts, one column more for what a row has too much, and the file's name."""
     schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _SURPLUS)])
     reader = spark.read.options(**_READ, multiLine=multi_line, encoding=encoding).schema(schema)
+    place = {"_file": F.col("_metadata.file_path"), "_block": F.col("_metadata.file_block_start")}
     if not multi_line:  # lines are cut at any line end
         df = reader.csv(path if isinstance(path, str) else list(path))
     else:
@@ -62,8 +62,8 @@ def _raw(
         if len(groups) > 1 and isinstance(path, str):
             reader = reader.option("basePath", path)
         parts = [reader.option("lineSep", end).csv(files) for files, end in groups]
-        return reduce(DataFrame.unionByName, [p.withColumn("_file", F.col("_metadata.file_path")) for p in parts])
-    return df.withColumn("_file", F.col("_metadata.file_path"))
+        return reduce(DataFrame.unionByName, [p.withColumns(place) for p in parts])
+    return df.withColumns(place)
 
 
 def _header(spark: SparkSession, path: str | Sequence[str], multi_line: bool) -> list[str]:
@@ -201,24 +201,43 @@ def csv_scan(
     pass ``multi_line=False`` for files without such fields and write large
     tables as many files.
 
-    ``position`` adds ``_file`` and ``_pos``, which sort in file order.  They
-    hold for one evaluation: write the table before using them.
+    ``position`` adds ``_file``, ``_block`` (where the split of the file starts)
+    and ``_pos``, which sort in file order.  They stay the same for as long as
+    the files do.
     """
     names = schema.fieldNames() if schema else _header(spark, path, multi_line)
     read = _raw(spark, path, names, multi_line, line_end)
-    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file")]
+    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file", "_block")]
     raw = _missing(read, names, na_tokens)
     df = _typed(raw, schema or _inferred(raw, names), on_bad)
     if position:
         df = df.withColumn("_pos", F.monotonically_increasing_id())
     bad = [BAD] if on_bad == "keep" else []
-    return df.select(*[F.col(f"`{c}`") for c in (*names, *folders)], *bad, *(["_file", "_pos"] if position else []))
+    places = ["_file", "_block", "_pos"] if position else []
+    return df.select(*[F.col(f"`{c}`") for c in (*names, *folders)], *bad, *places)
 
 
 def numbered(rows: DataFrame, name: str = "row_idx") -> DataFrame:
-    """Rows of :func:`csv_scan` with ``position``, numbered from 0 in file order."""
-    stored = written(rows, "csv-rows")
-    return row_index(stored, ["_file", "_pos"], name).drop("_file", "_pos")
+    """Rows of :func:`csv_scan` with ``position``, numbered from 0 in file order.
+
+    Rows are counted for each split of a file, and each split gets the number of
+    rows before it: one more pass over the files, but no sort, copy or shuffle.
+    Files that change between the two passes raise.  What comes to the driver is a
+    row for each split, as many as its own listing has.
+    """
+    split = ["_file", "_block"]
+    counts = rows.groupBy(*split).agg(F.min("_pos").alias("first"), F.max("_pos").alias("last"), F.count("*").alias("n"))
+    before, starts = 0, []
+    for r in sorted(counts.collect(), key=lambda r: (r["_file"], r["_block"])):
+        if r["last"] - r["first"] != r["n"] - 1:
+            raise ValueError(f"rows of {r['_file']} have no position of their own")
+        starts.append((r["_file"], r["_block"], before - r["first"]))
+        before += r["n"]
+    shifts = rows.sparkSession.createDataFrame(starts, "_file string, _block long, _shift long")
+    told = rows.join(F.broadcast(shifts), split, "left")
+    changed = F.raise_error(F.concat(F.lit("a file has changed since its rows were counted: "), "_file"))
+    number = F.coalesce(F.col("_pos") + F.col("_shift"), changed.cast("long"))
+    return told.withColumn(name, number).drop(*split, "_pos", "_shift")
 
 
 def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -251,7 +270,7 @@ def encoding_fallback_scan(
     """
     names = schema.fieldNames() if schema else _header(spark, path, multi_line)
     read = _raw(spark, path, names, multi_line, line_end, "ISO-8859-1")
-    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file")]
+    folders = [c for c in read.columns if c not in (*names, _SURPLUS, "_file", "_block")]
     latin = written(
         file_encodings(spark, path).filter(~F.col("is_utf8")).select(F.col("file").alias("_file")),
         "latin1-files",
