@@ -51,10 +51,27 @@ GRAMS_HELD = 2_000_000
 BLOCK = "shard int, high binary, low binary, counts binary"
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """32-bit numbers with the first bytes of all before the second, which leaves little of the high ones."""
+    planes = np.ascontiguousarray(numbers, np.uint32).view(np.uint8).reshape(-1, 4).T
+    return len(numbers).to_bytes(8, "little") + pa.compress(planes.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    size = int.from_bytes(data[:8], "little")
+    planes = np.frombuffer(pa.decompress(data[8:], 4 * size, "zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, size).T).view(np.uint32).reshape(-1)
+
+
+def _steps(numbers: np.ndarray) -> np.ndarray:
+    """Sorted 32-bit numbers as differences."""
+    return np.diff(numbers, prepend=np.uint32(0))
+
+
 def _block(shard: int, keys: np.ndarray, counts: np.ndarray) -> tuple:
-    """One row of counts; the halves of sorted keys are kept apart, as the upper ones compress well."""
+    """One row of counts; the halves of sorted keys are kept apart, the upper ones as steps."""
     halves = keys.view(np.uint32).reshape(-1, 2)
-    return shard, halves[:, 1].tobytes(), halves[:, 0].tobytes(), counts.astype(np.uint32).tobytes()
+    return shard, _packed(_steps(halves[:, 1])), _packed(halves[:, 0]), _packed(counts)
 
 
 def _blocks(rows: list[tuple]) -> pa.RecordBatch:
@@ -68,10 +85,11 @@ def _blocks(rows: list[tuple]) -> pa.RecordBatch:
 def _unblock(group: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     keys, counts = [], []
     for high, low, n in zip(*(group.column(c).to_pylist() for c in ("high", "low", "counts"))):
-        both = np.empty((len(n) // 4, 2), np.uint32)
-        both[:, 1], both[:, 0] = np.frombuffer(high, np.uint32), np.frombuffer(low, np.uint32)
+        low = _unpacked(low)
+        both = np.empty((len(low), 2), np.uint32)
+        both[:, 1], both[:, 0] = np.cumsum(_unpacked(high), dtype=np.uint32), low
         keys.append(both.reshape(-1).view(U))
-        counts.append(np.frombuffer(n, np.uint32).astype(np.int64))
+        counts.append(_unpacked(n).astype(np.int64))
     return merge_counts(keys, counts)
 
 
@@ -232,8 +250,8 @@ def _gram_blocks(ids: np.ndarray, counts: np.ndarray, shards: int) -> pa.RecordB
     rows = []
     for shard, a, b in runs(of[order]):
         columns = ids[order[a:b]].T.copy()
-        columns[0, 1:] = np.diff(columns[0])
-        rows.append((shard, columns.tobytes(), counts[order[a:b]].astype(np.uint32).tobytes()))
+        columns[0] = _steps(columns[0])
+        rows.append((shard, _packed(columns.reshape(-1)), _packed(counts[order[a:b]])))
     columns = zip(*rows) if rows else ([], [], [])
     return pa.RecordBatch.from_arrays(
         [pa.array(list(c), t) for c, t in zip(columns, [pa.int32(), pa.binary(), pa.binary()])],
@@ -244,10 +262,10 @@ def _gram_blocks(ids: np.ndarray, counts: np.ndarray, shards: int) -> pa.RecordB
 def _grams(group: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
     ids, counts = [], []
     for columns, n in zip(group.column("ids").to_pylist(), group.column("counts").to_pylist()):
-        columns = np.frombuffer(columns, np.uint32).reshape(k, -1).copy()
+        columns = _unpacked(columns).reshape(k, -1)
         columns[0] = np.cumsum(columns[0], dtype=np.uint32)
         ids.append(columns.T)
-        counts.append(np.frombuffer(n, np.uint32).astype(np.int64))
+        counts.append(_unpacked(n).astype(np.int64))
     return _merge_grams(ids, counts)
 
 
