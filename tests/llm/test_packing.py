@@ -15,9 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
 def ids_of(tokens, texts):
@@ -102,3 +100,13 @@ def test_every_id_is_in_one_piece(spark, plain, group):
 def test_null_is_the_end_id(spark):
     r = pack(docs(spark, [(1, None, None, None)])).collect()
     assert [(x.doc_id, x.start, x.length, x.doc_tokens, x.offset) for x in r] == [(1, 0, 1, 1, 0)]
+
+
+def test_strings_of_special_tokens(plain):
+    """Special tokens by default, as the tokenizer has it; ordinary text if wanted."""
+    texts = ["some text <|endoftext|> more words", "x  <|endoftext|><|endoftext|>  y", " <|endoftext|>", "a<|endoftext|"]
+    assert ids_of(Tokens(PATH), texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert 50256 in ids_of(Tokens(PATH), texts)[0]
+    text = Tokenizer.from_file(PATH)
+    text.encode_special_tokens = True
+    assert ids_of(Tokens(PATH, special_is_text=True), texts) == [text.encode(t, add_special_tokens=False).ids for t in texts]

@@ -131,16 +131,21 @@ class Tokens:
     before are tokenised in one call.
     """
 
-    def __init__(self, path: str, cache: int = CACHE):
+    def __init__(self, path: str, cache: int = CACHE, special_is_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # the strings of special tokens are ordinary text in a document
-        self.tokenizer.encode_special_tokens = True
+        if special_is_text:
+            self.tokenizer.encode_special_tokens = True
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
+        added = self.tokenizer.get_added_tokens_decoder()
+        for i, token in added.items():
+            self.n_bytes[i] = len(token.content.encode())
+        #: added tokens that reach over blanks, or look at what is beside them, leave no place to cut
+        self.whole = any(t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added.values())
         self.cache = cache
         self._forget()
 
@@ -153,7 +158,7 @@ class Tokens:
     def pieces(self, buf: np.ndarray, offsets: np.ndarray) -> Words:
         """The texts of a slice cut in front of blanks that follow no white space."""
         cut = np.zeros(len(buf), bool)
-        if len(buf) > 1:
+        if len(buf) > 1 and not self.whole:
             before = buf[:-1]
             cut[1:] = (buf[1:] == 0x20) & (before > 0x20) & (before != 0x7F)
             wide = np.flatnonzero(cut[1:] & (before >= 0x80))
@@ -248,11 +253,11 @@ class _Output:
 NAMES = ["key", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
 
 
-def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int):
+def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int, special_is_text: bool):
     def run(batches):
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << TASK_BITS
-        tokens = Tokens(tokenizer)
+        tokens = Tokens(tokenizer, special_is_text=special_is_text)
         out = _Output()
         key_type = None
         rest: list[tuple] = []  # (key, start, ids, tokens of the document)
@@ -300,6 +305,7 @@ def pack(
     capacity: int = CAPACITY,
     end_id: int = END_ID,
     group: int = GROUP,
+    special_is_text: bool = False,
 ) -> DataFrame:
     """Pieces of documents with their place in sequences of at most ``capacity`` ids.
 
@@ -309,7 +315,8 @@ def pack(
     document is the end id alone.  A document of several pieces may have them in
     any sequences.  NULL keys and repeated rows are packed like all others; other
     columns are ignored.  ``tokenizer``: a byte-level tokenizer file that every
-    executor can read.
+    executor can read.  The strings of its special tokens are those tokens, as
+    the tokenizer has it by itself; ``special_is_text`` makes them ordinary text.
     """
     if tokenizer is None:
         import public_tokenizers
@@ -318,4 +325,4 @@ def pack(
     narrow = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     schema = f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return narrow.mapInArrow(_pack_batches(tokenizer, capacity, end_id, group), schema).withColumnRenamed("key", key)
+    return narrow.mapInArrow(_pack_batches(tokenizer, capacity, end_id, group, special_is_text), schema).withColumnRenamed("key", key)
