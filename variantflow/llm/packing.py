@@ -20,6 +20,7 @@ from __future__ import annotations
 
 from collections import defaultdict, deque
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -232,6 +233,12 @@ class Tokens:
         return self.store[where], ends[pieces.first]
 
 
+@lru_cache(maxsize=1)
+def tokens_of(path: str, special_is_text: bool) -> Tokens:
+    """The tokenizer and the pieces that a worker knows from its earlier tasks; their number is bounded by ``CACHE``."""
+    return Tokens(path, special_is_text=special_is_text)
+
+
 # --- the operator -----------------------------------------------------------
 class _Output:
     def __init__(self):
@@ -257,7 +264,7 @@ def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int, specia
     def run(batches):
         context = TaskContext.get()
         sequence = (context.partitionId() if context else 0) << TASK_BITS
-        tokens = Tokens(tokenizer, special_is_text=special_is_text)
+        tokens = tokens_of(tokenizer, special_is_text)
         out = _Output()
         key_type = None
         rest: list[tuple] = []  # (key, start, ids, tokens of the document)
