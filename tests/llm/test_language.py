@@ -70,3 +70,14 @@ def test_the_sample_does_not_hang_on_partitions(spark):
     df = docs(spark, [(i, f"{t} {i % 7}", k, "a") for i in range(40) for k, t in TEXTS.items()])
     a, b = (L.first_of_each([tuple(r) for r in L.training_rows(df.repartition(n), "text", "lang", 5).collect()], 5) for n in (1, 7))
     assert a == b and len(a) == 20
+
+
+def test_whole_texts_are_learned(spark):
+    """What tells the language stands after a long beginning that all have in common."""
+    rng = np.random.default_rng(3)
+    shared = " ".join(str(i) for i in rng.integers(0, 10**6, 900))
+    given = [(i, f"{shared} {text * 200}", lang, "a") for i, (text, lang) in enumerate(rows(4, 12))]
+    model = L.fit_languages(docs(spark, given))
+    ends = spark.createDataFrame(rows(5, 30), "text string, lang string")
+    got = L.identify(ends, model).agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert got > 0.9

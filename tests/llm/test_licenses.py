@@ -61,3 +61,29 @@ def test_awkward_rows(spark):
     got = L.scan_licenses(df, model, keep=["doc_id"]).collect()
     assert len(got) == df.count() and {r.license for r in got} == {"none"}
     assert L.scan_licenses(empty(spark), L.fit_licenses(empty(spark)), keep=[]).collect() == []
+
+
+def test_the_filter_of_paragraphs_loses_none(model):
+    """All paragraphs, also those that only the sum of many classes tells from plain text."""
+    rng = np.random.default_rng(2)
+    pool = " ".join(t for ts in L.TEMPLATES.values() for t in ts).split() + ENGLISH.split() * 3
+    texts = [" ".join(pool[i] for i in rng.integers(0, len(pool), int(rng.integers(1, 9)))) for _ in range(1500)]
+    words = L._paragraph_words(texts)
+    got = {p for p, _, _ in model.predict(words)}
+    want = set()
+    for i, features in enumerate(L._features(texts)):
+        at = np.minimum(np.searchsorted(model.known, features), len(model.known) - 1)
+        at = at[model.known[at] == features]
+        if len(at):
+            logits = model.weights[at].sum(axis=0) + model.offset
+            if 1 - model._probabilities(logits[None, :])[0][0] >= L.LEAST_PROBABILITY:
+                want.add(i)
+    assert got == want and len(want) > 20
+
+
+def test_long_lines_are_learned_whole(spark):
+    """A word that stands far behind in plain lines is one of plain text."""
+    head = "x " * 400
+    lines = [f"{head}permission is granted by hand {i}" for i in range(60)]
+    model = L.fit_licenses(docs(spark, [(i, t, None, None) for i, t in enumerate(PLAIN + lines)]))
+    assert found(model, head + "permission is granted by hand") == []

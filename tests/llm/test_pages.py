@@ -102,3 +102,10 @@ def test_parse_refuses_what_is_no_record():
     with pytest.raises(ValueError):
         list(W.parse(b"nonsense\r\n\r\n"))
     assert re.match(r"<urn:uuid:[0-9a-f-]{36}>$", W.record_id("a", None))
+
+
+def test_whole_pages_are_learned(spark):
+    """The part that marks itself stands behind a very long head."""
+    long = "<html><body><div class='junk'>" + "<i>x</i>" * 20_000 + "</div>" + ARTICLE + "</body></html>"
+    weights = H.learn_weights(spark.createDataFrame([(i, long) for i in range(3)], "page_id long, html string"))
+    assert weights == H.learn([long])

@@ -111,3 +111,14 @@ def test_labels(spark):
     assert sum(y for _, y in sample) == 10 and len(sample) == 30
     assert X.fit_toxicity(df, labels.where("toxic = 0")) is None
     assert {r.score for r in X.score_toxicity(df, None, keep=[], name="score").collect()} == {0.0}
+
+
+def test_whole_texts_are_learned(spark):
+    """The words that make a text toxic stand at its end."""
+    head = "a chair and a cat on the old house " * 700
+    given = rows(6, 150)
+    df = docs(spark, [(i, f"{head}{t}", "en", "a") for i, (t, _) in enumerate(given)])
+    labels = spark.createDataFrame([(i, y) for i, (_, y) in enumerate(given)], "doc_id long, toxic int")
+    model = X.fit_toxicity(df, labels)
+    told = {r.doc_id: r.score >= X.THRESHOLD for r in X.score_toxicity(df, model, keep=["doc_id"]).collect()}
+    assert np.mean([told[i] == bool(y) for i, (_, y) in enumerate(given)]) > 0.9

@@ -221,18 +221,19 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def hashed_sample(values: DataFrame, column: str, sample: int) -> list:
-    """At most ``sample`` different values of a column, the same whatever the partitions.
+def fitted_to_sample(values: DataFrame, column: str, sample: int, fit: Callable):
+    """``fit`` of at most ``sample`` different whole values of a column, the same whatever the partitions.
 
-    A hash picks about three times as many in the tasks, so what comes to the
-    driver does not grow with the table.
+    A hash picks about three times as many in the tasks, and one task takes the
+    first of them, so what it holds does not grow with the table.  As with
+    :func:`fitted`, ``fit`` gives plain values.
     """
     parts = 1 << 31
     h = F.xxhash64(column)
     n = values.agg(F.approx_count_distinct(h).alias("n")).first()["n"]
     share = min(parts, 3 * sample * parts // max(n, 1))
-    picked = values.select(column, h.alias("h")).where(F.pmod("h", F.lit(parts)) < share).distinct().collect()
-    return [r[column] for r in sorted(picked, key=lambda r: (r["h"], r[column]))[:sample]]
+    picked = values.select(h.alias("h"), column).where(F.pmod("h", F.lit(parts)) < share).distinct()
+    return fitted(picked, lambda rows: fit([value for _, value in sorted(rows)[:sample]]))
 
 
 def fitted(sample: DataFrame, fit: Callable):

@@ -22,11 +22,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import hashed_sample, map_texts, quoted
+from variantflow.llm.batches import fitted_to_sample, map_texts, quoted
 
 SAMPLE = 500
-#: the part of a page that is learned from
-PART_CHARS = 50_000
 #: bounds of a word's score; the cost of a tag is kept below half the least positive one
 WORD_RANGE = (-2.0, 2.0)
 TAG_COST = (0.05, 0.4)
@@ -255,7 +253,12 @@ def _extract_job(held):
 def learn_weights(pages: DataFrame, page: str = "html", sample: int = SAMPLE) -> Weights:
     """Weights from at most ``sample`` pages that mark their content, by a hash of the page."""
     marked = pages.where(F.col(quoted(page)).rlike("(?i)<(article|main)[\\s>]"))
-    return learn(hashed_sample(marked.select(F.left(F.col(quoted(page)), F.lit(PART_CHARS)).alias("page")), "page", sample))
+
+    def values(found):
+        w = learn(found)
+        return w.features, w.tags, w.usual
+
+    return Weights(*fitted_to_sample(marked.select(F.col(quoted(page)).alias("page")), "page", sample, values))
 
 
 def extract(

@@ -15,6 +15,7 @@ fixed number of bytes whatever the corpus.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import astuple, dataclass
 from itertools import combinations
@@ -31,10 +32,9 @@ UNKNOWN = "und"
 #: features are hashed to so many bits
 BITS = 13
 ORDERS = (1, 2, 3, 4)
-#: training rows of each language, and the bytes of one that are looked at
+#: training rows of each language; their texts are learned whole
 SAMPLE = 250
-PART_BYTES = 4000
-#: parts into which training texts are cut so that short texts are learned too
+#: sizes of pieces of training texts from which short texts are learned too
 SHORT_BYTES = (40, 200, 1000)
 
 #: fixed values: families of languages by their ISO code; others are families of their own
@@ -210,10 +210,12 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     """Model of (text, language) rows."""
     data: dict[str, list[np.ndarray]] = {}
     for i, (text, lang) in enumerate(rows):
-        raw = text.encode()[:PART_BYTES]
+        raw = text.encode()
         data.setdefault(lang, []).append(profile(raw))
+        # short texts are learned from pieces of any place
         size = SHORT_BYTES[i % len(SHORT_BYTES)]
-        data[lang].append(profile(raw[:size]))
+        start = zlib.crc32(raw) % max(1, len(raw) - size + 1)
+        data[lang].append(profile(raw[start : start + size]))
     families: dict[str, list[str]] = {}
     for lang in sorted(data):
         families.setdefault(family(lang), []).append(lang)
@@ -257,7 +259,7 @@ def mean_weights(weights: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> n
 def training_rows(docs: DataFrame, text: str, lang: str, sample: int) -> DataFrame:
     """(text, lang, hash) of about three times ``sample`` labelled rows of each language, copies once."""
     usable = docs.where(F.col(quoted(lang)).isNotNull() & F.col(quoted(text)).rlike(r"\p{L}"))
-    usable = usable.select(F.left(F.col(quoted(text)), F.lit(PART_BYTES)).alias("text"), F.col(quoted(lang)).alias("lang"))
+    usable = usable.select(F.col(quoted(text)).alias("text"), F.col(quoted(lang)).alias("lang"))
     # copies count once, as they are taken once
     distinct = F.approx_count_distinct(F.xxhash64("text")).alias("n")
     counts = {r["lang"]: max(1, r["n"]) for r in usable.groupBy("lang").agg(distinct).collect()}

@@ -23,13 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import FOLDED, ODD, U, cut_words, hashed_sample, map_texts, mix, quoted, separators, text_slices
+from variantflow.llm.batches import FOLDED, ODD, U, cut_words, fitted_to_sample, map_texts, mix, quoted, separators, text_slices
 
 NONE, UNKNOWN = "none", "unknown"
 ORDERS = (1, 2, 3)
-#: paragraphs of the corpus that are learned as plain text, and their longest part
+#: paragraphs of the corpus that are learned as plain text, whole
 SAMPLE = 1500
-PART_CHARS = 400
 LEAST_PROBABILITY = 0.5
 #: share of word pairs that a template must have in common with a paragraph
 CONFIRMED = 0.6
@@ -201,10 +200,11 @@ class Model:
         both = np.unique(of.astype(np.int64) * len(self.known) + at)
         of, at = both // len(self.known), both % len(self.known)
         heads = np.flatnonzero(np.diff(of, prepend=-1))
-        # most paragraphs have a few usual words only; their best class is told by an upper bound
+        # most paragraphs have a few usual words only; an upper bound of all classes tells them
         best = self.weights[:-1].max(axis=1) - self.weights[:-1, 0]
         bound = np.add.reduceat(best[at], heads) + (self.offset.max() - self.offset[0])
-        likely = bound > 0
+        # all classes together have to reach the least probability against plain text
+        likely = bound >= self.temperature * np.log(LEAST_PROBABILITY / (1 - LEAST_PROBABILITY) / (len(self.classes) - 1))
         out = []
         ends = np.append(heads[1:], len(of))
         for a, b in zip(heads[likely].tolist(), ends[likely].tolist()):
@@ -334,9 +334,14 @@ def fit_licenses(docs: DataFrame, text: str = "text", sample: int = SAMPLE) -> M
     """
     lines = docs.select(F.split(F.col(quoted(text)), "\n").alias("lines")).where(F.size("lines") > 0)
     line = F.element_at("lines", (F.pmod(F.xxhash64("lines"), F.size("lines")) + 1).cast("int"))
-    lines = lines.select(F.left(line, F.lit(PART_CHARS)).alias("line")).where(F.length("line") > 0)
+    lines = lines.select(line.alias("line")).where(F.length("line") > 0)
     named = r"(?i)licen[cs]|copyright|public domain|rights reserved|creative commons|redistribut"
-    return fit(hashed_sample(lines.where(~F.col("line").rlike(named)), "line", sample))
+
+    def values(plain):
+        m = fit(plain)
+        return m.classes, m.known, m.weights, m.offset, m.temperature, m.templates
+
+    return Model(*fitted_to_sample(lines.where(~F.col("line").rlike(named)), "line", sample, values))
 
 
 def scan_licenses(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -18,7 +18,7 @@ highest word scores gives the score of a document.  It is fitted on a third
 of the sample, from which the words were not learned.
 
 The sample of labelled rows that is fitted in one task is bounded by
-``sample`` rows of each label and ``PART_CHARS`` characters of a text.
+``sample`` toxic rows and twice as many others, with their whole texts.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ SPAN = 5
 DECAY = 0.6
 LANDMARKS = 300
 SAMPLE = 1000
-PART_CHARS = 20_000
 TRAIN_WORDS = 15_000
 ROUNDS = 3
 #: word scores of a document that its score is made of
@@ -322,9 +321,7 @@ def training_rows(
     order = [F.xxhash64("key"), "key"]
     few = known.where("label = 1").orderBy(*order).limit(sample)
     few = few.unionByName(known.where("label = 0").orderBy(*order).limit(2 * sample))
-    texts = docs.select(
-        F.col(quoted(key)).alias("key"), F.left(F.col(quoted(text)), F.lit(PART_CHARS)).alias("text")
-    ).where("text IS NOT NULL")
+    texts = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text")).where("text IS NOT NULL")
     # at most 3 * sample keys
     rows = texts.join(F.broadcast(few), "key").groupBy("key")
     return rows.agg(F.min("text").alias("text"), F.max("label").alias("label")).select("text", "label")
