@@ -8,6 +8,8 @@ and no Python call for each word.  Slices are cut between documents at about
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import pickle
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
@@ -171,6 +173,25 @@ def by_group(batches, keys: list[str]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def memory_back(run: Callable) -> Callable:
+    """``run`` of a task, after which its worker gives freed memory back to the machine.
+
+    Workers live on from task to task, beside those of other stages.
+    """
+
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim:
+                trim(0)
+
+    return task
+
+
 def free_name(docs: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column is called so."""
     taken = {c.lower() for c in docs.columns}
@@ -213,7 +234,7 @@ def map_texts(
                 cells = [batch.column(i).slice(row, end - row) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cells, *found], names=names)
 
-    mapped = inner.mapInArrow(run, schema)
+    mapped = inner.mapInArrow(memory_back(run), schema)
     return mapped.toDF(*keep, *[name for name, _ in fields])
 
 
@@ -246,7 +267,7 @@ def fitted(sample: DataFrame, fit: Callable):
         rows = [tuple(row.values()) for batch in batches for row in batch.to_pylist()]
         yield pa.RecordBatch.from_pydict({"model": pa.array([pickle.dumps(fit(rows))], pa.binary())})
 
-    made = sample.repartition(1).mapInArrow(run, "model binary").first()
+    made = sample.repartition(1).mapInArrow(memory_back(run), "model binary").first()
     # a plan that is known to be empty has no task
     return pickle.loads(made["model"]) if made else fit([])
 

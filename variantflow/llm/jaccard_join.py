@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import BLANK, ODD, U, by_group, free_name, map_texts, mix, quoted, slices_of_words
+from variantflow.llm.batches import BLANK, ODD, U, by_group, free_name, map_texts, memory_back, mix, quoted, slices_of_words
 from variantflow.llm.components import components
 from variantflow.llm.hash_arrays import Hashed, write_hashed
 from variantflow.sources.scratch import new_folder, written
@@ -381,7 +381,7 @@ def _edges_of_blocks(members, texts, size: int, t: Fraction, block_shingles: int
     def searched(df: DataFrame) -> DataFrame:
         df = df.select("hub", "i", "j", "query", "sid", "text")
         dealt = df.repartition(partitions, "hub", "i", "j").sortWithinPartitions("hub", "i", "j")
-        return dealt.mapInArrow(_block_batches(size, t), EDGE_SCHEMA)
+        return dealt.mapInArrow(memory_back(_block_batches(size, t)), EDGE_SCHEMA)
 
     if large.isEmpty():
         whole = F.lit(-1).cast("long")
@@ -413,7 +413,7 @@ def _labels(docs: DataFrame, key: str, text: str, size: int, t: Fraction, block_
     """(rows (doc_id, n, sid), labels (sid, least, smallest)): each class with the smallest keys of it and of its component."""
     spark = docs.sparkSession
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
-    rows = written(narrow.mapInArrow(_set_batches(size, t), SET_SCHEMA), "jaccard-sets")
+    rows = written(narrow.mapInArrow(memory_back(_set_batches(size, t)), SET_SCHEMA), "jaccard-sets")
     filled = rows.where("n > 0")
     postings = (
         filled.groupBy("sid").agg(F.first("signatures").alias("signatures"))
@@ -431,7 +431,7 @@ def _labels(docs: DataFrame, key: str, text: str, size: int, t: Fraction, block_
     members = written(members.join(sizes, "sid"), "jaccard-members")
     # every hub is a member of its own block; classes without a partner need no text
     wanted = write_hashed(members.select("sid").distinct(), new_folder(spark, "jaccard-wanted"), "sid", [])
-    texts = narrow.mapInArrow(_text_batches(size, wanted), "sid long, text string").dropDuplicates(["sid"])
+    texts = narrow.mapInArrow(memory_back(_text_batches(size, wanted)), "sid long, text string").dropDuplicates(["sid"])
     found = components(_edges_of_blocks(members, texts, size, t, block_shingles))
     least = filled.groupBy("sid").agg(F.min("doc_id").alias("least"))
     least = least.join(found.withColumnRenamed("node", "sid"), "sid", "left")

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import EXACT, SLICE_BYTES, U, Words, quoted, text_slices
+from variantflow.llm.batches import EXACT, SLICE_BYTES, U, Words, memory_back, quoted, text_slices
 
 CAPACITY = 2048
 END_ID = 1
@@ -332,4 +332,5 @@ def pack(
     narrow = docs.select(F.col(quoted(key)).alias("key"), F.col(quoted(text)).alias("text"))
     kind = narrow.schema["key"].dataType.simpleString()
     schema = f"key {kind}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return narrow.mapInArrow(_pack_batches(tokenizer, capacity, end_id, group, special_is_text), schema).withColumnRenamed("key", key)
+    packed = memory_back(_pack_batches(tokenizer, capacity, end_id, group, special_is_text))
+    return narrow.mapInArrow(packed, schema).withColumnRenamed("key", key)
