@@ -19,6 +19,9 @@ from variantflow.llm.packing import pack
 from variantflow.llm.queries import LANGUAGE_FOLD, TOXICITY_FOLD, table
 from variantflow.sources.scratch import written
 
+#: rows of texts that go to a Python worker at once, where the session sets no number of its own
+BATCH_ROWS = 1000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: documents whose language is less sure than this go
 LEAST_LANGUAGE_SCORE = 0.3
 
@@ -61,12 +64,30 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return pack(docs)
 
 
+def in_small_batches(stage: Stage) -> Stage:
+    """The stage, with batches that keep memory outside of Spark's heap small.
+
+    A plan takes the setting when it runs, after the stage has returned, so it stays with the session.
+    """
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if int(spark.conf.get(_BATCH_SETTING)) == 10_000:  # Spark's default
+            spark.conf.set(_BATCH_SETTING, BATCH_ROWS)
+        return stage(spark, docs, sf_dir)
+
+    run_stage.__doc__ = stage.__doc__
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("toxicity", drop_toxic),
-    ("language_id", keep_known_languages),
-    ("jaccard_join", drop_near_duplicates),
-    ("decontamination", drop_contaminated),
-    ("packing", pack_sequences),
+    (name, in_small_batches(stage))
+    for name, stage in (
+        ("toxicity", drop_toxic),
+        ("language_id", keep_known_languages),
+        ("jaccard_join", drop_near_duplicates),
+        ("decontamination", drop_contaminated),
+        ("packing", pack_sequences),
+    )
 ]
 
 #: trained classifiers and a tokenizer decide, which SQL can't express
