@@ -21,7 +21,7 @@ def test_stages_decide_and_keep_columns(spark, monkeypatch):
         kept = result
     last = P.STAGES[-1][1](spark, kept, SF)
     assert {r.doc_id for r in last.select("doc_id").collect()} == {r.doc_id for r in kept.select("doc_id").collect()}
-    assert P.ORACLE_SQL is None and len(QUERIES) == 10
+    assert P.ORACLE_SQL is None and len(QUERIES) == 13
 
 
 def test_stages_take_awkward_rows(spark, monkeypatch):
