@@ -208,15 +208,64 @@ def test_images_become_rgb_and_bad_files_become_null(spark, tmp_path):
 
 
 def test_scratch_folder_comes_from_the_session(spark):
-    from variantflow.sources.scratch import new_folder, scratch_root, written
+    from variantflow.sources.scratch import new_folder, qualified, scratch_root, written
 
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    assert scratch_root(spark) == (root or scratch_root(spark)).rstrip("/")
+    assert scratch_root(spark) == qualified(spark, root or scratch_root(spark)).rstrip("/")
     assert new_folder(spark, "x") != new_folder(spark, "x")
     table = written(spark.range(5).withColumn("t", F.lit("a")))
     assert table.count() == 5 and isinstance(table.schema["t"].dataType, T.StringType)
 
 
+def test_a_folder_without_a_store_is_in_the_default_one(spark):
+    from variantflow.sources.scratch import qualified
+
+    assert qualified(spark, "/shared/ck") == "file:/shared/ck"
+    assert qualified(spark, "hdfs://nn:8020/ck") == "hdfs://nn:8020/ck"
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    hadoop.set("fs.defaultFS", "viewfs://store/")
+    hadoop.set("fs.viewfs.mounttable.store.link./shared", "file:///tmp")
+    try:
+        assert qualified(spark, "/shared/ck") == "viewfs://store/shared/ck"
+    finally:
+        hadoop.unset("fs.defaultFS")
+
+
+def test_a_killed_write_leaves_no_artifact(spark, tmp_path):
+    """What was begun has another name, which listings leave out; a second write replaces the first."""
+    from pyarrow import fs
+
+    from variantflow.sources import artifacts
+
+    path = str(tmp_path / "art" / "a.png")
+    for data in (b"first", b"second"):
+        df = spark.createDataFrame([(path, data)], "path string, content binary")
+        assert write_artifacts(df, "path", "content").first()["length"] == len(data)
+    assert (tmp_path / "art" / "a.png").read_bytes() == b"second"
+    assert [p.name for p in (tmp_path / "art").iterdir() if not p.name.startswith(".")] == ["a.png"]
+    (tmp_path / "art" / "_begun").write_bytes(b"cut")
+    assert artifact_manifest(spark, str(tmp_path / "art")).count() == 1
+
+    class Strict:
+        """A store that renames to free names only."""
+
+        def __init__(self):
+            self.inner, self.refused = fs.LocalFileSystem(), 0
+
+        def move(self, source, target):
+            if self.inner.get_file_info(target).type != fs.FileType.NotFound:
+                self.refused += 1
+                raise OSError("exists")
+            self.inner.move(source, target)
+
+        def delete_file(self, path):
+            self.inner.delete_file(path)
+
+    store = Strict()
+    artifacts._replace(store, str(tmp_path / "art" / "_begun"), path)
+    assert store.refused == 1 and (tmp_path / "art" / "a.png").read_bytes() == b"cut"
+
+
 INFERRED = {
     "yes\nno\ny": "string", "1d\n2f": "string", "12345678901234567890123\n12345678901234567890124": "string",
     "true\nFALSE\nTrue": "boolean", "true\n1": "string", "1\n-2\n+3": "int", "1\n3000000000": "bigint",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -92,10 +93,22 @@ def probe_artifacts(
     return df.withColumn(name, exists(F.col(path)))
 
 
+def _replace(system, source: str, target: str) -> None:
+    """Rename a file, also onto another one."""
+    try:
+        system.move(source, target)
+    except OSError:
+        # some stores rename to free names only
+        system.delete_file(target)
+        system.move(source, target)
+
+
 def write_artifacts(df: DataFrame, path: str, content: str) -> DataFrame:
     """Write each row's bytes to its path; (path, length) of what was written.
 
-    Lazy.  A repeated task writes the same file again, so retries are harmless.
+    Lazy.  A repeated task writes the same file again, so retries are harmless.  A
+    file has its name only when it is whole: a task that is killed while it writes
+    leaves none that is cut short.
     """
 
     default = default_store(df.sparkSession)
@@ -110,8 +123,11 @@ def write_artifacts(df: DataFrame, path: str, content: str) -> DataFrame:
                 if folder not in made:
                     system.create_dir(folder, recursive=True)
                     made.add(folder)
-                with system.open_output_stream(inside) as out:
+                # listings leave out names that start so
+                aside = f"{folder}/_{uuid.uuid4().hex}"
+                with system.open_output_stream(aside) as out:
                     out.write(data)
+                _replace(system, aside, inside)
                 paths.append(target)
                 sizes.append(len(data))
             yield pa.RecordBatch.from_arrays(

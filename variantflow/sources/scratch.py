@@ -4,10 +4,19 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """A folder with its store: without one it is in the session's default, also for what tasks write by themselves."""
+    if urlparse(folder).scheme:
+        return folder
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The cluster's checkpoint folder.
 
@@ -16,7 +25,7 @@ def scratch_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
-        return root.rstrip("/")
+        return qualified(spark, root).rstrip("/")
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
