@@ -154,3 +154,10 @@ def test_hashed_arrays(spark):
     found, columns = arrays.look_up(wanted)
     assert found.tolist() == [True, False, True, True, True]
     assert columns["place"].tolist() == [5, 0, 1, 0, 3]
+
+
+def test_other_keys_than_whole_numbers_are_refused(spark):
+    df = spark.createDataFrame([("a", "some words of a text")], "doc_id string, text string")
+    for operator in (jaccard_classes, one_of_each):
+        with pytest.raises(TypeError, match="whole number"):
+            operator(df)

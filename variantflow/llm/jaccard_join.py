@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from variantflow.llm.batches import BLANK, ODD, U, by_group, free_name, map_texts, memory_back, mix, quoted, slices_of_words
 from variantflow.llm.components import components
@@ -412,6 +413,8 @@ def _edges_of_blocks(members, texts, size: int, t: Fraction, block_shingles: int
 def _labels(docs: DataFrame, key: str, text: str, size: int, t: Fraction, block_shingles: int):
     """(rows (doc_id, n, sid), labels (sid, least, smallest)): each class with the smallest keys of it and of its component."""
     spark = docs.sparkSession
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} is no whole number; number the rows first, as with row_index")
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).alias("text"))
     rows = written(narrow.mapInArrow(memory_back(_set_batches(size, t)), SET_SCHEMA), "jaccard-sets")
     filled = rows.where("n > 0")
@@ -451,7 +454,7 @@ def jaccard_classes(
     """(key, n_shingles, component_id) of every row of ``docs``.
 
     ``component_id`` is the smallest key that links reach, the row's own
-    included.  NULL texts and texts without words have no shingles and are
+    included.  The key is a whole number; another one raises TypeError.  NULL texts and texts without words have no shingles and are
     linked with nothing.  Repeated rows and equal texts are one class.  A NULL
     key is never the smallest; a class of NULL keys alone has a NULL component.
     Other columns of ``docs`` are ignored.
@@ -490,7 +493,7 @@ def one_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each component stays, that of the smallest key.
 
-    Of repeated rows one stays.  Documents without words are linked with nothing
+    The key is a whole number; another one raises TypeError.  Of repeated rows one stays.  Documents without words are linked with nothing
     and all stay.  Where a component has NULL keys only, one of its rows stays.
     All columns are kept; no text is shuffled for it, as each task looks up its
     own rows in a sorted array of the classes that stay.
