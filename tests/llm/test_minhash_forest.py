@@ -113,3 +113,8 @@ def test_signatures_agree_as_sets_do():
 def test_candidates_connect_what_agrees():
     sig = np.array([[1, 1, 1, 1], [1, 1, 1, 2], [1, 1, 2, 2], [9, 9, 9, 9], [9, 9, 9, 8]])
     assert sorted(map(sorted, candidate_tree(sig, 3))) == [[0, 1], [1, 2], [3, 4]]
+
+
+def test_other_keys_than_whole_numbers_are_refused(spark):
+    with pytest.raises(TypeError, match="whole number"):
+        near_duplicates(spark.createDataFrame([("a", "some words of a text")], "doc_id string, text string"))

@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from variantflow.llm.batches import BLANK, ODD, U, by_group, mix, quoted, slices_of_words
 from variantflow.llm.components import components
@@ -377,7 +378,8 @@ def near_duplicates(
     """(key, n_shingles, component_id, kept) of every row of ``docs``.
 
     ``component_id`` is the smallest key that links reach, the row's own included;
-    ``kept`` tells that it is the row's own.  The key is a whole number.  NULL
+    ``kept`` tells that it is the row's own.  The key is a whole number; another
+    one raises TypeError.  NULL
     texts and texts without words have no shingles, are linked with nothing and
     kept.  Equal texts and repeated rows are one class, and rows that repeat the
     smallest key are all kept.  A NULL key is never the smallest; where a class
@@ -386,6 +388,8 @@ def near_duplicates(
     """
     t = Fraction(threshold)
     spark = docs.sparkSession
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise TypeError(f"{key} is no whole number; number the rows first, as with row_index")
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     narrow = docs.select(F.col(quoted(key)).cast("long").alias("doc_id"), F.col(quoted(text)).cast("string").alias("text"))
     rows = written(narrow.mapInArrow(_set_batches(size), SET_SCHEMA), "forest-sets")
@@ -398,7 +402,7 @@ def near_duplicates(
     ends = edges.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("degree"))
     members = blocks.join(ends, "sid").join(classes.select("sid", "least", "n"), "sid")
     hubs = members.groupBy("block").agg(F.max_by("sid", F.struct("degree", "sid")).alias("hub"))
-    members = written(members.join(hubs, "block").select("block", "hub", "sid", "least", "n"), "forest-members")
+    members = written(members.join(_small(hubs), "block").select("block", "hub", "sid", "least", "n"), "forest-members")
     found, stars = _confirmed(narrow, members, size, t, block_shingles, partitions)
     found = written(found, "forest-links")
     if stars:
