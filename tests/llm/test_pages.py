@@ -1,6 +1,7 @@
 import json
 import re
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,8 +39,68 @@ def test_best_run_has_the_highest_sum(scores):
 def test_main_text(weights):
     assert H.main_text(ARTICLE, weights) == "A title\n\nOne bold& two. Three\n\nFour five."
     assert H.main_text(OTHER, weights) == "Head\n\nFirst words here.\n\nOne\n\nTwo\n\nEnd <here>."
-    # without labelled pages the tags' costs and the names of elements do it
-    assert H.main_text(OTHER, H.learn([])) == H.main_text(OTHER, weights)
+
+
+def marked(i: int) -> tuple[str, str]:
+    """A page that marks its article, with names of elements that no list holds, and its text."""
+    title, first, last = f"Title {i}", f"First words of page {i} and more.", f"Last words of {i}, the end."
+    page = (
+        f'<html><body><div class="zork"><ul><li><a href="/">Home {i}</a></li></ul></div><div class="blurb">Buy {i} now</div>'
+        f'<article><h1>{title}</h1><p>{first}</p><p><b>{last}</b></p></article>'
+        f'<div class="outro"><a href="/">Seen {i} times</a> by us all</div></body></html>'
+    )
+    return page, f"{title}\n\n{first}\n\n{last}"
+
+
+def unmarked(page: str) -> str:
+    return re.sub(r"(</?)article\b", r"\1div", page)
+
+
+def test_learned_weights_find_the_text_of_pages_that_mark_nothing():
+    """Half of the pages teach; the lists are emptied, and nothing but weights and run decides."""
+    pages = [marked(i) for i in range(40)]
+    learned = H.learn([page for page, _ in pages[::2]], prior={})
+    for page, text in pages[1::2]:
+        assert H.main_text(unmarked(page), learned) == text == H.main_text(page, learned)
+        # neither the prior nor a scan without weights does it
+        assert H.main_text(unmarked(page), H.Weights()) != text != H.main_text(unmarked(page), H.Weights({}))
+
+
+def test_the_run_leaves_out_words_of_its_kind_far_from_it():
+    learned = H.learn([marked(i)[0] for i in range(40)])
+    page, text = marked(3)
+    late = "<div class='outro'>" + "seen before " * 20 + "</div><p>Stray note.</p>"
+    assert H.main_text(unmarked(page).replace("</body>", late + "</body>"), learned) == text
+    inside = page.replace("<p><b>", "<div class='blurb'>Buy it</div><p>Kept.</p><p><b>")
+    first, last = text.rsplit("\n\n", 1)
+    assert H.main_text(unmarked(inside), learned) == f"{first}\n\nKept.\n\n{last}"
+
+
+def test_prior_holds_where_pages_say_nothing_and_yields_where_they_do():
+    many = H.learn([ARTICLE] * 500)
+    comments = "<div class='comments'><p><b>Bold words of a reader</b></p><h1>Head</h1></div>"
+    assert H.main_text(OTHER.replace("<p>End", comments + "<p>End"), many) == H.main_text(OTHER, many)
+    listed = "<body><div class='junk'>No text</div><article class='widget'><p>All of it.</p></article></body>"
+    assert H.main_text(listed, many) == "No text"
+    # an article that is a widget by its class is text, once enough pages say so
+    assert H.main_text(listed, H.learn([ARTICLE] * 250 + [listed] * 250)) == "All of it."
+
+
+def test_fit_matches_plain_descent():
+    words = {("a",): [5, 1], ("a", "b"): [0, 7], ("c",): [3, 3], (): [1, 2]}
+    usual, found = H.fit(words, {"c": -2.0})
+
+    def loss(w):
+        total = (w[0] - H.USUAL) ** 2 / (2 * H.SPREAD**2) + (w[3] + 2) ** 2 / (2 * H.SELDOM_SPREAD**2)
+        total += (w[1] ** 2 + w[2] ** 2) / (2 * H.SPREAD**2)
+        for features, (other, content) in words.items():
+            odds = w[0] + sum(w[1 + "abc".index(f)] for f in features)
+            total += other * np.logaddexp(0, odds) + content * np.logaddexp(0, -odds)
+        return total
+
+    w = np.array([usual, found["a"], found["b"], found["c"]])
+    for step in np.vstack([np.eye(4), -np.eye(4)]) * 1e-3:
+        assert loss(w) < loss(w + step)
 
 
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "<!--", "</p></div>", "<script>", "<nav>only a menu</nav>", "\x00", "<p/>" * 50])

@@ -2,12 +2,16 @@
 
 A page is a row of tags and words.  A word scores by the elements it stands in, a
 tag has a cost, and one scan finds the contiguous run of the page whose sum is
-highest.  Blocks in that run are the text, without elements that are never
-article text (menus, forms, scripts, adverts, reader comments and the like).
-
-The scores are log-odds learned from labelled pages.  Pages with one ``article``
-or ``main`` element carry their label themselves: its words are content, all
-others are not.  At most ``sample`` such pages are looked at.
+highest.  The words of that run whose own score is positive are the text, so a
+short advert or menu inside the run goes too.
+
+Scores are weights of a logistic regression on the names and class words of the
+elements around a word, learned from labelled pages.  Pages with an ``article`` or
+``main`` element carry their label themselves: its words are content, all others
+are not.  Those two elements are never features, so the weights hold for pages that
+mark nothing.  Names that usually hold no article text (menus, forms, adverts, reader
+comments and the like) are no rule but a prior: their weights start low, and labelled
+pages move them like any other.  At most ``sample`` labelled pages are looked at.
 """
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ import re
 from collections import Counter
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,11 +30,16 @@ from pyspark.sql import functions as F
 from variantflow.llm.batches import fitted_to_sample, map_texts, quoted
 
 SAMPLE = 500
-#: bounds of a word's score; the cost of a tag is kept below half the least positive one
-WORD_RANGE = (-2.0, 2.0)
+#: bounds of a word's score; the cost of a tag is kept below half the least positive one, and words that
+#: are cut out anyway are a small reason to end the text before them
+WORD_RANGE = (-0.2, 2.0)
 TAG_COST = (0.05, 0.4)
-#: words that are cut out anyway are only a small reason to end the text before them
-BARRED_WORD = -0.1
+#: prior of the weights: mean of a word without features, mean of a name that is seldom article text,
+#: and how far data move such a name, and any other
+USUAL, SELDOM = 1.0, -8.0
+SELDOM_SPREAD, SPREAD = 4.0, 0.5
+#: steps of the fit
+STEPS = 300
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
@@ -58,6 +68,11 @@ NOT_TEXT = frozenset(
     "sponsored subscribe toolbar widget complementary contentinfo search alert dialog".split()
 )
 CONTENT = ("article", "main")
+#: containers that tell nothing by their name
+GENERIC = frozenset(("html", "body", "div", "span", *CONTENT))
+HIDDEN = "(hidden)"
+#: means of the weights before any page is seen
+PRIOR = {name: SELDOM for name in (*sorted(BOILERPLATE), "header", HIDDEN, *(f".{w}" for w in sorted(NOT_TEXT)))}
 
 
 @dataclass
@@ -68,16 +83,14 @@ class Segment:
     words: int
     features: tuple[str, ...]
     block: int
-    barred: bool  # inside an element that is never article text
-    labelled: bool  # inside article or main
+    own: int  # how many features those of article or main around it are; -1 outside
 
 
 @dataclass
 class Open:
     name: str
     features: tuple[str, ...]
-    barred: bool
-    labelled: bool
+    own: int
 
 
 def _names(attributes: str) -> tuple[set[str], bool]:
@@ -96,7 +109,7 @@ def _names(attributes: str) -> tuple[set[str], bool]:
 def segments(page: str) -> list[Segment]:
     """The tags and texts of a page in order."""
     out: list[Segment] = []
-    stack = [Open("", (), False, False)]
+    stack = [Open("", (), -1)]
     block = at = 0
     end = len(page)
 
@@ -105,7 +118,7 @@ def segments(page: str) -> list[Segment]:
         words = len(text.split())
         top = stack[-1]
         if text:
-            out.append(Segment(text, words, top.features, block, top.barred, top.labelled))
+            out.append(Segment(text, words, top.features, block, top.own))
 
     while at < end:
         found = TOKEN.search(page, at)
@@ -123,7 +136,7 @@ def segments(page: str) -> list[Segment]:
             depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].name == name), 0)
             if depth:
                 del stack[depth:]
-            out.append(Segment("", 0, (f"/{name}",), block, stack[-1].barred, stack[-1].labelled))
+            out.append(Segment("", 0, (f"/{name}",), block, stack[-1].own))
             continue
         if name in CLOSES_P or name in CLOSED_BY_SAME:
             for i in range(len(stack) - 1, 0, -1):
@@ -133,7 +146,7 @@ def segments(page: str) -> list[Segment]:
                 if stack[i].name not in INLINE and stack[i].name != "p":
                     break
         top = stack[-1]
-        out.append(Segment("", 0, (name,), block, top.barred, top.labelled))
+        out.append(Segment("", 0, (name,), block, top.own))
         if name in VOID:
             continue
         if name in RAW:
@@ -141,68 +154,98 @@ def segments(page: str) -> list[Segment]:
             at = close.end() if close else end
             continue
         words, hidden = _names(found[3] or "")
-        inside = top.labelled or name in CONTENT
-        barred = top.barred or hidden or name in BOILERPLATE or bool(words & NOT_TEXT) and name not in ("html", "body", *CONTENT)
-        barred = barred or name == "header" and not top.labelled
-        features = tuple(dict.fromkeys((*top.features, name, *sorted(f".{w}" for w in words))))
-        stack.append(Open(name, features, barred, inside))
+        told = [f".{w}" for w in sorted(words)] if name not in ("html", "body") else []
+        if hidden:
+            told.append(HIDDEN)
+        if name not in GENERIC:
+            # the header of an article is another thing than that of a page
+            told.insert(0, "article header" if name == "header" and top.own >= 0 else name)
+        features = tuple(dict.fromkeys((*top.features, *told)))
+        stack.append(Open(name, features, len(features) if top.own < 0 and name in CONTENT else top.own))
     return out
 
 
 @dataclass
 class Weights:
-    """Scores of the features that words stand in, and costs of tags."""
+    """Weights of the features that words stand in, and costs of tags."""
 
-    features: dict[str, float] = field(default_factory=dict)
+    features: dict[str, float] = field(default_factory=lambda: dict(PRIOR))
     tags: dict[str, float] = field(default_factory=dict)
-    usual: float = 0.5
+    usual: float = USUAL
+
+    def word(self, features: tuple[str, ...]) -> float:
+        """Log-odds that a word in these elements is content."""
+        return self.usual + sum(self.features.get(f, 0.0) for f in features)
 
     def score(self, s: Segment) -> float:
         if not s.text:
             return -self.tags.get(s.features[0], sum(TAG_COST) / 2)
         if not s.words:
             return 0.0
-        if s.barred:
-            return s.words * BARRED_WORD
-        total = self.usual + sum(self.features.get(f, 0.0) for f in s.features)
-        total = min(max(total, WORD_RANGE[0]), WORD_RANGE[1])
+        total = min(max(self.word(s.features), WORD_RANGE[0]), WORD_RANGE[1])
         # a word of a kind that is seen in content is worth more than the tags around it
         return s.words * (max(total, 2 * TAG_COST[1] + 0.1) if total > 0 else total)
 
 
-def learn(pages: list[str]) -> Weights:
-    """Weights from pages that mark their content themselves; other pages teach nothing."""
-    words = {True: Counter(), False: Counter()}
+def learn(pages: list[str], prior: dict[str, float] | None = None) -> Weights:
+    """Weights from pages that mark their content; other pages teach nothing, and without any the prior is left.
+
+    A page counts once for each set of features that its words stand in, so that
+    long pages do not outweigh others.  A word in an element of low prior inside
+    the marked one is labelled as no content; the marked one may have any name.
+    """
+    prior = PRIOR if prior is None else prior
+    words: dict[tuple[str, ...], list[int]] = {}
     tags = {True: Counter(), False: Counter()}
     for page in pages:
         parts = segments(page)
-        if not any(s.labelled for s in parts):
+        if all(s.own < 0 for s in parts):
             continue
+        seen = set()
         for s in parts:
-            # what stands in a barred element is known already, and would blame the containers around it
-            content = s.labelled
-            if s.barred:
-                continue
-            if s.text:
-                words[content][""] += s.words
-                for f in s.features:
-                    words[content][f] += s.words
-            else:
-                tags[content][""] += 1
-                tags[content][s.features[0]] += 1
-    if not words[True][""]:
-        return Weights()
-
-    def odds(counts, feature: str) -> float:
-        return math.log((counts[True][feature] + 1) / (counts[False][feature] + 1))
-
-    low, high = WORD_RANGE
-    found = {f: min(max(odds(words, f), low), high) / 2 for f in set(words[True]) | set(words[False]) if f}
+            if s.words:
+                seen.add((s.features, s.own >= 0 and not any(prior.get(f, 0.0) < 0 for f in s.features[s.own :])))
+            elif not s.text:
+                tags[s.own >= 0][s.features[0]] += 1
+        for features, content in seen:
+            words.setdefault(features, [0, 0])[content] += 1
+    if not words:
+        return Weights(dict(prior))
+    usual, found = fit(words, prior)
     costs = {}
-    for f in (set(tags[True]) | set(tags[False])) - {""}:
+    for f in sorted(set(tags[True]) | set(tags[False])):
         # the less a tag is one of content, the more it costs
-        costs[f] = TAG_COST[0] + (TAG_COST[1] - TAG_COST[0]) / (1 + math.exp(odds(tags, f)))
-    return Weights(found, costs)
+        odds = math.log((tags[True][f] + 1) / (tags[False][f] + 1))
+        costs[f] = TAG_COST[0] + (TAG_COST[1] - TAG_COST[0]) / (1 + math.exp(odds))
+    return Weights({**prior, **found}, costs, usual)
+
+
+def fit(words: dict[tuple[str, ...], list[int]], prior: dict[str, float]) -> tuple[float, dict[str, float]]:
+    """The likeliest intercept and weights, given counts (other, content) of sets of features and a normal prior.
+
+    Accelerated gradient steps, each weight's step bounded by its own curvature, so no step size is chosen.
+    """
+    sets = sorted(words)
+    names = sorted({f for features in sets for f in features})
+    place = {f: i + 1 for i, f in enumerate(names)}
+    mean = np.array([USUAL, *(prior.get(f, 0.0) for f in names)])
+    stiff = np.array([SPREAD, *(SELDOM_SPREAD if f in prior else SPREAD for f in names)]) ** -2.0
+    # the intercept is a feature of every set
+    row = np.array([i for i, features in enumerate(sets) for _ in range(len(features) + 1)])
+    column = np.array([j for features in sets for j in (0, *(place[f] for f in features))])
+    counts = np.array([words[features] for features in sets], float)
+    total, size = counts.sum(axis=1), np.bincount(row)
+    curve = stiff + np.bincount(column, (total * size)[row] / 4, len(mean))
+    weights, ahead, pace = mean.copy(), mean.copy(), 1.0
+    for _ in range(STEPS):
+        odds = np.bincount(row, ahead[column], len(sets))
+        missed = counts[:, 1] - total / (1 + np.exp(-odds))
+        slope = np.bincount(column, missed[row], len(mean)) - stiff * (ahead - mean)
+        after = ahead + slope / curve
+        faster = (1 + math.sqrt(1 + 4 * pace * pace)) / 2
+        ahead = after + (pace - 1) / faster * (after - weights)
+        weights, pace = after, faster
+    return float(weights[0]), {f: float(weights[i]) for f, i in place.items()}
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:
@@ -220,19 +263,18 @@ def best_run(scores: list[float]) -> tuple[int, int]:
 
 
 def main_text(page: str | None, weights: Weights) -> str:
-    """Blocks of the best run, each with single blanks, in page order, joined by two line ends."""
+    """Content of the best run in blocks, each with single blanks, in page order, joined by two line ends."""
     if not page:
         return ""
     parts = segments(page)
     start, end = best_run([weights.score(s) for s in parts])
     blocks: dict[int, list[str]] = {}
     for s in parts[start:end]:
-        if not s.barred:
-            # a line break or another inline tag without text is a blank only where it breaks the line
-            if s.text:
-                blocks.setdefault(s.block, []).append(s.text)
-            elif s.features[0] == "br":
-                blocks.setdefault(s.block, []).append(" ")
+        # another inline tag without text is no blank, a line break is one
+        if s.text and weights.word(s.features) > 0:
+            blocks.setdefault(s.block, []).append(s.text)
+        elif not s.text and s.features[0] == "br":
+            blocks.setdefault(s.block, []).append(" ")
     joined = (" ".join("".join(found).split()) for _, found in sorted(blocks.items()))
     return "\n\n".join(x for x in joined if x)
 
