@@ -150,6 +150,38 @@ def test_records_are_linked(spark):
     assert W.derivatives(W.derivatives(responses)).collect() == []  # only responses have derivatives
 
 
+def archived(body: bytes, head: bytes = b"") -> bytes:
+    block = b"HTTP/1.1 200 OK\r\n" + head + b"\r\n" + body
+    fields = b"WARC-Type: response\r\nWARC-Record-ID: <urn:uuid:1>\r\nWARC-Concurrent-To: a\r\nWARC-Concurrent-To: b\r\n"
+    return b"WARC/1.1\r\n" + fields + b"Content-Length: %d\r\n\r\n" % len(block) + block + b"\r\n\r\n"
+
+
+def test_repeated_headers_are_all_kept():
+    head = b"Set-Cookie: a=1\r\nVia: x\r\nset-cookie: b=2\r\nSet-Cookie: a=1\r\n"
+    (source,) = W.parse(archived(b"<p>hi", head))
+    metadata, conversion = W.derive(dict(zip(W.NAMES, source)))
+    told = json.loads(metadata[-1])["Envelope"]
+    assert told["WARC-Header-Metadata"]["WARC-Concurrent-To"] == ["a", "b"]
+    http = told["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"]
+    assert http == {"Set-Cookie": ["a=1", "b=2", "a=1"], "Via": "x"}
+    assert conversion[-1] == "hi" and conversion[2] == "<urn:uuid:1>"
+
+
+@pytest.mark.parametrize(
+    "head, body, text",
+    [
+        (b"", "caf\u00e9".encode(), "caf\u00e9"),
+        (b"", b"caf\xe9", "caf\u00e9"),
+        (b"Content-Type: text/html; charset=windows-1251\r\n", b"\xef\xf0\xe8", "\u043f\u0440\u0438"),
+        (b"Content-Type: text/html; charset=nonsense\r\n", b"\xff", "\u00ff"),
+        (b"", b"<p>" + b"w\xe9rd " * 300_000, ("w\u00e9rd " * 300_000).strip()),
+    ],
+)
+def test_blocks_of_any_bytes_are_read(head, body, text):
+    records = list(W.parse(archived(body, head) + archived(b"next")))
+    assert [list(W.derive(dict(zip(W.NAMES, r))))[1][-1] for r in records] == [text, "next"]
+
+
 def test_archives_round_trip(spark, tmp_path):
     responses = W.responses_of_pages(pages_of(spark)).drop("page_id")
     records = responses.unionByName(W.derivatives(responses)).repartition(3)

@@ -140,6 +140,15 @@ def read_page(page: str, base: str | None) -> tuple[str | None, list[dict], str]
     return title, links, "\n".join(x for x in lines if x)
 
 
+def by_name(fields: list[tuple[str, str]]) -> dict[str, str | list[str]]:
+    """Header values by name, in order; a name that is given more than once, in any case, has the list of its values."""
+    spelled: dict[str, str] = {}
+    values: dict[str, list[str]] = {}
+    for name, value in fields:
+        values.setdefault(spelled.setdefault(name.lower(), name), []).append(value)
+    return {name: found[0] if len(found) == 1 else found for name, found in values.items()}
+
+
 def derive(source: dict) -> Iterator[tuple]:
     """The metadata and the conversion record of a response record."""
     status, http, body = split_http(source["content"] or "")
@@ -151,11 +160,11 @@ def derive(source: dict) -> Iterator[tuple]:
     title, links, text = read_page(body, source["target_uri"])
     envelope = {
         "Envelope": {
-            "WARC-Header-Metadata": {h["name"]: h["value"] for h in source["headers"] or []},
+            "WARC-Header-Metadata": by_name([(h["name"], h["value"]) for h in source["headers"] or []]),
             "Payload-Metadata": {
                 "HTTP-Response-Metadata": {
                     "Response-Message": status,
-                    "Headers": dict(http),
+                    "Headers": by_name(http),
                     "Entity-Length": len(body.encode()),
                     "Entity-Digest": source["payload_digest"],
                     "HTML-Metadata": {"Head": {"Title": title}, "Links": links},
@@ -268,17 +277,35 @@ def to_bytes(headers: list[dict], content: str) -> bytes:
     return f"WARC/1.1\r\n{head}\r\n".encode() + content.encode() + b"\r\n\r\n"
 
 
+CHARSET = re.compile(rb"charset\s*=\s*[\"']?([\w.:-]+)", re.I)
+
+
+def decoded(block: bytes) -> str:
+    """A block as text: UTF-8, or else the character set that it names, or else latin1, which any byte is."""
+    named = CHARSET.search(block[:4096])
+    for charset in ("utf-8", *([named[1].decode("ascii", "replace")] if named else [])):
+        try:
+            return block.decode(charset)
+        except (UnicodeError, LookupError):
+            continue
+    return block.decode("latin1")
+
+
 def parse(data: bytes) -> Iterator[tuple]:
-    """Records of an archive (not compressed), whatever their type."""
+    """Records of an archive (not compressed), whatever their type.
+
+    Blocks and headers that are no UTF-8 are decoded as :func:`decoded` says.  Ids and
+    digests stay those of the source; the length is that of the content as UTF-8.
+    """
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode().split("\r\n")
+        lines = decoded(data[at:end]).split("\r\n")
         if not lines[0].startswith("WARC/"):
             raise ValueError(f"no record at byte {at}")
         fields = [(k, v.strip()) for k, _, v in (x.partition(":") for x in lines[1:])]
         size = int(next(v for k, v in fields if k.lower() == "content-length"))
-        content = data[end + 4 : end + 4 + size].decode()
+        content = decoded(data[end + 4 : end + 4 + size])
         yield _row([(k, v) for k, v in fields if k.lower() != "content-length"], content)
         at = end + 4 + size + 4
 
