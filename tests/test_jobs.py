@@ -12,6 +12,7 @@ from variantflow.operators.variants import fan_out
 from variantflow.plans import jobs
 from variantflow.schemas import SCORE_COLUMNS, SLUGS, VARIANTS
 from variantflow.sources.csv import csv_scan, numbered
+from variantflow.sources.published import current_version, read_published
 
 STUB = {"policy": FAST, "sleep": no_sleep}
 TEXTS = ["first\nline", 'a "quoted" one', "third", "NA", "fifth, last", *[f"t{i}" for i in range(20)]]
@@ -51,11 +52,11 @@ def test_jobs_from_csv_to_scores(spark, source, tmp_path):
     for r in counters.collect():
         counts[r["outcome"]] = counts.get(r["outcome"], 0) + r["n_rows"]
     assert sum(counts.values()) == 4 * len(TEXTS) and counts["null_input"] == 4
-    wide = spark.read.parquet(f"{out}/wide")
+    wide = read_published(spark, f"{out}/wide")
     assert wide.count() == len(TEXTS) and {"Description", "extra"} < set(wide.columns)
-    state = spark.read.parquet(f"{out}/state")
+    state = read_published(spark, f"{out}/state")
     assert state.count() == counts["ok"]
-    dead = spark.read.parquet(f"{out}/dead")
+    dead = read_published(spark, f"{out}/dead")
     assert dead.count() == counts.get("failed", 0) + 4
     for r in state.collect():
         assert r["reply"] == f"[{r['variant']}] {TEXTS[r['row_idx']]}"
@@ -73,7 +74,7 @@ def test_jobs_from_csv_to_scores(spark, source, tmp_path):
 
     jobs.rewrite_job(spark, source, str(tmp_path / "again"), stub_service, **STUB)
     jobs.rewrite_job(spark, source, str(tmp_path / "again"), shouting, redo=True, **STUB)
-    loud = spark.read.parquet(str(tmp_path / "again" / "state"))
+    loud = read_published(spark, str(tmp_path / "again" / "state"))
     assert loud.count() == 4 * (len(TEXTS) - 1)
     assert all(r["reply"] == r["original_text"].upper() for r in loud.collect())
 
@@ -123,7 +124,108 @@ def test_incremental_job(spark, tmp_path):
     other = str(tmp_path / "batch")
     jobs.rewrite_job(spark, source, other, stub_service, **STUB)
     # both ran every pair once more after a failure
-    assert rows(spark.read.parquet(f"{out}/wide")) == rows(spark.read.parquet(f"{other}/wide"))
+    assert rows(read_published(spark, f"{out}/wide")) == rows(read_published(spark, f"{other}/wide"))
+
+
+def test_incremental_job_of_csv_files(spark, tmp_path):
+    """Rows keep the numbers that they got when their file was first seen, also after a restart or a lost checkpoint."""
+    source, out = tmp_path / "in.csv", str(tmp_path / "out")
+    source.mkdir()
+    calls = spark.sparkContext.accumulator(0)
+
+    def client():
+        def call(request, attempt):
+            calls.add(1)
+            return 200, request["original_text"].upper()
+
+        return call
+
+    def add(name, texts, head="Description,n"):
+        (source / name).write_text(head + "\n" + "".join(f'"{t}",{i}\n' for i, t in enumerate(texts)))
+
+    def run():
+        before = calls.value
+        jobs.incremental_rewrite_job(spark, str(source), out, client, **STUB)
+        got = {r["row_idx"]: (r["Description"], r["n"], r["description_positive"]) for r in read_published(spark, f"{out}/wide").collect()}
+        return got, calls.value - before
+
+    add("c+d %20.csv", ["three"])
+    assert run() == ({0: ("three", 0, "THREE")}, 4)
+    add("b 1.csv", ["one", "two\nlines"])
+    first, made = run()
+    assert sorted(first.values()) == [("one", 0, "ONE"), ("three", 0, "THREE"), ("two\nlines", 1, "TWO\nLINES")]
+    assert sorted(first) == [0, 1, 2] and first[0][0] == "three" and made == 8
+    assert run() == (first, 0)
+    add("a.csv", ["zero", "one"])  # before the others by its name
+    second, made = run()
+    assert {k: v for k, v in second.items() if k in first} == first and made == 8
+    assert {k: v[0] for k, v in second.items() if k not in first} == {3: "zero", 4: "one"}
+    (tmp_path / "out" / "checkpoint").rename(tmp_path / "lost")
+    assert run() == (second, 0)
+    add("e.csv", ["x"], head="n,Description")
+    with pytest.raises(Exception, match="columns of new files"):
+        run()
+    assert {r["row_idx"] for r in read_published(spark, f"{out}/wide").collect()} == set(second)
+
+
+def test_a_publication_writes_touched_buckets_and_shows_whole_versions_only(spark, tmp_path, monkeypatch):
+    from variantflow.sources import published as P
+
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+
+    def add(lo, hi):
+        spark.range(lo, hi).select(
+            F.col("id").alias("row_idx"), F.concat(F.lit("t"), F.col("id").cast("string")).alias("Description")
+        ).coalesce(1).write.mode("append").parquet(source)
+
+    def client():
+        return lambda request, attempt: (200, request["original_text"].upper())
+
+    def run():
+        return jobs.incremental_rewrite_job(spark, source, out, client, **STUB)
+
+    def shown():
+        return {t: rows(read_published(spark, f"{out}/{t}")) for t in ("wide", "state", "dead")}
+
+    add(0, 200)
+    run()
+    before = shown()
+    add(200, 201)
+    # the run stops between any two tables, and before its list has its name
+    write, stopped = P._write_list, RuntimeError("stopped")
+
+    def stop(*args):
+        raise stopped
+
+    monkeypatch.setattr(P, "_write_list", stop)
+    with pytest.raises(RuntimeError, match="stopped"):
+        run()
+    assert shown() == before and current_version(spark, out).number == 1
+    monkeypatch.setattr(P, "_write_list", write)
+    counters = run()
+    assert sum(r["n_rows"] for r in counters.collect()) == 4 * 201
+    after = shown()
+    assert len(after["wide"]) == 201 and len(after["state"]) == 804 and set(before["wide"]) < set(after["wide"])
+    version = current_version(spark, out)
+    for table in ("wide", "state"):
+        assert [n for n in version.tables[table]["written"].values()].count(2) == 1
+    # rows that are read from the version before stay readable; what no kept version names is deleted
+    held = read_published(spark, f"{out}/wide")
+    add(201, 202)
+    run()
+    assert held.count() == 201 and len(shown()["wide"]) == 202
+    add(202, 400)
+    run()
+    run()
+    assert sorted(p.name for p in (tmp_path / "out" / "versions").glob("*.json")) == ["4.json", "5.json"]
+    assert len(shown()["wide"]) == 400
+    named = {(v, b) for n in (4, 5) for b, v in P._version(spark, out, n).tables["wide"]["written"].items()}
+    there = {tuple(p.name.partition("=")[2] for p in (f.parent, f)) for f in (tmp_path / "out/versions/wide").glob("*/_bucket=*")}
+    assert {(int(v), b) for v, b in there} == named
+    # a run over all rows of another source publishes everything
+    spark.createDataFrame([(7, "other")], "row_idx long, Description string").write.parquet(str(tmp_path / "small"))
+    jobs.rewrite_job(spark, str(tmp_path / "small"), out, client, **STUB)
+    assert [r[:3] for r in shown()["wide"]] == [(7, "other", "OTHER")]
 
 
 def test_arguments_and_clients():
@@ -208,7 +310,7 @@ def test_rows_that_share_a_key_get_their_own_replies(spark, tmp_path):
 
     for slice_rows in (3, 3, None):
         jobs.rewrite_job(spark, source, out, client, slice_rows=slice_rows, **STUB)
-        wide = spark.read.parquet(f"{out}/wide")
+        wide = read_published(spark, f"{out}/wide")
         assert wide.count() == len(given)
         for r in wide.collect():
             told = None if r["Description"] is None else [f"{v}:{r['Description']}" for v in VARIANTS]
@@ -227,9 +329,9 @@ def test_a_text_that_changes_under_its_key_is_new_work(spark, tmp_path):
         source = str(tmp_path / f"in{n}")
         spark.createDataFrame([(1, text), (2, "same")], "row_idx long, Description string").write.parquet(source)
         jobs.rewrite_job(spark, source, out, lambda: lambda request, attempt: (200, request["original_text"].upper()), **STUB)
-    wide = {r["row_idx"]: r["description_positive"] for r in spark.read.parquet(f"{out}/wide").collect()}
+    wide = {r["row_idx"]: r["description_positive"] for r in read_published(spark, f"{out}/wide").collect()}
     assert wide == {1: "NEW", 2: "SAME"}
-    state = spark.read.parquet(f"{out}/state")
+    state = read_published(spark, f"{out}/state")
     assert sorted((r["row_idx"], r["reply"]) for r in state.collect()) == [(1, "NEW")] * 4 + [(2, "SAME")] * 4
     assert spark.read.parquet(f"{out}/log").count() == 12
 

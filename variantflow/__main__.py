@@ -22,7 +22,8 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     rewrite.add_argument("--redo", action="store_true", help="call finished pairs again")
     rewrite.add_argument("--spread-to", type=int, help="tasks to spread the rows over")
     rewrite.add_argument("--slice-rows", type=int, default=jobs.SLICE_ROWS, help="rows that are called before they are kept")
-    rewrite.add_argument("--incremental", action="store_true", help="new Parquet files only")
+    rewrite.add_argument("--incremental", action="store_true", help="new files of a folder only")
+    rewrite.add_argument("--format", choices=("csv", "parquet"), help="of the files of --incremental; else by the folder's name")
     rewrite.add_argument("--max-files", type=int, help="files in a micro-batch")
     rewrite.add_argument("--pause", type=float, default=RetryPolicy.pause_s)
     rewrite.add_argument("--in-flight", type=int, default=RetryPolicy.in_flight)
@@ -52,7 +53,7 @@ def main(argv: list[str] | None = None) -> None:
         client = jobs.client_of(args.client)
         if args.incremental:
             counters = jobs.incremental_rewrite_job(
-                spark, args.source, args.out, client, max_files=args.max_files, **common
+                spark, args.source, args.out, client, max_files=args.max_files, fmt=args.format, **common
             )
         else:
             counters = jobs.rewrite_job(

@@ -76,6 +76,19 @@ def _header(spark: SparkSession, path: str | Sequence[str], multi_line: bool) ->
     return names
 
 
+def same_header(spark: SparkSession, files: Sequence[str]) -> list[str]:
+    """Column names of files whose first lines are the same; other files raise."""
+    lines = spark.read.option("lineSep", "\n").text(list(files)).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"),
+        F.rtrim("value", F.lit("\r")).alias("value"), F.monotonically_increasing_id().alias("line"),
+    )
+    first = lines.filter("at = 0").groupBy("file").agg(F.min_by("value", "line").alias("value"))
+    found = first.groupBy("value").agg(F.min("file").alias("file")).orderBy("file").limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"different columns in {found[0]['file']} and {found[1]['file']}")
+    return _header(spark, files, multi_line=True)
+
+
 def _folders(df: DataFrame) -> set[str]:
     """Columns that come from folder names ``name=value``."""
     files = df.inputFiles()[:1]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantflow.schemas import STATE_SCHEMA, VARIANTS, slug_of, variant_state_schema
+from variantflow.sources.published import read_published
 
 
 def read_if_exists(
@@ -39,6 +40,10 @@ def load_or_init(
     Reads what :func:`save_variant_tables` writes, and the state that the rewrite
     job publishes, which names the source's text ``original_text``.
     """
+    published = read_published(spark, root)
+    if published is not None:
+        found = {v: published.where(F.col("slug") == slug_of(v)).select("original_text", "reply") for v in variants}
+        return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
     stored = f"original_text string, {_STORED}"
     found = {v: read_if_exists(spark, _table_path(root, v), stored) for v in variants}
     if all(t is not None for t in found.values()):

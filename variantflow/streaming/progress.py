@@ -9,7 +9,7 @@ from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -36,13 +36,14 @@ def query_id(spark: SparkSession, checkpoint: str) -> str:
 def incremental_progress(
     spark: SparkSession,
     source: str,
-    schema: T.StructType,
+    schema: T.StructType | None,
     work: Callable[[DataFrame], DataFrame],
     log: str,
     checkpoint: str,
     *,
     max_files: int | None = None,
     fmt: str = "parquet",
+    rows_of: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Run ``work`` on each micro-batch of new files and append to the log.
 
@@ -51,18 +52,26 @@ def incremental_progress(
     its folder.  The checkpoint remembers finished files: a restart with the
     same one makes no call again.  Folders are named by the id in the checkpoint,
     so a new checkpoint at the same place starts new folders and replaces none.
+
+    ``rows_of(files, place)`` turns (path) of a micro-batch's new files into its rows, for
+    formats that a stream can't read as they are; ``place`` names the micro-batch.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        run = query_id(batch.sparkSession, checkpoint)
-        logged(work(batch)).write.mode("overwrite").parquet(f"{log}/run={run}/batch={batch_id}")
+        place = f"run={query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
+        rows = rows_of(batch, place) if rows_of else batch
+        logged(work(rows)).write.mode("overwrite").parquet(f"{log}/{place}")
 
-    stream = spark.readStream.schema(schema).format(fmt)
+    # of files as they are
+    listed = "path string, modificationTime timestamp, length long, content binary"
+    stream = spark.readStream.schema(listed if rows_of else schema).format("binaryFile" if rows_of else fmt)
     if max_files:
         stream = stream.option("maxFilesPerTrigger", max_files)
+    found = stream.load(source)
+    # only the names of files are asked for: their content is not read
+    found = found.select("path") if rows_of else found
     return (
-        stream.load(source)
-        .writeStream.foreachBatch(append)
+        found.writeStream.foreachBatch(append)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -83,6 +92,7 @@ def current_state(
     key: Sequence[str] = ("row_idx", "variant"),
     source: DataFrame | None = None,
     identified: bool = False,
+    where: Column | None = None,
 ) -> DataFrame:
     """Newest result of each key and text.
 
@@ -90,17 +100,13 @@ def current_state(
     The winner is found without the texts, which are joined to it only where the
     result's texts are used.  ``source``, (row_idx, text_id) of the rows as they
     are now, leaves out results of other texts that its keys had.  ``identified``
-    keeps the column ``text_id``.
+    keeps the column ``text_id``.  ``where`` reads a part of the log by its keys.
     """
-    narrow, key = current_outcomes(spark, log, key), list(key)
-    if source is not None:
-        now = source.distinct()
-        same = narrow["row_idx"].eqNullSafe(now["row_idx"])
-        held = narrow.join(now, same & (narrow["text_id"] == now["text_id"]), "left_semi")
-        keys = source.select("row_idx").distinct()
-        gone = narrow.join(keys, narrow["row_idx"].eqNullSafe(keys["row_idx"]), "left_anti")
-        narrow = held.unionByName(gone)
+    key = list(key)
+    narrow = current_pairs(spark, log, key, source, where)
     rows = read_log(spark, log)
+    if where is not None:
+        rows = rows.where(where)
     stamp = [*key, "text_id", "logged_at", "pass"]
     same = [rows[c].eqNullSafe(narrow[c]) for c in stamp]
     held = rows.join(narrow.select(*stamp), reduce(and_, same), "left_semi")
@@ -109,12 +115,46 @@ def current_state(
     return held if identified else held.drop("text_id")
 
 
+def current_pairs(
+    spark: SparkSession,
+    log: str,
+    key: Sequence[str] = ("row_idx", "variant"),
+    source: DataFrame | None = None,
+    where: Column | None = None,
+) -> DataFrame:
+    """:func:`current_outcomes` of the texts that :func:`current_state` keeps; reads no text of the log."""
+    narrow = current_outcomes(spark, log, key, where)
+    if source is None:
+        return narrow
+    now = source.distinct()
+    same = narrow["row_idx"].eqNullSafe(now["row_idx"])
+    held = narrow.join(now, same & (narrow["text_id"] == now["text_id"]), "left_semi")
+    keys = source.select("row_idx").distinct()
+    gone = narrow.join(keys, narrow["row_idx"].eqNullSafe(keys["row_idx"]), "left_anti")
+    return held.unionByName(gone)
+
+
+def log_folders(spark: SparkSession, log: str) -> DataFrame:
+    """(row_idx, folder) of all stored results: the folder ``run=.../batch=...`` that each was written to."""
+    rows = read_if_exists(spark, log, STORED_LOG_SCHEMA)
+    if rows is None:
+        return spark.createDataFrame([], "row_idx long, folder string")
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(run=[^/]*/batch=[^/]*)/[^/]*$", 1)
+    return rows.select("row_idx", folder.alias("folder"))
+
+
 def current_outcomes(
-    spark: SparkSession, log: str, key: Sequence[str] = ("row_idx", "variant")
+    spark: SparkSession,
+    log: str,
+    key: Sequence[str] = ("row_idx", "variant"),
+    where: Column | None = None,
 ) -> DataFrame:
     """(key, text_id, pass, outcome, logged_at) of the newest result of each key and text; reads no text."""
     columns = [*key, "text_id", "pass", "outcome", "logged_at"]
-    rows = read_log(spark, log).select(*columns).withColumn("_ok", F.col("outcome") == "ok")
+    rows = read_log(spark, log).select(*columns)
+    if where is not None:
+        rows = rows.where(where)
+    rows = rows.withColumn("_ok", F.col("outcome") == "ok")
     return latest(rows, [*key, "text_id"], ("_ok", "logged_at", "pass")).select(*columns)
 
 
