@@ -3,13 +3,15 @@
 Each document becomes a vector of transformed statistics.  For each language and
 source, the minimum-covariance-determinant estimate of location and scatter is
 found by concentration steps: take the rows closest to the present estimate, a
-fixed share of the group, estimate again from those, for ``STEPS`` steps.  The
-scatter of a core is widened to that of a whole normal group.  A row whose
+fixed share of the group, and estimate again from those.  Several starts make
+``FIRST_STEPS`` steps each, and the one with the least determinant goes on to
+``STEPS``.  The scatter of a core is widened to that of a whole normal group.  A row whose
 Mahalanobis distance is beyond the cutoff is rejected.
 
 The statistics are written once; every step is a grouped aggregate over that
 narrow table, combined before the shuffle, so a group of any size is never in
-one place.  Matrices are written out as columns, factored by Cholesky.
+one place.  Estimates are one row a group, and are broadcast after their number
+is checked.  Matrices are written out as columns, factored by Cholesky.
 """
 
 from __future__ import annotations
@@ -29,7 +31,9 @@ SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 #: share of a group that an estimate is made of
 CORE = 0.75
-STEPS = 5
+STEPS, FIRST_STEPS = 5, 2
+#: beyond so many groups (about 200 bytes each) their estimates are joined by a shuffle
+BROADCAST_GROUPS = 100_000
 #: squared distance that one in a thousand rows of a normal group of four statistics exceeds
 CUTOFF = 18.47
 #: groups of fewer rows take the estimate of their language, then of all rows
@@ -176,32 +180,85 @@ def _distance(rows: DataFrame, estimates: DataFrame, on: tuple[str, ...]) -> Dat
     return joined.withColumn("d2", total)
 
 
-def core_estimates(rows: DataFrame, on: tuple[str, ...] = GROUP, core: float = CORE, steps: int = STEPS) -> DataFrame:
-    """Location and factored scatter of the most compact ``core`` of each group of ``rows``.
+START = "start"
+
+
+def _small(rows: DataFrame, groups: int) -> DataFrame:
+    """One row a group, marked for a broadcast if they are few."""
+    return F.broadcast(rows) if groups <= BROADCAST_GROUPS else rows
+
 
-    The first core are the rows closest to the medians, each statistic by its own
-    spread; quantiles are approximate to one in ten thousand.
+def _starts(rows: DataFrame, on: tuple[str, ...], groups: int) -> DataFrame:
+    """Three factored estimates of each group, all at the medians: the statistics' own spreads without correlation, with
+    that of their hyperbolic tangents, and with that of the directions from the median.
+
+    Quantiles are approximate to one in ten thousand.
     """
     medians = rows.groupBy(*on).agg(*[F.percentile_approx(a, 0.5, 10_000).alias(f"m_{a}") for a in STATS])
     spread = [
         F.percentile_approx(F.abs(F.col(a) - F.col(f"m_{a}")), 0.5, 10_000).alias(f"d_{a}") for a in STATS
     ]
-    spreads = rows.join(medians, list(on)).groupBy(*on, *[f"m_{a}" for a in STATS]).agg(*spread)
-    start = spreads.select(
-        *on,
-        *[f"m_{a}" for a in STATS],
-        *[
-            (F.pow(1.4826 * F.col(f"d_{a}"), F.lit(2)) if a == b else F.lit(0.0)).alias(f"c_{a}_{b}")
-            for a, b in PAIRS
-        ],
+    middle = [f"m_{a}" for a in STATS]
+    near = rows.join(_small(medians, groups), list(on))
+    spreads = written(near.groupBy(*on, *middle).agg(*spread), "quality-spreads")
+    scaled = rows.join(_small(spreads, groups), list(on)).withColumns(
+        {f"z_{a}": (F.col(a) - F.col(f"m_{a}")) / F.greatest(1.4826 * F.col(f"d_{a}"), F.lit(FLOOR[a])) for a in STATS}
+    )
+    length = F.sqrt(sum((F.col(f"z_{a}") * F.col(f"z_{a}") for a in STATS[1:]), F.col(f"z_{STATS[0]}") * F.col(f"z_{STATS[0]}")))
+    scaled = scaled.withColumn("far", F.greatest(length, F.lit(1e-9)))
+    kinds = {1: lambda a: F.tanh(f"z_{a}"), 2: lambda a: F.col(f"z_{a}") / F.col("far")}
+    related = scaled.groupBy(*on, *middle, *[f"d_{a}" for a in STATS]).agg(
+        *[F.covar_pop(kind(a), kind(b)).alias(f"r{k}_{a}_{b}") for k, kind in kinds.items() for a, b in PAIRS]
     )
-    estimates = _factored(start)
-    for _ in range(steps):
-        near = _distance(rows, estimates, on)
-        near = near.select(*on, *STATS, "d2")
-        limit = near.groupBy(*on).agg(F.percentile_approx("d2", core, 10_000).alias("limit"))
-        inner = near.join(limit, list(on)).where("d2 <= limit")
-        estimates = _factored(written(inner.groupBy(*on).agg(*_moments()), "quality-estimates"), consistency(core))
+
+    def entry(k: int, a: str, b: str) -> Column:
+        size = 1.4826 * F.col(f"d_{a}") * 1.4826 * F.col(f"d_{b}")
+        if a == b:
+            return size
+        # a statistic without spread is related to nothing
+        if not k:
+            return F.lit(0.0)
+        spread = F.nullif(F.sqrt(F.col(f"r{k}_{a}_{a}") * F.col(f"r{k}_{b}_{b}")), F.lit(0.0))
+        return size * F.coalesce(F.col(f"r{k}_{a}_{b}") / spread, F.lit(0.0))
+
+    made = [
+        F.struct(F.lit(k).alias(START), *[entry(k, a, b).alias(f"c_{a}_{b}") for a, b in PAIRS]) for k in (0, *kinds)
+    ]
+    starts = related.select(*on, *middle, F.explode(F.array(*made)).alias("made"))
+    return _factored(starts.select(*on, *middle, "made.*"))
+
+
+def _step(rows: DataFrame, estimates: DataFrame, on: tuple[str, ...], core: float, groups: int) -> DataFrame:
+    """Estimates of the rows that are closest to the present ones."""
+    near = _distance(rows, _small(estimates, groups), on)
+    near = near.select(*on, *STATS, "d2")
+    limit = near.groupBy(*on).agg(F.percentile_approx("d2", core, 10_000).alias("limit"))
+    inner = near.join(_small(limit, groups), list(on)).where("d2 <= limit")
+    return _factored(written(inner.groupBy(*on).agg(*_moments()), "quality-estimates"), consistency(core))
+
+
+def log_determinant() -> Column:
+    """Log of the determinant of a factored scatter."""
+    return 2 * sum((F.ln(f"l_{i}_{i}") for i in range(1, len(STATS))), F.ln("l_0_0"))
+
+
+def core_estimates(rows: DataFrame, on: tuple[str, ...] = GROUP, core: float = CORE, steps: int = STEPS) -> DataFrame:
+    """Location and factored scatter of the most compact ``core`` of each group of ``rows``.
+
+    Every start makes ``FIRST_STEPS`` steps; that with the least determinant, the
+    first of equals, makes the rest.  Rows at the limit of a core are all in it.
+    """
+    groups = rows.select(*on).distinct().count()
+    estimates = _starts(rows, on, groups)
+    first = min(steps, FIRST_STEPS)
+    each = rows.withColumn(START, F.explode(F.array(*[F.lit(k) for k in range(3)])))
+    for _ in range(first):
+        estimates = _step(each, estimates, (*on, START), core, 3 * groups)
+    held = [c for c in estimates.columns if c not in (*on, START)]
+    best = F.min_by(F.struct(*held), F.struct(log_determinant(), F.col(START))).alias("best")
+    estimates = estimates.groupBy(*on).agg(best).select(*on, "best.*")
+    for _ in range(steps - first):
+        estimates = _step(rows, estimates, on, core, groups)
     return estimates
 
 
@@ -244,11 +301,13 @@ def judge(
     )
     # each row takes part in its group, its language and all rows, where those judge any group
     named = F.array(F.concat_ws("\x01", *GROUP), F.concat(F.lit("\x02"), F.col("g_lang")), F.lit("\x03"))
+    groups = levels.count()
     asked = levels.select("judged_by").distinct()
-    taking = good.select(F.explode(named).alias("judged_by"), *STATS).join(asked, "judged_by")
+    taking = good.select(F.explode(named).alias("judged_by"), *STATS).join(_small(asked, groups), "judged_by")
     taking = written(taking, "quality-vectors")
     estimates = core_estimates(taking, ("judged_by",))
-    judged = _distance(stats.where("NOT base_failed").join(levels, list(GROUP)), estimates, ("judged_by",))
+    placed = stats.where("NOT base_failed").join(_small(levels, groups), list(GROUP))
+    judged = _distance(placed, _small(estimates, groups), ("judged_by",))
     columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     passed = judged.select("key", *columns, F.col("d2").alias("distance2"), (F.col("d2") <= cutoff).alias("kept"))
     failed = stats.where("base_failed").select(
