@@ -150,6 +150,36 @@ def test_routed_sink_makes_one_folder_for_each_variant(spark, tmp_path):
     assert rows(read_routed(spark, str(tmp_path / "out"), df.schema)) == rows(df)
 
 
+def test_routed_rows_are_written_as_they_come(spark, tmp_path):
+    from pathlib import Path
+    from time import monotonic, sleep
+
+    import pyarrow as pa
+
+    out, name = str(tmp_path / "out"), "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+
+    def rows_of(batches):
+        for _ in batches:
+            pass
+        # more than what lies in the pipe between Python and Spark
+        for slug in SLUGS * 4:
+            yield pa.RecordBatch.from_pydict({"text": [f"{slug} " * 20_000], "slug": [slug], "early": [False]})
+        # a sort would take in the last row before the first file is there
+        end, found = monotonic() + 20, False
+        while not found and monotonic() < end:
+            sleep(0.1)
+            found = any(Path(out).rglob("slug=*/part-*"))
+        yield pa.RecordBatch.from_pydict({"text": ["last"], "slug": [SLUGS[0]], "early": [found]})
+
+    df = spark.range(1, numPartitions=1).mapInArrow(rows_of, "text string, slug string, early boolean")
+    write_routed(df, out)
+    back = read_routed(spark, out, df.schema)
+    assert back.where("text = 'last'").first()["early"]
+    assert back.count() == 17
+    assert spark.conf.get(name) == before
+
+
 def test_manifest_and_probe_agree(spark, tmp_path):
     root = str(tmp_path / "art")
     files = spark.createDataFrame(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 
 from variantflow.schemas import STATE_SCHEMA, VARIANTS, slug_of, variant_state_schema
 from variantflow.sources.published import read_published
+from variantflow.sources.scratch import TEXTS
 
 
 def read_if_exists(
@@ -78,11 +80,34 @@ def save_variant_tables(
             spark.createDataFrame([], _STORED).write.parquet(_table_path(root, v))
 
 
+#: files that a task of a routed write keeps open, and the bytes of a row group of each
+OPEN_FILES, ROW_GROUP = 8, 32 << 20
+
+
+@contextmanager
+def files_kept_open(spark: SparkSession, files: int = OPEN_FILES) -> Iterator[None]:
+    """Tasks write at least so many folders at once, instead of sorting (and spilling) their rows by folder."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max(files, int(before))))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def write_routed(
     df: DataFrame, path: str, by: str = "slug", mode: str = "errorifexists", fmt: str = "parquet"
 ) -> None:
-    """One directory for each variant from one pass over the long table."""
-    df.write.mode(mode).format(fmt).partitionBy(by).save(path)
+    """One directory for each variant from one pass over the long table.
+
+    The rows are not sorted by directory unless a task meets more than ``OPEN_FILES`` of them.
+    """
+    writer = df.write.mode(mode).format(fmt).partitionBy(by)
+    if fmt == "parquet":
+        writer = writer.options(**TEXTS).option("parquet.block.size", ROW_GROUP)
+    with files_kept_open(df.sparkSession):
+        writer.save(path)
 
 
 def read_routed(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
