@@ -111,3 +111,32 @@ def test_a_new_checkpoint_at_the_same_place_keeps_old_replies(spark, tmp_path):
 def test_a_reply_without_a_body_is_empty(spark):
     rows_ = call_service(fan_out(docs(spark, 0, 1)), lambda: lambda request, attempt: (200, None), policy=FAST, sleep=no_sleep)
     assert {(r["outcome"], r["reply"]) for r in rows_.collect()} == {("empty", "")}
+
+
+def test_only_superseded_results_are_joined_to_the_log(spark, tmp_path, monkeypatch):
+    from variantflow.streaming import progress
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+
+    def write(batch, *log):
+        spark.createDataFrame(log, LOG_SCHEMA).write.parquet(str(tmp_path / "log" / "run=a" / f"batch={batch}"))
+
+    first = [(i, "positive", "t", 1, f"r{i}", 1, 0.0, "ok", 10) for i in range(4)]
+    write(0, *first, (None, "positive", "t", 1, "none", 1, 0.0, "ok", 10))
+    state = current_state(spark, str(tmp_path / "log"))
+    assert "Exchange" not in plan(state) and "Join" not in plan(state) and state.count() == 5
+
+    # a later reply, a row that is there twice, and one without a key that is written again
+    write(1, (1, "positive", "t", 1, "new", 1, 0.0, "ok", 20), *first[:1], (None, "positive", "t", 1, "later", 1, 0.0, "ok", 20))
+    replies = ["later", "new", "r0", "r2", "r3"]
+    state = current_state(spark, str(tmp_path / "log"))
+    assert "Exchange" not in plan(state) and sorted(r["reply"] for r in state.collect()) == replies
+    # other texts that a key of the source had are left out
+    now = spark.createDataFrame([(2, "other")], "row_idx long, text_id string")
+    state = current_state(spark, str(tmp_path / "log"), source=now)
+    assert sorted(r["reply"] for r in state.collect()) == ["later", "new", "r0", "r3"]
+
+    monkeypatch.setattr(progress, "BROADCAST_ROWS", 0)
+    state = current_state(spark, str(tmp_path / "log"))
+    assert sorted(r["reply"] for r in state.collect()) == replies

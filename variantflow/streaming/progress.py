@@ -6,8 +6,6 @@ import json
 import time
 import uuid
 from collections.abc import Callable, Sequence
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,10 +14,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from variantflow.operators.keyed import latest, text_id
 from variantflow.schemas import STORED_LOG_SCHEMA
-from variantflow.sources.scratch import written
+from variantflow.sources.scratch import TEXTS, written
 from variantflow.sources.state import read_if_exists
 
 
+#: where a stored result lies: a name of its file, and its row there
+PLACE = ["_file", "_row"]
+#: superseded results that are broadcast; more are joined by a shuffle of the log
+BROADCAST_ROWS = 100_000
+
+
 def logged(results: DataFrame) -> DataFrame:
     """Results as rows of the log, stamped with the time of this write."""
     now = F.lit(time.time_ns() // 1_000_000).cast("long")
@@ -60,7 +64,7 @@ def incremental_progress(
     def append(batch: DataFrame, batch_id: int) -> None:
         place = f"run={query_id(batch.sparkSession, checkpoint)}/batch={batch_id}"
         rows = rows_of(batch, place) if rows_of else batch
-        logged(work(rows)).write.mode("overwrite").parquet(f"{log}/{place}")
+        logged(work(rows)).write.mode("overwrite").options(**TEXTS).parquet(f"{log}/{place}")
 
     # of files as they are
     listed = "path string, modificationTime timestamp, length long, content binary"
@@ -80,10 +84,17 @@ def incremental_progress(
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
     """All stored results, also repeated ones, or an empty table."""
+    return placed_log(spark, log).drop(*PLACE)
+
+
+def placed_log(spark: SparkSession, log: str) -> DataFrame:
+    """:func:`read_log` with the place of each row."""
     found = read_if_exists(spark, log, STORED_LOG_SCHEMA)
     if found is None:
-        return spark.createDataFrame([], STORED_LOG_SCHEMA)
-    return found.select(*STORED_LOG_SCHEMA.fieldNames())
+        place = [F.lit(None).cast("long").alias(c) for c in PLACE]
+        return spark.createDataFrame([], STORED_LOG_SCHEMA).select("*", *place)
+    place = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+    return found.select(*STORED_LOG_SCHEMA.fieldNames(), *[c.alias(n) for c, n in zip(place, PLACE)])
 
 
 def current_state(
@@ -97,22 +108,22 @@ def current_state(
     """Newest result of each key and text.
 
     An accepted reply beats a failed one of any run; then the later one wins.
-    The winner is found without the texts, which are joined to it only where the
-    result's texts are used.  ``source``, (row_idx, text_id) of the rows as they
+    The winner is found without the texts, and all other results are left out by
+    their places in the log's files: those are written first, and no text is
+    shuffled unless there are more than ``BROADCAST_ROWS`` of them.  ``source``, (row_idx, text_id) of the rows as they
     are now, leaves out results of other texts that its keys had.  ``identified``
     keeps the column ``text_id``.  ``where`` reads a part of the log by its keys.
     """
-    key = list(key)
-    narrow = current_pairs(spark, log, key, source, where)
-    rows = read_log(spark, log)
+    rows = placed_log(spark, log)
     if where is not None:
         rows = rows.where(where)
-    stamp = [*key, "text_id", "logged_at", "pass"]
-    same = [rows[c].eqNullSafe(narrow[c]) for c in stamp]
-    held = rows.join(narrow.select(*stamp), reduce(and_, same), "left_semi")
-    # a pass of a run writes a key once; a key that was given twice is kept once
-    held = held.dropDuplicates([*key, "text_id"]).drop("logged_at")
-    return held if identified else held.drop("text_id")
+    held = _of_source(_newest(rows, [*key]), source)
+    gone = rows.select(*PLACE).join(held.select(*PLACE), PLACE, "left_anti")
+    gone = written(gone, "superseded-results")
+    many = gone.count()
+    if many:
+        rows = rows.join(F.broadcast(gone) if many <= BROADCAST_ROWS else gone, PLACE, "left_anti")
+    return rows.drop(*PLACE, "logged_at", *([] if identified else ["text_id"]))
 
 
 def current_pairs(
@@ -123,7 +134,11 @@ def current_pairs(
     where: Column | None = None,
 ) -> DataFrame:
     """:func:`current_outcomes` of the texts that :func:`current_state` keeps; reads no text of the log."""
-    narrow = current_outcomes(spark, log, key, where)
+    return _of_source(current_outcomes(spark, log, key, where), source)
+
+
+def _of_source(narrow: DataFrame, source: DataFrame | None) -> DataFrame:
+    """Results without those of other texts that the keys of ``source`` had."""
     if source is None:
         return narrow
     now = source.distinct()
@@ -150,11 +165,17 @@ def current_outcomes(
     where: Column | None = None,
 ) -> DataFrame:
     """(key, text_id, pass, outcome, logged_at) of the newest result of each key and text; reads no text."""
-    columns = [*key, "text_id", "pass", "outcome", "logged_at"]
-    rows = read_log(spark, log).select(*columns)
+    rows = read_log(spark, log)
     if where is not None:
         rows = rows.where(where)
-    rows = rows.withColumn("_ok", F.col("outcome") == "ok")
+    return _newest(rows, [*key])
+
+
+def _newest(rows: DataFrame, key: list[str]) -> DataFrame:
+    """Narrow columns of the newest result of each key and text, with its place where ``rows`` have it."""
+    place = [c for c in PLACE if c in rows.columns]
+    columns = [*key, "text_id", "pass", "outcome", "logged_at", *place]
+    rows = rows.select(*columns).withColumn("_ok", F.col("outcome") == "ok")
     return latest(rows, [*key, "text_id"], ("_ok", "logged_at", "pass")).select(*columns)
 
 
