@@ -99,6 +99,25 @@ def test_equal_texts_stay_apart(spark):
     assert [r[3] for r in rows(append_recovered(state, again))] == ["ok", "late"]
 
 
+def test_rows_that_are_alone_under_their_key_are_not_shuffled(spark, monkeypatch):
+    from variantflow.operators import keyed
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    state = spark.createDataFrame([(1, "a", "t", "one", 1), (None, "a", "t", "none", 1)], STATE)
+    again = spark.createDataFrame([(2, "a", "t", "two", 2)], STATE)
+    both = append_recovered(state, again)
+    assert "Exchange" not in plan(both)
+    assert [r[3] for r in rows(both)] == ["one", "two", "none"]
+
+    again = spark.createDataFrame([(2, "a", "t", "two", 2), (1, "a", "t", "newer", 2), (None, "a", "t", "same", 1)], STATE)
+    few = rows(append_recovered(state, again))
+    assert [r[3] for r in few] == ["newer", "two", "same"]
+    monkeypatch.setattr(keyed, "BROADCAST_KEYS", 0)
+    assert rows(append_recovered(state, again)) == few
+
+
 def test_pending_skips_finished_pairs(spark):
     source = spark.createDataFrame([(i, f"t{i}") for i in range(5)], "row_idx long, text string")
     done = [(i, v, f"t{i}", "r", 1) for i in (0, 2, 3, 4) for v in VARIANTS] + [(1, "positive", "t1", "r", 1)]

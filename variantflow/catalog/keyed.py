@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from variantflow.catalog.base import SQL_BOTH_PASSES, SQL_VARIANTS, descriptions, query, sql_calls, table
+from variantflow.catalog.base import SQL_BOTH_PASSES, SQL_VARIANTS, descriptions, query, sql_calls, stub_replies, table
 from variantflow.catalog.text import first_replies
 from variantflow.functions.text import artifact_path
 from variantflow.operators.counters import run_counters
@@ -56,9 +56,12 @@ def recovered(spark, sf_dir):
     columns = ["row_idx", "variant", "original_text", "reply", "pass"]
     first = first_replies(spark, sf_dir).select(*columns)
     # the second pass of the pairs that failed in the first
-    failed = first_replies(spark, sf_dir).filter(F.col("reply").isNull()).select("row_idx", "variant")
-    again = first_replies(spark, sf_dir, 2).join(failed, ["row_idx", "variant"], "left_semi")
-    return append_recovered(accept_reply(first), accept_reply(again))
+    failed = first_replies(spark, sf_dir).filter(F.col("reply").isNull())
+    # joined before the fan-out: a text is shuffled once, not once for each variant
+    failed = failed.groupBy("row_idx").agg(F.collect_set("variant").alias("failed"))
+    docs = descriptions(spark, sf_dir).withColumnRenamed("text", "original_text").join(failed, "row_idx")
+    pairs = fan_out(docs).filter(F.array_contains("failed", F.col("variant"))).drop("failed")
+    return append_recovered(accept_reply(first), accept_reply(stub_replies(pairs, 2)))
 
 
 @query(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,6 +15,8 @@ from variantflow.sources.scratch import written
 _POSITION_BITS = 33  # monotonically_increasing_id keeps the position in these bits
 
 KEY = ("row_idx", "variant")
+#: keys of several rows that are broadcast; with more, all rows are shuffled
+BROADCAST_KEYS = 100_000
 
 
 def row_index(
@@ -69,10 +71,24 @@ def keyed_upsert(
     """State after the updates: for each key the row that comes last by ``order``.
 
     An update wins over a stored row of the same order, as the last write does.
+
+    Keys are counted first, without the other columns, and those of several rows are
+    written.  Where they are at most ``BROADCAST_KEYS``, only their rows are shuffled.
+    Both tables are read twice: write first what must run once, such as calls.
     """
     turn = "_turn"
     both = state.withColumn(turn, F.lit(0)).unionByName(updates.withColumn(turn, F.lit(1)))
-    return latest(both, key, [*_listed(order), turn]).drop(turn)
+    counted = both.groupBy(*key).agg(F.count("*").alias("_n")).where("_n > 1")
+    many = written(counted.select(*[F.col(c).alias(f"_many_{c}") for c in key]), "contested-keys")
+    contested = many.count()
+    if not contested:
+        return both.drop(turn)
+    if contested > BROADCAST_KEYS:
+        return latest(both, key, [*_listed(order), turn]).drop(turn)
+    same = reduce(and_, [both[c].eqNullSafe(many[f"_many_{c}"]) for c in key])
+    alone = both.join(F.broadcast(many), same, "left_anti")
+    shared = both.join(F.broadcast(many), same, "left_semi")
+    return alone.unionByName(latest(shared, key, [*_listed(order), turn])).drop(turn)
 
 
 def _listed(order: str | Sequence[str]) -> list[str]:
