@@ -191,6 +191,27 @@ def test_calls_stay_spread_on_resume(spark):
     assert tasks > 8
 
 
+def test_failed_pairs_of_a_first_pass_that_was_dealt_out_are_not_dealt_again(spark):
+    import pyarrow.parquet as pq
+
+    from variantflow.catalog.base import FAST, no_sleep, stub_service
+    from variantflow.plans.rewrite import retry_pass, rewrite
+
+    calls = {"policy": FAST, "sends": ("row_idx", "variant", "original_text"), "sleep": no_sleep}
+    docs = spark.range(100, numPartitions=1).select(F.col("id").alias("row_idx"), F.lit("x").alias("description"))
+    result = rewrite(docs, stub_service, spread_to=8, **calls)
+    kept = retry_pass(result.first, stub_service, spread_to=8, **calls)
+    assert "Exchange" not in plan(kept)
+    few = retry_pass(result.first, stub_service, spread_to=64, **calls)
+    assert "hashpartitioning(row_idx" in plan(few)
+    parts = [r[0] for r in result.second.select(F.input_file_name()).distinct().collect()]
+    assert len(parts) > 4
+    codec = pq.ParquetFile(parts[0].removeprefix("file://")).metadata.row_group(0).column(2).compression
+    assert codec == "ZSTD"
+    again = [{tuple(r) for r in df.select("row_idx", "variant", "reply").collect()} for df in (kept, few, result.second)]
+    assert again[0] == again[1] == again[2] and again[0]
+
+
 def test_csv_rows_are_numbered_without_a_shuffle(spark, tmp_path):
     from variantflow.sources.csv import csv_scan, numbered
 

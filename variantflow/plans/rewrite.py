@@ -16,7 +16,7 @@ from variantflow.operators.keyed import once_each, pending, text_id, unfinished,
 from variantflow.operators.replies import dead_letter
 from variantflow.operators.variants import assemble_wide
 from variantflow.schemas import VARIANTS
-from variantflow.sources.scratch import new_folder, written
+from variantflow.sources.scratch import TEXTS, new_folder, written
 from variantflow.streaming.progress import logged
 
 CARRIED = ("row_idx", "variant", "original_text")
@@ -95,10 +95,16 @@ def retry_pass(
     spread_to: int | None = None,
     **options,
 ) -> DataFrame:
-    """Call the service again for the failed rows of a written first pass (lazy)."""
+    """Call the service again for the failed rows of a written first pass (lazy).
+
+    ``spread_to`` deals them out to so many tasks, unless ``first`` is read in as many
+    already, as one that was dealt out is.  They are dealt by key and text: the failed
+    variants of a text stay together, and its copies take little room.
+    """
     failed = first.filter(F.col("outcome") == "failed").select(*CARRIED)
-    if spread_to:
-        failed = failed.repartition(spread_to)
+    # of files only: this plans a scan and runs nothing
+    if spread_to and first.rdd.getNumPartitions() < spread_to:
+        failed = failed.repartition(spread_to, "row_idx", "original_text")
     each_call = replace(policy, pause_by=None)
     return call_service(failed, client_factory, pass_no=2, policy=each_call, **options)
 
@@ -137,7 +143,7 @@ def rewrite(
     run = f"{log.rstrip('/')}/run={uuid.uuid4().hex[:12]}" if log else new_folder(source.sparkSession, "rewrite")
 
     def once(results: DataFrame, name: str) -> DataFrame:
-        return written(logged(results), path=f"{run}/batch={name}")
+        return written(logged(results), path=f"{run}/batch={name}", **TEXTS)
 
     if not slice_rows:
         work = pending(rows, state, variants=variants, redo=redo, spread_to=spread_to)
