@@ -1,4 +1,5 @@
 import math
+import os
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -6,6 +7,7 @@ import pytest
 from helpers import awkward, docs, empty, words
 from pyspark.sql import functions as F
 
+from variantflow.llm.hash_arrays import local_path
 from variantflow.llm.language_model import discounts, fit_language_model, perplexity, score_texts
 
 
@@ -126,3 +128,30 @@ def test_each_order_equals_dictionaries(spark, order):
     found = score_texts(docs(spark, [(i, t, "en", "a") for i, t in enumerate(held)]), model, keep=["doc_id"])
     got = [r.score for r in found.orderBy("doc_id").collect()]
     assert np.allclose(got, brute_of_order(order, train, held), rtol=1e-9)
+
+
+def test_contexts_of_very_many_words(spark):
+    train = [f"so it w{i} w{i} so it" for i in range(700)] + [f"be w{i}" for i in range(300)] + texts(5, 60)
+    held = ["so it w7 w7 so it", "so it w699", "so it never", "be w299", *texts(6, 10)]
+    model = fit_language_model(docs(spark, [(i, t, "en", "a") for i, t in enumerate(train)]), order=3)
+    found = score_texts(docs(spark, [(i, t, "en", "a") for i, t in enumerate(held)]), model, keep=["doc_id"])
+    got = [r.score for r in found.orderBy("doc_id").collect()]
+    assert np.allclose(got, brute_of_order(3, train, held), rtol=1e-9)
+
+
+def test_a_model_leaves_its_arrays_only(spark):
+    def shuffled():
+        held = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {held.apply(i).getName() for i in range(held.size()) if held.apply(i).getName().startswith("shuffle_")}
+
+    rng = np.random.default_rng(7)
+    train = [(i, " ".join(f"w{x}" for x in rng.integers(0, 400, 300)), "en", "a") for i in range(100)]
+    df, before = docs(spark, train).repartition(3), shuffled()
+    model = fit_language_model(df, order=3)
+    assert shuffled() <= before
+    folder = local_path(model.folder)
+    size = lambda name: sum(os.path.getsize(f"{folder}/{f}") for f in os.listdir(folder) if f.startswith(f"{name}-of-3"))
+    contexts = size("contexts") // 8
+    assert contexts > 10_000
+    # a byte for each context and a place for every sixteenth; each shard rounds up
+    assert size("starts") + size("sizes") < 2 * contexts + 64 * model.shards

@@ -22,7 +22,7 @@ Higher orders work alike, each on top of the one below, with discounts of its ow
 Only the top order has counts of the text; a shorter sequence counts the different
 words before it, or its own occurrences if it begins with the start mark.  Sequences
 of three words and more are dealt by a 64-bit hash of their context and kept as
-sorted contexts, where each one's words start, the words and their counts.
+sorted contexts, how many words each one has, the words and their counts.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from variantflow.llm.batches import BLANK, U, Words, by_group, map_texts, mix, q
 from variantflow.llm.hash_arrays import (
     Counting, Shards, find, first_id, hash_shard, id_shard, merge_counts, runs,
 )
-from variantflow.sources.scratch import new_folder, written
+from variantflow.sources.scratch import new_folder, shuffles_dropped, written
 
 #: hash of the end token
 END = mix(np.array([0x5EED], U))[0]
@@ -269,8 +269,10 @@ def _grams(group: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
     return _merge_grams(ids, counts)
 
 
-LEVEL = {"contexts": U, "starts": np.uint32, "next": np.uint32, "next-counts": np.uint8, "next-many": np.int64,
-         "next-often": np.int64, "told": np.int64}
+#: contexts for each stored place of the words after them
+STEP = 16
+LEVEL = {"contexts": U, "starts": np.int64, "sizes": np.uint8, "wide": np.int64, "widths": np.int64, "next": np.uint32,
+         "next-counts": np.uint8, "next-many": np.int64, "next-often": np.int64, "told": np.int64}
 
 
 class Level:
@@ -284,10 +286,12 @@ class Level:
         context, word = _context_hash(ids[:, :-1]), ids[:, -1]
         order = np.lexsort((word, context))
         context, word, c = context[order], word[order], counts[order]
-        contexts, starts = np.unique(context, return_index=True)
-        large = np.flatnonzero(c >= 255)
+        contexts, starts, sizes = np.unique(context, return_index=True, return_counts=True)
+        wide, large = np.flatnonzero(sizes >= 255), np.flatnonzero(c >= 255)
+        padded = np.append(np.minimum(sizes, 255), np.zeros(-len(sizes) % STEP, np.int64))
         for name, array in zip(LEVEL, [
-            contexts, np.append(starts, len(c)), word, np.minimum(c, 255), large, c[large], np.array(_count_of_counts(c)),
+            contexts, starts[::STEP], padded, wide, sizes[wide], word, np.minimum(c, 255), large, c[large],
+            np.array(_count_of_counts(c)),
         ]):
             self.arrays[name].save(shard, array)
 
@@ -302,6 +306,19 @@ class Level:
             counts[large] = self.arrays["next-often"][shard][np.searchsorted(self.arrays["next-many"][shard], at[large])]
         return counts
 
+    def _bounds(self, shard: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the words after the contexts at these places start, and how many they are."""
+        step, place = np.divmod(at, STEP)
+        sizes = np.asarray(self.arrays["sizes"][shard]).reshape(-1, STEP)[step].astype(np.int64)
+        row, column = np.nonzero(sizes == 255)
+        if len(row):
+            wide = np.searchsorted(self.arrays["wide"][shard], step[row] * STEP + column)
+            sizes[row, column] = self.arrays["widths"][shard][wide]
+        ends = np.cumsum(sizes, axis=1)
+        rows = np.arange(len(at))
+        size = sizes[rows, place]
+        return self.arrays["starts"][shard][step] + ends[rows, place] - size, size
+
     def look_up(self, contexts: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Count of each word after its context, and the context's (total, counts of 1, of 2, of more)."""
         count, stats = np.zeros(len(ids), np.int64), np.zeros((len(ids), 4), np.int64)
@@ -315,15 +332,16 @@ class Level:
             rows, place = rows[place >= 0], place[place >= 0]
             if not len(rows):
                 continue
-            starts, words = self.arrays["starts"][shard].astype(np.int64), self.arrays["next"][shard]
+            words = np.asarray(self.arrays["next"][shard])
             distinct, of_row = np.unique(place, return_inverse=True)
-            size = starts[distinct + 1] - starts[distinct]
+            starts, size = self._bounds(shard, distinct)
             heads = np.cumsum(size) - size
-            c = self._counts(shard, np.repeat(starts[distinct] - heads, size) + np.arange(size.sum()))
+            c = self._counts(shard, np.repeat(starts - heads, size) + np.arange(size.sum()))
             sums = [np.add.reduceat(x.astype(np.int64), heads) for x in (c, c == 1, c == 2, c >= 3)]
             stats[rows] = np.stack(sums, axis=1)[of_row]
             # binary search of each word between its context's bounds
-            low, end = starts[place], starts[place + 1]
+            low = starts[of_row]
+            end = low + size[of_row]
             high = end.copy()
             while (open_ := low < high).any():
                 middle = (low + high) // 2
@@ -450,7 +468,8 @@ def _count_pairs(docs: DataFrame, folder: str, sizes: list[int], tokens: int, or
     else:
         counted = _count_grams(docs, folder, sizes, order, shards)
         for k in range(order, 2, -1):
-            counted = _keep_grams(counted, folder, k, n, shards)
+            # the blocks of the longer sequences are dropped before the shorter ones are dealt out
+            counted = written(_keep_grams(counted, folder, k, n, shards), "lm-blocks", compression="uncompressed")
     made = _dealt(counted, shards).mapInArrow(merge, f"{BLOCK}, told array<long>")
     made = written(made, "lm-before")
     told = [r.told for r in made.where("shard < 0").select("told").collect()]
@@ -494,8 +513,12 @@ def fit_language_model(docs: DataFrame, text: str = "text", order: int = 2) -> M
     """
     if order < 2:
         raise ValueError("a model has order two or more")
-    texts = docs.select(F.col(quoted(text)).cast("string").alias("text"))
-    folder = new_folder(docs.sparkSession, "language-model")
+    with shuffles_dropped(docs.sparkSession):
+        return _fit(docs.select(F.col(quoted(text)).cast("string").alias("text")), order)
+
+
+def _fit(texts: DataFrame, order: int) -> Model:
+    folder = new_folder(texts.sparkSession, "language-model")
     size = texts.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     # a token takes six bytes or so; the ranges of words grow with the corpus
     shards = max(LEAST_SHARDS, size // (6 * SHARD_TOKENS))
@@ -584,7 +607,9 @@ class Scorer:
             counts, stats = level.look_up(contexts, ids)
             seen = np.maximum(counts - _discount(counts, d), 0)
             size = np.maximum(stats[:, 0], 1)
-            p = np.where(stats[:, 0] > 0, seen / size + stats[:, 1:] @ np.array(d) / size * p, p)
+            # no matrix product: its threads would keep cores busy that belong to other tasks
+            left = d[0] * stats[:, 1] + d[1] * stats[:, 2] + d[2] * stats[:, 3]
+            p = np.where(stats[:, 0] > 0, seen / size + left / size * p, p)
         return np.log10(p)
 
 

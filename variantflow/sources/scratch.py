@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,3 +56,21 @@ def written(df: DataFrame, label: str = "table", path: str | None = None, **opti
     target = path or new_folder(spark, label)
     df.write.mode("overwrite").options(**options).parquet(target)
     return spark.read.schema(df.schema).parquet(target)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Queries planned inside drop their shuffle files as they end, not when the driver next collects garbage.
+
+    One that runs twice shuffles again: write what is read again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
