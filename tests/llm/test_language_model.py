@@ -8,7 +8,7 @@ from helpers import awkward, docs, empty, words
 from pyspark.sql import functions as F
 
 from variantflow.llm.hash_arrays import local_path
-from variantflow.llm.language_model import discounts, fit_language_model, perplexity, score_texts
+from variantflow.llm.language_model import Level, _merge_grams, discounts, fit_language_model, perplexity, score_texts
 
 
 def brute(train, texts):
@@ -155,3 +155,24 @@ def test_a_model_leaves_its_arrays_only(spark):
     assert contexts > 10_000
     # a byte for each context and a place for every sixteenth; each shard rounds up
     assert size("starts") + size("sizes") < 2 * contexts + 64 * model.shards
+
+
+def test_merged_grams_and_stored_sums(tmp_path):
+    rng = np.random.default_rng(8)
+    for k, n in ((2, 500), (3, 500), (4, 500), (3, 0)):
+        ids, counts = rng.integers(0, 6, (n, k)).astype(np.uint32), rng.integers(1, 5, n)
+        want = Counter()
+        for g, c in zip(ids.tolist(), counts.tolist()):
+            want[tuple(g)] += c
+        got, c = _merge_grams([ids[: n // 2], ids[n // 2 :]], [counts[: n // 2], counts[n // 2 :]])
+        assert [(tuple(g), x) for g, x in zip(got.tolist(), c.tolist())] == sorted(want.items())
+    level = Level(str(tmp_path), 3, 1)
+    ids = np.array([(a, 1, w) for a, words_ in ((0, 300), (1, 20), (2, 3)) for w in range(words_)], np.uint32)
+    counts = rng.integers(1, 400, len(ids))
+    level.save(0, ids, counts)
+    assert sorted(level.arrays["widths"][0].tolist()) == [20, 300]
+    count, stats = level.look_up(ids[:, :2].astype(np.int64), ids[:, 2].astype(np.int64))
+    assert (count == counts).all()
+    for a in range(3):
+        c = counts[ids[:, 0] == a]
+        assert (stats[ids[:, 0] == a] == [c.sum(), (c == 1).sum(), (c == 2).sum(), (c >= 3).sum()]).all()

@@ -139,8 +139,8 @@ def text_slices(col: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int,
         row = end
 
 
-def slices_of_words(col: pa.Array, sep: np.ndarray) -> Iterator[tuple[int, int, Words]]:
-    for row, end, buf, offsets in text_slices(col):
+def slices_of_words(col: pa.Array, sep: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, Words]]:
+    for row, end, buf, offsets in text_slices(col, limit):
         yield row, end, cut_words(buf, offsets, sep)
 
 
@@ -207,13 +207,14 @@ def map_texts(
     fields: list[tuple[str, str]],
     job: Callable,
     keys: Sequence[str] = (),
+    limit: int = SLICE_BYTES,
 ) -> DataFrame:
     """Columns ``keep`` of ``docs`` with new columns made from the text column.
 
     ``job()`` runs once for each task and returns a function from the texts of a
-    slice to the arrays of the new ``fields`` (name, type).  The long columns
-    ``keys`` are given to it before the texts.  Inside, columns are told apart by
-    position, so no name clashes.
+    slice of about ``limit`` bytes to the arrays of the new ``fields`` (name, type).
+    The long columns ``keys`` are given to it before the texts.  Inside, columns are
+    told apart by position, so no name clashes.
     """
     kept = [docs[quoted(c)].alias(f"k{i}") for i, c in enumerate(keep)]
     given = [docs[quoted(k)].cast("long").alias(f"g{i}") for i, k in enumerate(keys)]
@@ -229,7 +230,7 @@ def map_texts(
     def run(batches):
         work = job()
         for batch in batches:
-            for row, end, _, _ in text_slices(batch.column(width)):
+            for row, end, _, _ in text_slices(batch.column(width), limit):
                 found = work(*[batch.column(i).slice(row, end - row) for i in range(len(keep), width + 1)])
                 cells = [batch.column(i).slice(row, end - row) for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays([*cells, *found], names=names)

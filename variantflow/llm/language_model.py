@@ -46,6 +46,8 @@ END = mix(np.array([0x5EED], U))[0]
 #: tokens or distinct words for each range of keys
 SHARD_TOKENS = 2_000_000
 LEAST_SHARDS = 64
+#: bytes of texts whose words are looked up together
+SLICE = 2 << 20
 #: distinct sequences that a counting task holds
 GRAMS_HELD = 2_000_000
 BLOCK = "shard int, high binary, low binary, counts binary"
@@ -165,7 +167,7 @@ def _count_batches(keys_of, shard_of, job):
             return _blocks([_block(s, keys[a:b], counts[a:b]) for s, a, b in runs(shard_of(keys))])
 
         for batch in batches:
-            for _, _, words in slices_of_words(batch.column(0), BLANK):
+            for _, _, words in slices_of_words(batch.column(0), BLANK, SLICE):
                 if counting.add(keys_of(state, words)):
                     yield blocks()
         yield blocks()
@@ -229,15 +231,26 @@ def _context_hash(contexts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _sums(counts: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """(total, how many are 1, 2, more) of the counts from each head to the next."""
+    kinds = (counts, counts == 1, counts == 2, counts >= 3)
+    return np.stack([np.add.reduceat(x.astype(np.int64), heads) for x in kinds], axis=1)
+
+
 def _merge_grams(grams: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct rows with their summed counts."""
-    ids = np.concatenate(grams)
-    order = np.lexsort(ids.T[::-1])
-    ids, c = ids[order], np.concatenate(counts)[order]
+    ids, c = np.concatenate(grams), np.concatenate(counts)
     if not len(ids):
         return ids, c
-    first = np.flatnonzero(np.concatenate([[True], (ids[1:] != ids[:-1]).any(axis=1)]))
-    return ids[first], np.add.reduceat(c, first)
+    # the place of the words so far among all such, and the next word, are one number
+    place = ids[:, 0]
+    for column in ids.T[1:-1]:
+        place = np.unique(_pairs(place, column), return_inverse=True)[1]
+    key = _pairs(place, ids[:, -1])
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    return ids[order[first]], np.add.reduceat(c[order], first)
 
 
 GRAMS = "shard int, ids binary, counts binary"
@@ -271,8 +284,10 @@ def _grams(group: pa.Table, k: int) -> tuple[np.ndarray, np.ndarray]:
 
 #: contexts for each stored place of the words after them
 STEP = 16
-LEVEL = {"contexts": U, "starts": np.int64, "sizes": np.uint8, "wide": np.int64, "widths": np.int64, "next": np.uint32,
-         "next-counts": np.uint8, "next-many": np.int64, "next-often": np.int64, "told": np.int64}
+#: words after a context from which their counts are stored added up
+WIDE = 16
+LEVEL = {"contexts": U, "starts": np.int64, "sizes": np.uint8, "wide": np.int64, "widths": np.int64, "wide-sums": np.int64,
+         "next": np.uint32, "next-counts": np.uint8, "next-many": np.int64, "next-often": np.int64, "told": np.int64}
 
 
 class Level:
@@ -287,11 +302,11 @@ class Level:
         order = np.lexsort((word, context))
         context, word, c = context[order], word[order], counts[order]
         contexts, starts, sizes = np.unique(context, return_index=True, return_counts=True)
-        wide, large = np.flatnonzero(sizes >= 255), np.flatnonzero(c >= 255)
+        wide, large = np.flatnonzero(sizes >= WIDE), np.flatnonzero(c >= 255)
         padded = np.append(np.minimum(sizes, 255), np.zeros(-len(sizes) % STEP, np.int64))
         for name, array in zip(LEVEL, [
-            contexts, starts[::STEP], padded, wide, sizes[wide], word, np.minimum(c, 255), large, c[large],
-            np.array(_count_of_counts(c)),
+            contexts, starts[::STEP], padded, wide, sizes[wide], _sums(c, starts)[wide].reshape(-1), word,
+            np.minimum(c, 255), large, c[large], np.array(_count_of_counts(c)),
         ]):
             self.arrays[name].save(shard, array)
 
@@ -335,10 +350,15 @@ class Level:
             words = np.asarray(self.arrays["next"][shard])
             distinct, of_row = np.unique(place, return_inverse=True)
             starts, size = self._bounds(shard, distinct)
-            heads = np.cumsum(size) - size
-            c = self._counts(shard, np.repeat(starts - heads, size) + np.arange(size.sum()))
-            sums = [np.add.reduceat(x.astype(np.int64), heads) for x in (c, c == 1, c == 2, c >= 3)]
-            stats[rows] = np.stack(sums, axis=1)[of_row]
+            wide = size >= WIDE
+            sums = np.empty((len(distinct), 4), np.int64)
+            at_wide = np.searchsorted(self.arrays["wide"][shard], distinct[wide])
+            sums[wide] = self.arrays["wide-sums"][shard].reshape(-1, 4)[at_wide]
+            few = size[~wide]
+            heads = np.cumsum(few) - few
+            c = self._counts(shard, np.repeat(starts[~wide] - heads, few) + np.arange(few.sum()))
+            sums[~wide] = _sums(c, heads)
+            stats[rows] = sums[of_row]
             # binary search of each word between its context's bounds
             low = starts[of_row]
             end = low + size[of_row]
@@ -360,7 +380,7 @@ def _count_grams(docs: DataFrame, folder: str, sizes: list[int], order: int, sha
         vocabulary = Vocabulary(folder, sizes)
         grams, counts, held, merged = [], [], 0, 0
         for batch in batches:
-            for _, _, words in slices_of_words(batch.column(0), BLANK):
+            for _, _, words in slices_of_words(batch.column(0), BLANK, SLICE):
                 hashes, first = _tokens(words)
                 columns = [_numbers(vocabulary, hashes)[0]]
                 for _ in range(order - 1):
@@ -625,7 +645,7 @@ def _score_job(model: Model):
 
         def work(texts: pa.Array):
             columns = [[] for _ in range(4)]
-            for _, _, words in slices_of_words(texts, BLANK):
+            for _, _, words in slices_of_words(texts, BLANK, SLICE):
                 hashes, first = _tokens(words)
                 ids, counts = _numbers(scorer.vocabulary, hashes)
                 base = np.log10((counts + 1) / (model.tokens + model.words + 1))
@@ -651,7 +671,7 @@ def score_texts(docs: DataFrame, model: Model, text: str = "text", keep: list[st
     text is empty: an end token.
     """
     keep = docs.columns if keep is None else keep
-    return map_texts(docs, text, keep, FIELDS, _score_job(model))
+    return map_texts(docs, text, keep, FIELDS, _score_job(model), limit=SLICE)
 
 
 def perplexity(score: str = "score", n_tokens: str = "n_tokens") -> Column:
