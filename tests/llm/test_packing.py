@@ -2,12 +2,14 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from helpers import awkward, docs, empty
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from variantflow.llm import packing
 from variantflow.llm.packing import Tokens, fill, pack, pack_group
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -110,3 +112,36 @@ def test_strings_of_special_tokens(plain):
     text = Tokenizer.from_file(PATH)
     text.encode_special_tokens = True
     assert ids_of(Tokens(PATH, special_is_text=True), texts) == [text.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("end_id", [1, 70_000])
+def test_batches_are_small_whatever_a_task_holds(plain, end_id):
+    """What remains of many documents leaves a task in rows of some megabytes, not at once."""
+    texts = ["the" + " old house" * (500 + i % 400) for i in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000), pa.int64()), pa.array(texts)], names=["key", "text"])
+    made = list(packing._pack_batches(PATH, 2048, end_id, 20_000, False)(iter([batch])))
+    assert sum(b.nbytes for b in made) > 20e6
+    assert max(b.nbytes for b in made) < 6e6
+    rows = [r for b in made for r in b.to_pylist()]
+    ids = {}
+    for r in sorted(rows, key=lambda r: (r["key"], r["start"])):
+        ids[r["key"]] = ids.get(r["key"], []) + np.frombuffer(r["ids"], "<u4").tolist()
+    assert ids == {i: x.ids + [end_id] for i, x in enumerate(plain.encode_batch(texts, add_special_tokens=False))}
+
+
+def test_new_pieces_are_tokenised_in_parts(plain):
+    """A slice of new words goes to the tokenizer in parts, whose ids are those of the whole texts."""
+    texts = [" ".join(f"word{i * 5000 + k}" for k in range(5000)) + "  \n" for i in range(20)]
+    tokens = Tokens(PATH)
+    encode, most = tokens._encode, []
+    tokens._encode = lambda parts: most.append(sum(map(len, parts))) or encode(parts)
+    assert ids_of(tokens, texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sum(most) > 900_000 and max(most) < 300_000
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_parts_of_a_few_bytes_give_the_tokenizers_ids(plain, seed, monkeypatch):
+    monkeypatch.setattr(packing, "PART_BYTES", 8)
+    rng = random.Random(seed)
+    texts = ["".join(rng.choices(PIECES, k=rng.randrange(40))) for _ in range(8)]
+    assert ids_of(Tokens(PATH, cache=30), texts) == [plain.encode(t, add_special_tokens=False).ids for t in texts]

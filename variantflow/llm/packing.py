@@ -12,7 +12,8 @@ Documents may be cut, so where the best filling leaves a gap, the longest piece
 that remains is cut to fill it.  What is left at the end of a group is cut into
 sequences whose lengths are powers of two, which need no padding.
 
-There is no shuffle.  A task packs groups of ``group`` remaining pieces, which
+There is no shuffle.  A task packs groups of ``group`` remaining pieces, tokenises
+parts of ``PART_BYTES`` and hands out its rows in batches of ``OUT_BYTES``, which
 bounds its memory.
 """
 
@@ -28,13 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from variantflow.llm.batches import EXACT, SLICE_BYTES, U, Words, memory_back, quoted, text_slices
+from variantflow.llm.batches import EXACT, U, Words, memory_back, quoted, text_slices
 
 CAPACITY = 2048
 END_ID = 1
 GROUP = 20_000
 #: tokenised pieces of text that a task remembers
 CACHE = 400_000
+#: bytes of texts that are looked up at once, and of new pieces that are tokenised at once; a text or piece is never cut
+PART_BYTES = 1 << 18
+#: bytes of ids in a batch of rows
+OUT_BYTES = 1 << 22
 #: sequences are numbered within their task
 TASK_BITS = 40
 
@@ -123,6 +128,13 @@ def pack_group(pieces: list[tuple[int, int]], capacity: int) -> Iterator[list[tu
 
 
 # --- tokens -----------------------------------------------------------------
+def _parts(numbers: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """``numbers`` of pieces in parts of about ``PART_BYTES``."""
+    at = np.cumsum(sizes[numbers]) // PART_BYTES
+    cuts = np.flatnonzero(np.diff(at)) + 1
+    yield from (part for part in np.split(numbers, cuts) if len(part))
+
+
 class Tokens:
     """Token ids of texts, each distinct piece between blanks tokenised once.
 
@@ -176,21 +188,23 @@ class Tokens:
     def _learn(self, buf, start, end, alone, keys) -> None:
         """Tokenise new pieces; those that may stand alone only, one by one."""
         inner = np.flatnonzero(~alone)
-        ids, sizes = [], np.zeros(len(keys), np.int64)
+        sizes = np.zeros(len(keys), np.int64)
         found: list[np.ndarray] = []
-        if len(inner):
-            size = end[inner] - start[inner]
+        for part in _parts(inner, end - start):
+            size = end[part] - start[part]
             ends = np.cumsum(size)
-            where = np.repeat(start[inner] - (ends - size), size) + np.arange(ends[-1])
+            where = np.repeat(start[part] - (ends - size), size) + np.arange(ends[-1])
             ids = np.array(self._encode([buf[where].tobytes().decode()])[0], np.int32)
             reached = np.cumsum(self.n_bytes[ids])
             last = np.searchsorted(reached, ends, side="left") + 1
-            sizes[inner] = np.diff(last, prepend=0)
+            sizes[part] = np.diff(last, prepend=0)
             found.append(ids)
         single = np.flatnonzero(alone)
-        for i, out in zip(single.tolist(), self._encode([buf[a:b].tobytes().decode() for a, b in zip(start[single], end[single])])):
-            sizes[i] = len(out)
-            found.append(np.array(out, np.int32))
+        for part in _parts(single, end - start):
+            texts = [buf[a:b].tobytes().decode() for a, b in zip(start[part], end[part])]
+            for i, out in zip(part.tolist(), self._encode(texts)):
+                sizes[i] = len(out)
+                found.append(np.array(out, np.int32))
         order = np.concatenate([inner, single])
         at = np.empty(len(keys), np.int64)
         at[order] = len(self.store) + np.cumsum(sizes[order]) - sizes[order]
@@ -268,6 +282,7 @@ def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int, specia
         out = _Output()
         key_type = None
         rest: list[tuple] = []  # (key, start, ids, tokens of the document)
+        narrow = np.result_type(np.min_scalar_type(len(tokens.n_bytes) - 1), np.min_scalar_type(end_id))
 
         def packed(sequence):
             for took in pack_group([(i, len(x[2])) for i, x in enumerate(rest)], capacity):
@@ -277,13 +292,15 @@ def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int, specia
                     out.add(key, begins + start, ids[start : start + length], total, sequence, offset)
                     offset += length
                 sequence += 1
+                if out.bytes > OUT_BYTES:
+                    yield out.batch(key_type, NAMES)
             rest.clear()
             return sequence
 
         for batch in batches:
             key_type = batch.column(0).type
             keys = batch.column(0).to_pylist()
-            for row, end, buf, offsets in text_slices(batch.column(1)):
+            for row, end, buf, offsets in text_slices(batch.column(1), PART_BYTES):
                 ids, first = tokens(buf, offsets)
                 for i in range(end - row):
                     own = np.append(ids[first[i] : first[i + 1]], np.int32(end_id))
@@ -291,14 +308,14 @@ def _pack_batches(tokenizer: str, capacity: int, end_id: int, group: int, specia
                     for start in range(0, whole, capacity):
                         out.add(keys[row + i], start, own[start : start + capacity], len(own), sequence, 0)
                         sequence += 1
+                        if out.bytes > OUT_BYTES:
+                            yield out.batch(key_type, NAMES)
                     if whole < len(own):
-                        rest.append((keys[row + i], whole, own[whole:].astype(np.int32), len(own)))
+                        rest.append((keys[row + i], whole, own[whole:].astype(narrow), len(own)))
                     if len(rest) >= group:
-                        sequence = packed(sequence)
-                    if out.bytes > 4 * SLICE_BYTES:
-                        yield out.batch(key_type, NAMES)
+                        sequence = yield from packed(sequence)
         if key_type is not None:
-            packed(sequence)
+            yield from packed(sequence)
             yield out.batch(key_type, NAMES)
 
     return run
