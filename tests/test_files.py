@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from variantflow.catalog.png import png_bytes
+from variantflow.operators.variants import fan_out
 from variantflow.schemas import SLUGS, VARIANTS
 from variantflow.sources.artifacts import (
     artifact_manifest,
@@ -139,6 +140,44 @@ def test_a_variant_without_rows_is_not_missing(spark, tmp_path):
     assert [t.count() for t in tables.values()] == [2, 2, 2, 0]
 
 
+def test_a_text_is_stored_once_for_its_variants(spark, tmp_path):
+    from pathlib import Path
+
+    def size(folder):
+        return sum(p.stat().st_size for p in Path(folder).rglob("*.parquet"))
+
+    def noise(*salt):
+        return F.concat(*[F.sha2(F.concat_ws(":", "id", F.lit(str(i)), *salt), 256) for i in range(20)])
+
+    texts = spark.range(500).select("id", noise().alias("original_text"))
+    texts.select("original_text").write.option("compression", "zstd").parquet(str(tmp_path / "once"))
+    # replies that share nothing
+    state = fan_out(texts).select("variant", "original_text", noise("variant").alias("reply"))
+    save_variant_tables(state, str(tmp_path / "s"))
+    # one text and four replies; eight where each variant stores the text
+    assert size(tmp_path / "s") < 6 * size(tmp_path / "once")
+    tables = load_or_init(spark, str(tmp_path / "s"))
+    for v in VARIANTS:
+        assert rows(tables[v]) == rows(state.where(F.col("variant") == v).select("original_text", "reply"))
+
+
+def test_tables_with_folders_of_their_own_are_read_and_added_to(spark, tmp_path):
+    root = str(tmp_path / "s")
+    state = some_state(spark, [*VARIANTS, None])
+    write_routed(
+        state.select(F.col("original_text").alias("description_original"), "reply", F.replace("variant", F.lit(" "), F.lit("_")).alias("slug")),
+        root,
+    )
+    assert [t.count() for t in load_or_init(spark, root).values()] == [2] * 4
+    with pytest.raises(Exception, match="ALREADY_EXISTS|already exists"):
+        save_variant_tables(state, root)
+    save_variant_tables(state, root, VARIANTS[:3], mode="append")
+    # the fourth is not named, but has rows
+    assert [t.count() for t in load_or_init(spark, root).values()] == [4] * 4
+    save_variant_tables(state, root, mode="overwrite")
+    assert [t.count() for t in load_or_init(spark, root).values()] == [2] * 4
+
+
 def test_long_state_starts_empty(spark, tmp_path):
     assert load_state(spark, str(tmp_path / "none")).isEmpty()
 

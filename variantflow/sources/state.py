@@ -28,6 +28,8 @@ def read_if_exists(
 
 
 _STORED = "description_original string, reply string"
+#: folders of a stored state: the rows of all variants, and the slugs of the variants that have a table
+_ROWS, _NAMES = "table=rows", "table=names"
 
 
 def _table_path(root: str, variant: str) -> str:
@@ -39,18 +41,31 @@ def load_or_init(
 ) -> dict[str, DataFrame]:
     """The two-column table of each variant; if one is missing, all start empty.
 
-    Reads what :func:`save_variant_tables` writes, and the state that the rewrite
-    job publishes, which names the source's text ``original_text``.
+    Reads what :func:`save_variant_tables` writes, tables that have a folder
+    each, and the state that the rewrite job publishes, which names the source's
+    text ``original_text``.
     """
     published = read_published(spark, root)
     if published is not None:
         found = {v: published.where(F.col("slug") == slug_of(v)).select("original_text", "reply") for v in variants}
         return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
-    stored = f"original_text string, {_STORED}"
-    found = {v: read_if_exists(spark, _table_path(root, v), stored) for v in variants}
+    rows = read_if_exists(spark, f"{root.rstrip('/')}/{_ROWS}", f"slug string, {_STORED}")
+    names = read_if_exists(spark, f"{root.rstrip('/')}/{_NAMES}", "slug string")
+    named = {r.slug for r in names.collect()} if names is not None else set()
+    found = {}
+    for v in variants:
+        own = read_if_exists(spark, _table_path(root, v), f"original_text string, {_STORED}")
+        mine = None if rows is None else rows.where(F.col("slug") == slug_of(v)).select("description_original", "reply")
+        if slug_of(v) not in named and (mine is None or mine.isEmpty()):
+            mine = None
+        elif mine is None:
+            mine = spark.createDataFrame([], _STORED)
+        if own is not None:
+            text = F.coalesce("description_original", "original_text").alias("description_original")
+            own = own.select(text, "reply")
+            mine = own if mine is None else own.unionByName(mine)
+        found[v] = mine
     if all(t is not None for t in found.values()):
-        text = F.coalesce("description_original", "original_text").alias("description_original")
-        found = {v: t.select(text, "reply") for v, t in found.items()}
         return {v: t.toDF(*variant_state_schema(v).fieldNames()) for v, t in found.items()}
     return {v: spark.createDataFrame([], variant_state_schema(v)) for v in variants}
 
@@ -66,18 +81,21 @@ def save_variant_tables(
 ) -> None:
     """Tables for :func:`load_or_init`, all from one pass over the state.
 
-    A variant without rows gets an empty table, which is not a missing one.
+    The rows of all variants lie in one folder as they come, so a text that
+    follows itself for each of its variants is stored about once, not once for
+    each.  The names of the tables are written last; a variant without rows has
+    an empty table, which is not a missing one.
     """
     spark = state.sparkSession
     rows = state.select(
+        F.replace("variant", F.lit(" "), F.lit("_")).alias("slug"),
         F.col("original_text").alias("description_original"),
         "reply",
-        F.replace("variant", F.lit(" "), F.lit("_")).alias("slug"),
+        F.lit(_ROWS.partition("=")[2]).alias("table"),
     )
-    write_routed(rows, root, mode=mode)
-    for v in variants:
-        if read_if_exists(spark, _table_path(root, v), _STORED) is None:
-            spark.createDataFrame([], _STORED).write.parquet(_table_path(root, v))
+    write_routed(rows, root, by="table", mode=mode)
+    names = spark.createDataFrame([(slug_of(v),) for v in variants], "slug string").coalesce(1)
+    names.write.mode("append").parquet(f"{root.rstrip('/')}/{_NAMES}")
 
 
 #: files that a task of a routed write keeps open, and the bytes of a row group of each
