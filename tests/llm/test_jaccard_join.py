@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from variantflow.llm.components import components
 from variantflow.llm.hash_arrays import write_hashed
 from variantflow.llm.jaccard_join import (
-    InvertedLists, Signatures, divide_skip, jaccard_classes, link_block, one_of_each,
+    InvertedLists, Signatures, distinct, divide_skip, jaccard_classes, link_block, one_of_each, set_id, set_ids,
 )
 from variantflow.sources.scratch import new_folder
 
@@ -138,6 +138,28 @@ def test_divide_skip_equals_all_pairs(sets):
         assert (root(x) == root(y)) == (links.root(x) == links.root(y))
 
 
+def test_a_block_without_links_is_searched_fast():
+    """Every class comes up for every other; one step in Python for each entry of a list took some ten seconds."""
+    from time import process_time
+
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(1000, 200, replace=False)).astype(np.uint64) for _ in range(1000)]
+    sets.append(np.union1d(sets[500][:195], np.arange(2000, 2005, dtype=np.uint64)))
+    began = process_time()
+    links = link_block(sets, 0, Fraction(8, 10))
+    assert process_time() - began < 4
+    assert [x for x in range(len(sets)) if links.root(x) != x] == [1000] and links.root(1000) == 500
+
+
+def test_distinct_sets_and_their_ids():
+    rng = np.random.default_rng(6)
+    raw = [rng.integers(0, 50, n).astype(np.uint64) for n in (0, 1, 2, 80, 0, 7)]
+    sets = [distinct(x) for x in raw]
+    assert all(np.array_equal(s, np.unique(x)) for s, x in zip(sets, raw))
+    assert set_ids(sets).tolist() == [int(set_id(s)) for s in sets]
+    assert set_ids([]).tolist() == []
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (100, 100), (None, 5)]
     df = spark.createDataFrame(chain, "a long, b long")

@@ -27,13 +27,17 @@ ODD = U(0x9E3779B97F4A7C15)
 MULTIPLIER = 0xD1342543DE82EF95
 
 
+_MIX = U(30), U(0xBF58476D1CE4E5B9), U(27), U(0x94D049BB133111EB), U(31)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit numbers that spreads every bit."""
-    x = x ^ (x >> U(30))
-    x = x * U(0xBF58476D1CE4E5B9)
-    x ^= x >> U(27)
-    x *= U(0x94D049BB133111EB)
-    x ^= x >> U(31)
+    first, by, second, again, third = _MIX
+    x = x ^ (x >> first)
+    x *= by
+    x ^= x >> second
+    x *= again
+    x ^= x >> third
     return x
 
 

@@ -8,9 +8,9 @@ The hash of each part is a signature; classes that share one go to the block of
 the most connected class of that signature, the hub.
 
 Inside a block the links are found by T-occurrence search over the inverted
-lists of its shingles (DivideSkip): the short lists of a class are merged with
-a heap, the long ones are probed by binary search, and classes that reach the
-required overlap are linked.  What the hub links already needs no query of its
+lists of its shingles (DivideSkip): the short lists of a class are merged, the
+long ones are probed by binary search, and classes that reach the required
+overlap are linked.  What the hub links already needs no query of its
 own, because only the connected components are returned.  A block of more than
 ``block_shingles`` is split: what its hub does not link is searched in chunks
 against chunks of the whole block.
@@ -20,9 +20,9 @@ Nothing is capped.  Sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-import heapq
 from bisect import bisect_left
 from collections.abc import Iterator
+from dataclasses import dataclass
 from fractions import Fraction
 from math import ceil, exp, floor, sqrt
 
@@ -45,6 +45,14 @@ BLOCK_SHINGLES = 1_000_000
 LEVELS = 6
 
 
+def distinct(x: np.ndarray) -> np.ndarray:
+    """``np.unique`` of 64-bit numbers, by one sort."""
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    return x[new]
+
+
 def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each document of a slice."""
     h = words.hashes()
@@ -57,7 +65,7 @@ def shingle_sets(words, size: int) -> Iterator[np.ndarray]:
     for first, last in zip(words.first[:-1], words.first[1:]):
         n = last - first
         if n >= size:
-            yield np.unique(long[first : last - size + 1])
+            yield distinct(long[first : last - size + 1])
         elif n:
             parts = np.append(h[first:last] * np.array(factors[:n], U), np.array([n], U) * factors[size])
             yield mix(np.array([parts.sum()], U))
@@ -74,6 +82,16 @@ def set_id(shingles: np.ndarray) -> np.uint64:
     return mix(mix(shingles).sum(keepdims=True) + size)[0] | U(1)
 
 
+def set_ids(sets: list[np.ndarray]) -> np.ndarray:
+    """``set_id`` of each set."""
+    sizes = np.array([len(s) for s in sets], np.int64)
+    sums = np.zeros(len(sets), U)
+    filled = sizes > 0
+    if filled.any():
+        sums[filled] = np.add.reduceat(mix(np.concatenate(sets)), (np.cumsum(sizes) - sizes)[filled])
+    return np.where(filled, mix(sums + sizes.astype(U) * ODD) | U(1), U(0))
+
+
 class Signatures:
     """Part hashes such that similar sets of different content share at least one.
 
@@ -89,6 +107,7 @@ class Signatures:
         self.share = (1 - threshold) / (1 + threshold)
         self.edges = [1]
         self.plans: dict[int, tuple[int, int]] = {}
+        self.cuts: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def differing(self, largest: int) -> int:
         """Most shingles by which similar sets differ when the larger has ``largest``."""
@@ -109,33 +128,51 @@ class Signatures:
             self.plans[band] = (k + 1 + spare, spare) if k else (0, 0)
         return self.plans[band]
 
+    def cut(self, parts: int, band: int, level: int) -> tuple[np.ndarray, np.ndarray]:
+        """Least hash of each part, and the seeds of the parts' signatures."""
+        if (band, level) not in self.cuts:
+            # part i has the hashes whose upper half times parts is at least i * 2**32
+            least = ((np.arange(parts, dtype=U) << U(32)) + U(parts - 1)) // U(parts)
+            path = mix(np.array([band * (LEVELS + 1) + level + 1], U))
+            self.cuts[band, level] = least << U(32), mix(path + np.arange(1, parts + 1, dtype=U))
+        return self.cuts[band, level]
+
     def of(self, shingles: np.ndarray) -> np.ndarray:
         """Signatures of a sorted set: of its own size band, and of the next if partners reach it."""
         n = len(shingles)
         out = []
         if n:
+            sums = sums_of(shingles)
             for band in range(self.band(n), self.band(floor(n / self.t)) + 1):
                 parts, spare = self.plan(band)
                 if parts:
-                    self._parts(shingles, parts, spare, band, 0, out)
+                    self._parts(shingles, sums, parts, spare, band, 0, out)
         return np.concatenate(out) if out else np.empty(0, U)
 
-    def _parts(self, shingles, parts, spare, band, level, out) -> None:
-        a = shingles if not level else np.sort(mix(shingles ^ mix(np.array([level], U))))
-        of = ((a >> U(32)) * U(parts)) >> U(32)
-        sums = np.concatenate([np.zeros(1, U), np.cumsum(mix(a ^ ODD))])
-        at = np.searchsorted(of, np.arange(parts + 1, dtype=U))
-        path = mix(np.array([band * (LEVELS + 1) + level + 1], U))
-        found = mix(mix(path + np.arange(1, parts + 1, dtype=U)) ^ (sums[at[1:]] - sums[at[:-1]]))
+    def _parts(self, shingles, sums, parts, spare, band, level, out) -> None:
+        least, seeds = self.cut(parts, band, level)
+        a = shingles
+        if level:
+            a = np.sort(mix(shingles ^ mix(np.array([level], U))))
+            sums = sums_of(a)
+        at = np.append(np.searchsorted(a, least), len(a))
+        found = mix(seeds ^ (sums[at[1:]] - sums[at[:-1]]))
         filled = at[1:] > at[:-1]
         if level < LEVELS:
             out.append(found[filled])
-            if parts - filled.sum() > spare:
-                self._parts(shingles, parts, spare, band, level + 1, out)
+            if parts - np.count_nonzero(filled) > spare:
+                self._parts(shingles, sums, parts, spare, band, level + 1, out)
         else:
             out.append(found)
 
 
+def sums_of(a: np.ndarray) -> np.ndarray:
+    """Prefix sums of the mixed members of a sorted set."""
+    sums = np.zeros(len(a) + 1, U)
+    np.cumsum(mix(a ^ ODD), out=sums[1:])
+    return sums
+
+
 SET_SCHEMA = "doc_id long, n long, sid long, signatures array<long>"
 
 
@@ -145,18 +182,15 @@ def _set_batches(size: int, threshold: Fraction):
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for row, end, words in slices_of_words(texts, BLANK):
-                n, sid, found = [], [], []
-                for s in shingle_sets(words, size):
-                    n.append(len(s))
-                    sid.append(set_id(s))
-                    found.append(signatures.of(s))
+                sets = list(shingle_sets(words, size))
+                found = [signatures.of(s) for s in sets]
                 lengths = np.cumsum([0] + [len(f) for f in found])
                 flat = np.concatenate(found) if found else np.empty(0, U)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(row, end - row).cast(pa.int64()),
-                        pa.array(n, pa.int64()),
-                        pa.array(np.array(sid, U).view(np.int64)),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array(set_ids(sets).view(np.int64)),
                         pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat.view(np.int64))),
                     ],
                     names=["doc_id", "n", "sid", "signatures"],
@@ -166,7 +200,7 @@ def _set_batches(size: int, threshold: Fraction):
 
 
 def _sids(words, size: int) -> np.ndarray:
-    return np.array([set_id(s) for s in shingle_sets(words, size)], U)
+    return set_ids(list(shingle_sets(words, size)))
 
 
 def _text_batches(size: int, wanted: Hashed):
@@ -211,88 +245,127 @@ class InvertedLists:
     """For each shingle of a block, the sorted numbers of the classes that have it."""
 
     def __init__(self, sets: list[np.ndarray]):
-        self.sizes = [len(s) for s in sets]
+        self.sizes = np.array([len(s) for s in sets], np.int64)
         tokens = np.concatenate(sets)
-        owner = np.repeat(np.arange(len(sets), dtype=np.int32), self.sizes)
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
         order = np.argsort(tokens, kind="stable")
+        tokens = tokens[order]
         self.owner = owner[order]
-        self.tokens, self.at = np.unique(tokens[order], return_index=True)
-        self.at = np.append(self.at, len(tokens))
-
-    def lists(self, shingles: np.ndarray) -> list[np.ndarray]:
-        """The lists of a set's shingles, shortest first; those of unknown shingles are empty."""
+        new = np.ones(len(tokens), bool)
+        np.not_equal(tokens[1:], tokens[:-1], out=new[1:])
+        first = np.flatnonzero(new)
+        self.tokens, self.at = tokens[first], np.append(first, len(tokens))
+        number = np.cumsum(new) - 1
+        #: all lists one after the other as sorted numbers, so a binary search finds a class in any list
+        self.entries = number * len(sets) + self.owner
+        self.number = np.empty_like(number)
+        self.number[order] = number
+        self.ends = np.cumsum(self.sizes)
+
+    def lists(self, shingles: np.ndarray) -> Lists:
+        """The lists of a set's shingles, shortest first; unknown shingles have none."""
         where = np.searchsorted(self.tokens, shingles)
         where = where[where < len(self.tokens)]
-        known = self.tokens[where] == shingles[: len(where)]
-        where = where[known]
+        return self._ordered(where[self.tokens[where] == shingles[: len(where)]])
+
+    def lists_of(self, cls: int) -> Lists:
+        """The lists of the shingles of a class of the block, shortest first."""
+        return self._ordered(self.number[self.ends[cls] - self.sizes[cls] : self.ends[cls]])
+
+    def _ordered(self, where: np.ndarray) -> Lists:
         length = self.at[where + 1] - self.at[where]
         order = np.argsort(length, kind="stable")
-        return [self.owner[self.at[w] : self.at[w + 1]] for w in where[order]]
+        return Lists(self, where[order], length[order])
+
+
+@dataclass
+class Lists:
+    """Some lists of a block, shortest first, by their numbers."""
+
+    index: InvertedLists
+    numbers: np.ndarray
+    length: np.ndarray
+
+    def merged(self, count: int) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted classes of the first ``count`` lists, and in how many of these each is."""
+        length = self.length[:count]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        shift = np.repeat(self.index.at[self.numbers[:count]] - (ends - length), length)
+        owner = self.index.owner[shift + np.arange(total)]
+        if 4 * total < len(self.index.sizes):
+            return np.unique(owner, return_counts=True)
+        counts = np.bincount(owner, minlength=len(self.index.sizes))
+        classes = np.flatnonzero(counts)
+        return classes, counts[classes]
+
+    def probed(self, first: int, last: int, classes: np.ndarray) -> np.ndarray:
+        """In how many of the lists from ``first`` to ``last`` each class is, by binary search."""
+        entries = self.index.entries
+        wanted = self.numbers[first:last, None] * len(self.index.sizes) + classes
+        at = np.minimum(np.searchsorted(entries, wanted), len(entries) - 1)
+        return (entries[at] == wanted).sum(axis=0)
 
 
 def similar(overlap: int, n: int, m: int, t: Fraction) -> bool:
     return overlap * t.denominator >= t.numerator * (n + m - overlap)
 
 
-def divide_skip(lists, n: int, sizes, t: Fraction, skip) -> list[tuple[int, int]]:
+#: lists that are probed at once, and classes that are
+PROBED_LISTS, PROBED_CLASSES = 64, 4096
+
+
+def divide_skip(lists: Lists, n: int, sizes: np.ndarray, t: Fraction, skip) -> list[tuple[int, int]]:
     """Classes whose similarity to a set of ``n`` shingles is at least t, with their overlap.
 
     ``lists``: the inverted lists of the set's shingles, shortest first.  A
     similar class is in at least T of the n lists, hence in one of the first
-    n - T + 1, however the other lists look.  Those are merged with a heap; each
-    class that comes up (and that ``skip`` lets through) is probed in the long
-    lists, until too few lists are left for it.
+    n - T + 1, however the other lists look.  Those are merged; each class that
+    comes up (and that ``skip`` lets through) is probed in the long lists, until
+    too few lists are left for it.
     """
-    need = ceil(t * n)
-    short = lists[: max(0, len(lists) - (need - 1))]
-    long = lists[len(short) :]
-    heap = [(int(x[0]), i, 0) for i, x in enumerate(short) if len(x)]
-    heapq.heapify(heap)
+    need, most = ceil(t * n), floor(n / t)
+    end = len(lists.numbers)
+    short = max(0, end - (need - 1))
+    classes, counts = lists.merged(short)
+    fits = (sizes[classes] >= need) & (sizes[classes] <= most)
+    classes, counts = classes[fits], counts[fits]
+    of_size, place = np.unique(sizes[classes], return_inverse=True)
+    required = np.array([ceil(t * (n + m) / (1 + t)) for m in of_size.tolist()], np.int64)[place]
+    fits = counts + (end - short) >= required
+    fits[fits] = [not skip(cls) for cls in classes[fits].tolist()]
     found = []
-    while heap:
-        cls = heap[0][0]
-        count = 0
-        while heap and heap[0][0] == cls:
-            _, i, at = heap[0]
-            count += 1
-            if at + 1 < len(short[i]):
-                heapq.heapreplace(heap, (int(short[i][at + 1]), i, at + 1))
-            else:
-                heapq.heappop(heap)
-        m = sizes[cls]
-        if skip(cls) or m * t.denominator < t.numerator * n or n * t.denominator < t.numerator * m:
-            continue
-        required = ceil(t * (n + m) / (1 + t))
-        for seen, entries in enumerate(long):
-            if count + len(long) - seen < required:
+    for part in np.array_split(np.flatnonzero(fits), -(-int(fits.sum()) // PROBED_CLASSES) or 1):
+        left, count, least = classes[part], counts[part], required[part]
+        for at in range(short, end, PROBED_LISTS):
+            if not len(left):
                 break
-            at = entries.searchsorted(cls)
-            count += at < len(entries) and entries[at] == cls
-        if count >= required:
-            found.append((cls, count))
+            count = count + lists.probed(at, min(at + PROBED_LISTS, end), left)
+            hopeful = count + max(0, end - at - PROBED_LISTS) >= least
+            left, count, least = left[hopeful], count[hopeful], least[hopeful]
+        found += zip(left.tolist(), count.tolist())
     return found
 
 
-def merge_counts(lists, n_classes: int) -> np.ndarray:
-    """Overlap of one set with every class of a block."""
-    return np.bincount(np.concatenate(lists), minlength=n_classes) if lists else np.zeros(n_classes, int)
-
-
 def link_block(sets: list[np.ndarray], hub: int, t: Fraction) -> Links:
     """Connected components of the similar sets of a block."""
     links = Links(len(sets))
     if len(sets) == 1:
         return links
+    if len(sets) == 2:
+        if similar(len(np.intersect1d(*sets, assume_unique=True)), len(sets[0]), len(sets[1]), t):
+            links.join(0, 1)
+        return links
     index = InvertedLists(sets)
-    overlaps = merge_counts(index.lists(sets[hub]), len(sets))
-    for y, overlap in enumerate(overlaps.tolist()):
-        if overlap and similar(overlap, len(sets[hub]), len(sets[y]), t):
+    near = index.lists_of(hub)
+    for y, overlap in zip(*(x.tolist() for x in near.merged(len(near.numbers)))):
+        if similar(overlap, len(sets[hub]), len(sets[y]), t):
             links.join(hub, y)
-    for x, shingles in enumerate(sets):
+    for x in range(len(sets)):
         # two classes that both hang on the hub are connected; all others ask for themselves
         if links.root(x) != links.root(hub):
             skip = lambda y, x=x: links.root(y) == links.root(x)
-            for y, _ in divide_skip(index.lists(shingles), len(shingles), index.sizes, t, skip):
+            for y, _ in divide_skip(index.lists_of(x), len(sets[x]), index.sizes, t, skip):
                 links.join(x, y)
     return links
 

@@ -250,8 +250,9 @@ def mean_weights(weights: np.ndarray, buf: np.ndarray, offsets: np.ndarray) -> n
         first = np.minimum(offsets[:-1], len(found))
         last = np.maximum(np.minimum(offsets[1:] - order + 1, len(found)), first)
         count = np.maximum(last - first, 1)
+        sums = np.zeros(len(found) + 1)
         for m in range(weights.shape[1]):
-            sums = np.concatenate([np.zeros(1), np.cumsum(table[m][found], dtype=np.float64)])
+            np.cumsum(table[m][found], dtype=np.float64, out=sums[1:])
             out[:, m] += (sums[last] - sums[first]) / count
     return out
 
